@@ -75,8 +75,9 @@ def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite")
     """Write a header CSV directory that :func:`read_reviews` reads back exactly.
 
     Every field is quoted with doubled inner quotes, and leading/trailing
-    spaces are kept (Spark's writer trims them by default).  Empty text is
-    written as ``""`` and NULL as an empty field.
+    spaces are kept (Spark's writer trims them by default).  CSV has a single
+    spelling for "no text", so empty text and NULL both read back as NULL
+    (the reader's default, which the original job's reads also had).
     """
     (
         df.write.mode(mode)
