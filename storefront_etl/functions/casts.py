@@ -16,10 +16,17 @@ from pyspark.sql.types import DataType
 
 ColumnOrName = Column | str
 
-# Fixed value: integer part of an optionally signed decimal number.  The old
-# non-ANSI cast accepted exactly this shape and dropped the fraction.
+# Fixed values.
+# Integer part of an optionally signed decimal number: the SQL twin of
+# lenient_int used by the DuckDB oracle (equal on text without control
+# characters and with at least one digit before the point).
 LENIENT_INT_PATTERN = r"^([+-]?[0-9]+)([.][0-9]*)?$"
-# Fixed value: a bare optionally signed integer (no fraction, no exponent).
+# Optionally signed number with a fractional part, the integer digits
+# possibly empty ('.5', '-.5', '5.'); group 1 is the signed integer part.
+FRACTION_PATTERN = r"^([+-]?[0-9]*)[.][0-9]*$"
+# Characters the old cast trimmed from both ends: U+0000 .. U+0020.
+TRIMMED_CHARS = "".join(chr(i) for i in range(0x21))
+# A bare optionally signed integer (no fraction, no exponent).
 STRICT_INT_PATTERN = r"^[+-]?[0-9]+$"
 
 
@@ -30,12 +37,19 @@ def _col(c: ColumnOrName) -> Column:
 def lenient_int(c: ColumnOrName) -> Column:
     """Text -> INT the way the non-ANSI cast did it.
 
-    Surrounding spaces are ignored, a fractional part is truncated, and
-    anything else (exponents, junk, empty text, overflow) becomes NULL.
+    Surrounding whitespace and control characters are ignored, a fractional
+    part is truncated toward zero ('-1.9' -> -1, '.5' -> 0, '5.' -> 5), and
+    anything else (exponents, junk, empty text, a lone sign, overflow)
+    becomes NULL.  Plain integers take the ``try_cast`` fast path; the
+    pattern is only evaluated for text that is not a plain integer.
     """
-    digits = F.regexp_extract(F.trim(_col(c)), LENIENT_INT_PATTERN, 1)
-    # regexp_extract yields '' on no match; try_cast('' as int) is NULL.
-    return digits.try_cast("int")
+    text = F.btrim(_col(c), F.lit(TRIMMED_CHARS))
+    whole = F.regexp_extract(text, FRACTION_PATTERN, 1)
+    truncated = F.when(
+        text.rlike(FRACTION_PATTERN),
+        F.when(whole.isin("", "+", "-"), F.lit(0)).otherwise(whole.try_cast("int")),
+    )
+    return F.coalesce(text.try_cast("int"), truncated)
 
 
 def strict_int(c: ColumnOrName) -> Column:

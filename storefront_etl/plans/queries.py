@@ -22,7 +22,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storefront_etl.functions.calendar import LAST, day_of_week_name, month_name
-from storefront_etl.functions.casts import LENIENT_INT_PATTERN, STRICT_INT_PATTERN, lenient_cast
+from storefront_etl.functions.casts import (
+    LENIENT_INT_PATTERN,
+    STRICT_INT_PATTERN,
+    lenient_cast,
+    lenient_int,
+)
 from storefront_etl.functions.labels import (
     CATEGORY_GROUPS,
     CATEGORY_OTHER,
@@ -31,7 +36,12 @@ from storefront_etl.functions.labels import (
 )
 from storefront_etl.functions.units import PRODUCT_UNITS
 from storefront_etl.operators.fill import fill_missing_by_union
-from storefront_etl.operators.lookup import FIRST, has_at_most_rows, lookup_dimension
+from storefront_etl.operators.lookup import (
+    DEFAULT_BROADCAST_MAX_ROWS,
+    FIRST,
+    has_at_most_rows,
+    lookup_dimension,
+)
 from storefront_etl.operators.postcode import expand_postcode_ranges
 from storefront_etl.operators.profile import distinct_values, null_profile, preview, profile_columns
 from storefront_etl.plans.features import add_category_group, add_order_calendar, add_region
@@ -754,22 +764,27 @@ def q_parquet_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register("sql_view", f"SELECT * FROM ({sql_customers(SQL_CUSTOMERS_RAW)}) q")
 def q_sql_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers table written as SQL text over registered temp views."""
+    """Customers table written as SQL text over registered temp views.
+
+    The views carry the parsed join key (``lenient_int``), so the SQL text
+    joins on a plain INT column; the broadcast hint is only given after the
+    dimension's row count has been bounded.
+    """
     raw = customers_raw(_table(spark, sf_dir, "customer"))
     ceps = postcodes(spark, sf_dir)
     suffix = id(raw)
     customers_view, ceps_view = f"customers_{suffix}", f"ceps_{suffix}"
-    register_views(spark, {customers_view: raw, ceps_view: ceps})
-    hint = "/*+ BROADCAST(cp) */ " if has_at_most_rows(ceps, 2_000_000) else ""
-    key = "try_cast(regexp_extract(trim({0}), '{1}', 1) AS INT)"
+    register_views(spark, {
+        customers_view: raw.withColumn("zip_key", lenient_int("customer_zip_code_prefix")),
+        ceps_view: ceps.withColumn("zip_key", lenient_int("cep_prefix")),
+    })
+    hint = "/*+ BROADCAST(cp) */ " if has_at_most_rows(ceps, DEFAULT_BROADCAST_MAX_ROWS) else ""
     return spark.sql(f"""
         SELECT * FROM (
           SELECT {hint}cs.customer_id, cs.customer_unique_id, cs.customer_zip_code_prefix,
                  LOWER(cp.locality) AS customer_city, LOWER(cs.customer_state) AS customer_state
           FROM {customers_view} cs
-          LEFT JOIN {ceps_view} cp
-            ON {key.format('cs.customer_zip_code_prefix', LENIENT_INT_PATTERN)}
-             = {key.format('cp.cep_prefix', LENIENT_INT_PATTERN)}
+          LEFT JOIN {ceps_view} cp ON cs.zip_key = cp.zip_key
         ) q""")
 
 

@@ -16,6 +16,11 @@ def test_lenient_int_accepts_old_cast_shapes(spark):
     assert _one_col(spark, values, lenient_int) == [650, 650, -1, 5, 12, 123, 5]
 
 
+def test_lenient_int_full_old_cast_parity(spark):
+    values = [".5", ".", "-.5", "+.", "\t7", "7\n", "\x0b-3.25 ", "3000000000.5", "+", "1.5.5"]
+    assert _one_col(spark, values, lenient_int) == [0, 0, 0, 0, 7, 7, -3, None, None, None]
+
+
 def test_lenient_int_rejects_junk_without_raising(spark):
     values = ["1e2", "abc", "", "3000000000", "1.5x", "-", None]
     assert _one_col(spark, values, lenient_int) == [None] * len(values)
