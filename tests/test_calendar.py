@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from storefront_etl.functions.calendar import with_day_diff, with_day_of_week, with_hour, with_month
 from storefront_etl.functions.units import convert_units
