@@ -837,3 +837,52 @@ def q_limit_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 FLAGSHIP = "order_features"
+
+
+# ---------------------------------------------------------------------------
+# Whole-job inputs: the stand-in extracts written as CSV files
+# ---------------------------------------------------------------------------
+def reviews_raw(documents: DataFrame) -> DataFrame:
+    """Free-text review extract: quotes, commas and line breaks in messages."""
+    k = F.col("doc_id")
+    return documents.select(
+        _s(k).alias("review_id"),
+        _s(F.pmod(k * 7, F.lit(1000))).alias("order_id"),
+        _s(F.pmod(k, F.lit(5)) + 1).alias("review_score"),
+        F.col("text").alias("review_comment_message"),
+        F.lit("2018-01-18 00:00:00").alias("review_creation_date"),
+    )
+
+
+def category_dictionary_raw(part: DataFrame) -> DataFrame:
+    return part.select(
+        _pick(CATEGORIES, F.col("p_partkey")).alias("product_category_name"),
+        F.col("p_type").alias("product_category_name_english"),
+    )
+
+
+def standin_extracts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The nine raw extracts of the job plus the postcode ranges, all text."""
+    customer = _table(spark, sf_dir, "customer")
+    return {
+        "postcode_ranges": nation_ranges(_table(spark, sf_dir, "nation")),
+        "customers": customers_raw(customer),
+        "geolocation": geolocation_raw(customer),
+        "order_items": order_items_raw(_table(spark, sf_dir, "lineitem")),
+        "order_payments": payments_raw(_table(spark, sf_dir, "orders")),
+        "order_reviews": reviews_raw(_table(spark, sf_dir, "documents")),
+        "orders": orders_raw(spark, sf_dir),
+        "products": products_raw(_table(spark, sf_dir, "part")),
+        "sellers": sellers_raw(_table(spark, sf_dir, "supplier")),
+        "product_category": category_dictionary_raw(_table(spark, sf_dir, "part")),
+    }
+
+
+def write_standin_extracts(spark: SparkSession, sf_dir: str, out_dir: str) -> dict[str, str]:
+    """Write each stand-in extract as a header CSV directory; return the paths."""
+    paths = {}
+    for name, df in standin_extracts(spark, sf_dir).items():
+        path = f"{out_dir.rstrip('/')}/{name}.csv"
+        write_csv(df, path)
+        paths[name] = path
+    return paths

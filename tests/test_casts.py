@@ -52,3 +52,14 @@ def test_session_is_ansi_and_plain_cast_would_raise(spark, ansi):
     assert spark.conf.get("spark.sql.ansi.enabled") == ansi
     with pytest.raises(Exception):
         spark.createDataFrame([("abc",)], "v string").select(F.col("v").cast("int")).collect()
+
+
+def test_lenient_float_keeps_special_literals(spark):
+    import math
+
+    got = _one_col(spark, ["NaN", " inf ", "-Infinity", "n/a", "", "1d", "0x1p3"],
+                   lambda c: lenient_cast(c, "double"))
+    assert math.isnan(got[0]) and got[1] == float("inf") and got[2] == float("-inf")
+    assert got[3:5] == [None, None]
+    plain = _one_col(spark, ["1d", "0x1p3"], lambda c: c.try_cast("double"))
+    assert got[5:] == plain
