@@ -74,7 +74,7 @@ def summarize(plan: str) -> dict:
         "joins": sorted(re.findall(
             r"(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin) \[[^\]]*\], \[[^\]]*\], (\w+)", plan)
             + [(j, "") for j in re.findall(r"(BroadcastNestedLoopJoin|CartesianProduct)", plan)]),
-        "aggregates": len(re.findall(r"(?:Hash|Sort|ObjectHash)Aggregate\(keys", plan)),
+        "aggregates": len(re.findall(r"(?:Hash|Sort|ObjectHash)Aggregate\(keys?=", plan)),
         "python": bool(re.search(r"BatchEvalPython|ArrowEvalPython|FlatMapGroupsInPandas|MapInPandas", plan)),
         "generate": "Generate " in plan,
         "expand": "Expand " in plan,
