@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from storefront_etl.functions.units import PRODUCT_UNITS, convert_units
-from storefront_etl.plans.features import add_order_calendar, add_region
+from storefront_etl.plans.features import add_category_group, add_order_calendar, add_region
 from storefront_etl.plans.tables import (
     transform_customers,
     transform_geolocation,
@@ -35,7 +35,12 @@ STREAM_TABLES: dict[str, tuple[bool, Transform]] = {
     "order_payments": (False, lambda raw, _: transform_order_payments(raw)),
     "orders": (False, lambda raw, _: add_order_calendar(transform_orders(raw))),
     "products": (False, lambda raw, _: convert_units(transform_products(raw), PRODUCT_UNITS)),
+    "product_category": (False, lambda raw, _: add_category_group(
+        raw, "product_category_name", "sub_product_category")),
+    "order_reviews": (False, lambda raw, _: raw),
 }
+# Free-text extracts need RFC-4180 multi-line records.
+MULTI_LINE_TABLES = frozenset({"order_reviews"})
 
 
 def read_extract_stream(
@@ -44,6 +49,7 @@ def read_extract_stream(
     columns: Sequence[str],
     sep: str = ",",
     max_files_per_trigger: int | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Header CSV files appearing in ``source_dir`` as an all-string stream.
 
@@ -56,6 +62,7 @@ def read_extract_stream(
         .option("sep", sep)
         .option("quote", QUOTE)
         .option("escape", ESCAPE)
+        .option("multiLine", multi_line)
     )
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -82,7 +89,11 @@ def start_table_stream(
     needs_dim, transform = STREAM_TABLES[table]
     if needs_dim and postcodes is None:
         raise ValueError(f"table {table!r} needs the postcode dimension")
-    raw = read_extract_stream(spark, source_dir, columns or RAW_COLUMNS[table])
+    if columns is None:
+        if table not in RAW_COLUMNS:
+            raise ValueError(f"pass the full header of the {table!r} extract as columns=")
+        columns = RAW_COLUMNS[table]
+    raw = read_extract_stream(spark, source_dir, columns, multi_line=table in MULTI_LINE_TABLES)
     out = transform(raw, postcodes)
     writer = (
         out.writeStream.format("parquet")

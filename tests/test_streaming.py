@@ -34,3 +34,18 @@ def test_orders_stream_adds_calendar(spark, tmp_path):
     r = spark.read.parquet(out).first()
     assert (r.order_day_of_week, r.order_name_day_of_week, r.order_delivery_days, r.order_hour) == (
         1, "sunday", 4, 10)
+
+
+def test_reviews_stream_reads_multiline_text(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "r.csv").write_text(
+        "review_id,order_id,review_score,review_comment_message,review_creation_date\n"
+        'r1,o1,4,"veio ""certo"", mas\ntarde",2018-01-18 00:00:00\n', encoding="utf-8")
+    out = str(tmp_path / "out")
+    columns = ["review_id", "order_id", "review_score", "review_comment_message", "review_creation_date"]
+    q = start_table_stream(spark, "order_reviews", str(src), out, columns=columns,
+                           checkpoint=str(tmp_path / "ckpt"))
+    q.awaitTermination(120)
+    rows = spark.read.parquet(out).collect()
+    assert len(rows) == 1 and rows[0].review_comment_message == 'veio "certo", mas\ntarde'
