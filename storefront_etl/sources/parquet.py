@@ -14,18 +14,24 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session names none (local tests) is a local folder
-    created and registered as the checkpoint directory.
+    Only a local-mode session without one (tests) gets a local folder,
+    created and registered as its checkpoint directory; on a cluster a
+    driver-local folder would be invisible to the executors, so a missing
+    setting is an error there.
     """
     root = spark.conf.get(CHECKPOINT_CONF, None)
+    master = ""
+    try:
+        sc = spark.sparkContext
+        master = sc.master
+        root = root or sc.getCheckpointDir()
+    except Exception:  # Spark Connect has no SparkContext
+        sc = None
     if not root:
-        try:
-            root = spark.sparkContext.getCheckpointDir()
-        except Exception:  # Spark Connect has no SparkContext
-            root = None
-    if not root:
+        if sc is None or not master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="storefront-etl-")
-        spark.sparkContext.setCheckpointDir(root)
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
