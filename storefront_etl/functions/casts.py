@@ -17,10 +17,6 @@ from pyspark.sql.types import DataType
 ColumnOrName = Column | str
 
 # Fixed values.
-# Integer part of an optionally signed decimal number: the SQL twin of
-# lenient_int used by the DuckDB oracle (equal on text without control
-# characters and with at least one digit before the point).
-LENIENT_INT_PATTERN = r"^([+-]?[0-9]+)([.][0-9]*)?$"
 # Optionally signed number with a fractional part, the integer digits
 # possibly empty ('.5', '-.5', '5.').
 FRACTION_PATTERN = r"^[+-]?[0-9]*[.][0-9]*$"
@@ -65,8 +61,9 @@ def lenient_int(c: ColumnOrName) -> Column:
 def strict_int(c: ColumnOrName) -> Column:
     """Text -> INT accepting only a signed run of digits (else NULL).
 
-    The pattern guard keeps junk away from ``try_cast`` (see lenient_int)."""
-    t = F.trim(_col(c))
+    Surrounding whitespace and control characters are ignored.  The pattern
+    guard keeps junk away from ``try_cast`` (see lenient_int)."""
+    t = F.btrim(_col(c), F.lit(TRIMMED_CHARS))
     return F.when(t.rlike(STRICT_INT_PATTERN), t).try_cast("int")
 
 

@@ -22,12 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storefront_etl.functions.calendar import LAST, day_of_week_name, month_name
-from storefront_etl.functions.casts import (
-    LENIENT_INT_PATTERN,
-    STRICT_INT_PATTERN,
-    lenient_cast,
-    lenient_int,
-)
+from storefront_etl.functions.casts import STRICT_INT_PATTERN, lenient_cast, lenient_int
 from storefront_etl.functions.labels import (
     CATEGORY_GROUPS,
     CATEGORY_OTHER,
@@ -87,6 +82,12 @@ def _pad5(c: Column) -> Column:
 # ---------------------------------------------------------------------------
 # SQL fragments (DuckDB) mirroring the Spark column builders
 # ---------------------------------------------------------------------------
+# Integer part of an optionally signed decimal number: the oracle's form of
+# lenient_int (equal on text whose integer part has at least one digit and
+# no control-character padding, which covers every stand-in extract).
+LENIENT_INT_PATTERN = r"^([+-]?[0-9]+)([.][0-9]*)?$"
+
+
 def sql_lenient_int(e: str) -> str:
     return f"TRY_CAST(NULLIF(regexp_extract(trim({e}), '{LENIENT_INT_PATTERN}', 1), '') AS INTEGER)"
 

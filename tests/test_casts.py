@@ -27,7 +27,7 @@ def test_lenient_int_rejects_junk_without_raising(spark):
 
 
 def test_strict_int_rejects_fractions(spark):
-    assert _one_col(spark, ["01000", " 7 ", "1.0", "x"], strict_int) == [1000, 7, None, None]
+    assert _one_col(spark, ["01000", " 7 ", "\t8\n", "1.0", "x"], strict_int) == [1000, 7, 8, None, None]
 
 
 def test_lenient_timestamp(spark):
