@@ -17,13 +17,16 @@ from __future__ import annotations
 
 import logging
 import sys
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor, as_completed
 from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
 
 from storefront_etl.operators.lookup import EXPAND
 from storefront_etl.operators.postcode import SKIP, expand_postcode_ranges
-from storefront_etl.plans.features import create_new_features
+from storefront_etl.functions.units import PRODUCT_UNITS, convert_units
+from storefront_etl.plans.features import add_category_group, add_order_calendar, add_region
 from storefront_etl.plans.tables import (
     transform_customers,
     transform_geolocation,
@@ -34,11 +37,14 @@ from storefront_etl.plans.tables import (
     transform_sellers,
 )
 from storefront_etl.sources.csv import read_category_dictionary, read_csv_strings, read_reviews
-from storefront_etl.sources.parquet import write_parquet, write_tables
+from storefront_etl.sources.parquet import write_parquet
 from storefront_etl.sources.schemas import RAW_COLUMNS
 
 log = logging.getLogger(__name__)
 
+# Independent table writes submitted at once (driver threads).
+DEFAULT_CONCURRENT_TABLES = 4
+
 
 def postcode_table(spark: SparkSession, ranges_csv: str, on_invalid: str = SKIP) -> DataFrame:
     raw = read_csv_strings(spark, ranges_csv, columns=RAW_COLUMNS["postcode_ranges"])
@@ -65,53 +71,90 @@ class PipelinePaths:
     postcodes: str
 
 
-def build_tables(
+def table_builders(
     spark: SparkSession,
     paths: PipelinePaths,
     on_multiple: str = EXPAND,
     raw_reviews: bool = False,
-) -> dict[str, DataFrame]:
-    """The nine output tables as lazy DataFrames (nothing runs yet)."""
-    postcodes = spark.read.parquet(paths.postcodes)
+) -> dict[str, Callable[[], DataFrame]]:
+    """One zero-argument builder per output table (building reads CSV headers
+    and checks the dimension size, so it is deferred to the caller)."""
 
     def raw(name: str, path: str) -> DataFrame:
         return read_csv_strings(spark, path, columns=RAW_COLUMNS[name])
 
-    customers = transform_customers(raw("customers", paths.customers), postcodes, on_multiple)
-    geolocation = transform_geolocation(raw("geolocation", paths.geolocation), postcodes, on_multiple)
-    sellers = transform_sellers(raw("sellers", paths.sellers), postcodes, on_multiple)
-    order_items = transform_order_items(raw("order_items", paths.order_items))
-    order_payments = transform_order_payments(raw("order_payments", paths.order_payments))
-    orders = transform_orders(raw("orders", paths.orders))
-    products = transform_products(raw("products", paths.products))
-    product_category = read_category_dictionary(spark, paths.product_category)
-    order_reviews = read_reviews(spark, paths.order_reviews, raw=raw_reviews)
-
-    features = create_new_features(customers, sellers, products, product_category, orders)
+    def postcodes() -> DataFrame:
+        return spark.read.parquet(paths.postcodes)
+
     return {
-        "customers": features.customers,
-        "geolocation": geolocation,
-        "order_items": order_items,
-        "order_payments": order_payments,
-        "order_reviews": order_reviews,
-        "orders": features.orders,
-        "products": features.products,
-        "sellers": features.sellers,
-        "product_category": features.product_category,
+        "customers": lambda: add_region(
+            transform_customers(raw("customers", paths.customers), postcodes(), on_multiple),
+            "customer_state", "customer_region"),
+        "geolocation": lambda: transform_geolocation(
+            raw("geolocation", paths.geolocation), postcodes(), on_multiple),
+        "order_items": lambda: transform_order_items(raw("order_items", paths.order_items)),
+        "order_payments": lambda: transform_order_payments(raw("order_payments", paths.order_payments)),
+        "order_reviews": lambda: read_reviews(spark, paths.order_reviews, raw=raw_reviews),
+        "orders": lambda: add_order_calendar(transform_orders(raw("orders", paths.orders))),
+        "products": lambda: convert_units(transform_products(raw("products", paths.products)), PRODUCT_UNITS),
+        "sellers": lambda: add_region(
+            transform_sellers(raw("sellers", paths.sellers), postcodes(), on_multiple),
+            "seller_state", "seller_region"),
+        "product_category": lambda: add_category_group(
+            read_category_dictionary(spark, paths.product_category),
+            "product_category_name", "sub_product_category"),
     }
 
 
+def build_tables(
+    spark: SparkSession,
+    paths: PipelinePaths,
+    on_multiple: str = EXPAND,
+    raw_reviews: bool = False,
+) -> dict[str, DataFrame]:
+    """The nine output tables as lazy DataFrames (same as the feature step
+    :func:`create_new_features` applied to the seven transforms)."""
+    return {name: build() for name, build in table_builders(spark, paths, on_multiple, raw_reviews).items()}
+
+
 def run_pipeline(
     spark: SparkSession,
     paths: PipelinePaths,
     output_dir: str,
     on_multiple: str = EXPAND,
     raw_reviews: bool = False,
+    max_concurrent: int = DEFAULT_CONCURRENT_TABLES,
 ) -> dict[str, str]:
-    """Build and write the nine tables under ``output_dir`` (overwrite)."""
-    written = write_tables(build_tables(spark, paths, on_multiple, raw_reviews), output_dir)
-    log.info("wrote %d tables under %s", len(written), output_dir)
-    return written
+    """Build and write the nine tables under ``output_dir`` (overwrite).
+
+    The tables are independent, so up to ``max_concurrent`` of them are
+    built and written at once from driver threads; Spark interleaves their
+    tasks, which keeps executors busy while one table's job is in its tail.
+    Each table is still a single pass; a failure is raised after the other
+    writes have finished.
+    """
+    builders = table_builders(spark, paths, on_multiple, raw_reviews)
+    out = output_dir.rstrip("/")
+
+    def build_and_write(name: str) -> str:
+        path = f"{out}/{name}.parquet"
+        write_parquet(builders[name](), path)
+        log.info("table %s written to %s", name, path)
+        return path
+
+    written: dict[str, str] = {}
+    with ThreadPoolExecutor(max_workers=max(1, max_concurrent)) as pool:
+        futures = {pool.submit(build_and_write, name): name for name in builders}
+        errors = []
+        for future in as_completed(futures):
+            try:
+                written[futures[future]] = future.result()
+            except Exception as exc:  # noqa: BLE001 - re-raised below
+                errors.append(exc)
+    if errors:
+        raise errors[0]
+    log.info("wrote %d tables under %s", len(written), out)
+    return {name: written[name] for name in builders}
 
 
 def main(argv: list[str] | None = None) -> int:

@@ -35,3 +35,28 @@ def test_unit_conversion(spark):
     out = convert_units(df, {"w": ("kg", 1000), "l": ("m", 100)})
     assert dict(out.dtypes)["kg"] == "double"
     assert [tuple(r)[2:] for r in out.collect()] == [(0.65, 0.2), (None, None)]
+
+
+def test_create_new_features_adds_all_columns(spark):
+    from storefront_etl.plans.features import create_new_features
+
+    customers = spark.createDataFrame([("c1", "sp")], "customer_id string, customer_state string")
+    sellers = spark.createDataFrame([("s1", "ba")], "seller_id string, seller_state string")
+    products = spark.createDataFrame(
+        [("p1", 650, 20, 10, 15)],
+        "product_id string, product_weight_g int, product_length_cm int, product_height_cm int, product_width_cm int")
+    category = spark.createDataFrame([("pcs", "computers")],
+                                     "product_category_name string, product_category_name_english string")
+    orders = spark.createDataFrame(
+        [("o1", dt.datetime(2017, 10, 2, 23, 59), dt.datetime(2017, 10, 3, 0, 1), dt.datetime(2017, 10, 9, 1))],
+        "order_id string, order_purchase_timestamp timestamp, order_approved_at timestamp, "
+        "order_delivered_customer_date timestamp")
+    f = create_new_features(customers, sellers, products, category, orders)
+    assert f.customers.first().customer_region == "sudeste"
+    assert f.sellers.first().seller_region == "nordeste"
+    assert f.product_category.first().sub_product_category == "eletronicos e tecnologia"
+    p = f.products.first()
+    assert (p.product_weight_kg, p.product_length_m, p.product_height_m, p.product_width_m) == (0.65, 0.2, 0.1, 0.15)
+    o = f.orders.first()
+    assert (o.order_day_of_week, o.order_name_day_of_week, o.order_month, o.order_name_month,
+            o.order_delivery_days, o.order_hour, o.order_processing_days) == (2, "monday", 10, "october", 7, 23, 1)
