@@ -15,13 +15,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 
+def _ref(name: str) -> Column:
+    """Column by exact name (a header may contain dots or spaces)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def _is_floating(df: DataFrame, name: str) -> bool:
     return isinstance(df.schema[name].dataType, (FloatType, DoubleType))
 
 
 def missing_condition(df: DataFrame, name: str) -> Column:
     """NULL, or NaN for float/double columns (isnan on text would raise)."""
-    c = F.col(name)
+    c = _ref(name)
     return (c.isNull() | F.isnan(c)) if _is_floating(df, name) else c.isNull()
 
 
@@ -35,7 +40,7 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     """The distinct values of one column (NULL included once)."""
-    return df.select(column).distinct()
+    return df.select(_ref(column)).distinct()
 
 
 def profile_columns(
@@ -53,7 +58,7 @@ def profile_columns(
     aggs = [F.count(F.lit(1)).alias("__rows")]
     for i, n in enumerate(names):
         aggs.append(F.count(F.when(missing_condition(df, n), F.lit(1))).alias(f"__n{i}"))
-        distinct = F.approx_count_distinct(n) if approx_distinct else F.count_distinct(F.col(n))
+        distinct = F.approx_count_distinct(_ref(n)) if approx_distinct else F.count_distinct(_ref(n))
         aggs.append(distinct.alias(f"__d{i}"))
     totals = df.agg(*aggs)
     rows = F.array(*[

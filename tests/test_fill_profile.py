@@ -39,3 +39,11 @@ def test_distinct_and_preview(spark):
     assert [r.k for r in preview(df, 2, order_by="k").collect()] == [1, 2]
     assert preview(df, 2).count() == 2
     assert not math.isnan(1.0)
+
+
+def test_profiles_accept_awkward_header_names(spark):
+    df = spark.createDataFrame([("1", None), ("1", "x")], "`a.b` string, `c d` string")
+    assert tuple(null_profile(df).first()) == (0, 1)
+    rows = {r.column_name: r.distinct_count for r in profile_columns(df).collect()}
+    assert rows == {"a.b": 1, "c d": 1}
+    assert distinct_values(df, "a.b").count() == 1
