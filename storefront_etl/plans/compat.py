@@ -1,0 +1,141 @@
+"""Drop-in entry points with the original job's function signatures.
+
+Code written against the original scripts can import these names and keep
+its call sequence; each function delegates to the native operators (no UDF,
+ANSI-safe casts, broadcast lookup with a size check).  Differences from the
+original are the documented decisions of the README: the weekday/month name
+columns can be renamed (``name_col``), the category table keeps its group
+column, and output locations are parameters.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from storefront_etl.functions.calendar import with_day_of_week, with_month
+from storefront_etl.operators.postcode import expand_postcode_ranges
+from storefront_etl.plans import features, tables
+from storefront_etl.sources.csv import read_category_dictionary, read_csv_strings, read_reviews
+from storefront_etl.sources.parquet import write_tables
+from storefront_etl.sources.schemas import RAW_COLUMNS
+
+
+def _session(spark: SparkSession | None) -> SparkSession:
+    active = spark or SparkSession.getActiveSession()
+    if active is None:
+        raise RuntimeError("no active SparkSession")
+    return active
+
+
+def _raw(spark: SparkSession, name: str, path: str) -> DataFrame:
+    return read_csv_strings(spark, path, columns=RAW_COLUMNS[name])
+
+
+# -- postcode job -------------------------------------------------------------
+def load_data(path: str, spark: SparkSession | None = None) -> DataFrame:
+    """Postcode-range CSV (header, ',' separator) as text columns."""
+    return read_csv_strings(_session(spark), path, sep=",")
+
+
+def transform_data(dataframe: DataFrame) -> DataFrame:
+    """(locality, postcode_range) -> (locality, cep_prefix) one row per prefix."""
+    return expand_postcode_ranges(dataframe)
+
+
+# -- main job: table transforms ----------------------------------------------
+def transform_customers_table(path_customers: str, spark: SparkSession, cep_dataframe: DataFrame) -> DataFrame:
+    return tables.transform_customers(_raw(spark, "customers", path_customers), cep_dataframe)
+
+
+def transform_geolocation_table(path_geolocation: str, spark: SparkSession, cep_dataframe: DataFrame) -> DataFrame:
+    return tables.transform_geolocation(_raw(spark, "geolocation", path_geolocation), cep_dataframe)
+
+
+def transform_order_items_table(path_order_items: str, spark: SparkSession) -> DataFrame:
+    return tables.transform_order_items(_raw(spark, "order_items", path_order_items))
+
+
+def transform_order_payments_table(path_order_payments: str, spark: SparkSession) -> DataFrame:
+    return tables.transform_order_payments(_raw(spark, "order_payments", path_order_payments))
+
+
+def transform_orders_table(path_orders: str, spark: SparkSession) -> DataFrame:
+    return tables.transform_orders(_raw(spark, "orders", path_orders))
+
+
+def transform_products_table(path_products: str, spark: SparkSession) -> DataFrame:
+    return tables.transform_products(_raw(spark, "products", path_products))
+
+
+def transform_sellers_table(path_sellers: str, spark: SparkSession, cep_dataframe: DataFrame) -> DataFrame:
+    return tables.transform_sellers(_raw(spark, "sellers", path_sellers), cep_dataframe)
+
+
+def load_reviews_table(path_reviews: str, spark: SparkSession, raw: bool = False) -> DataFrame:
+    return read_reviews(spark, path_reviews, raw=raw)
+
+
+def load_product_categories_table(path_product_categories: str, spark: SparkSession) -> DataFrame:
+    return read_category_dictionary(spark, path_product_categories)
+
+
+# -- main job: features -------------------------------------------------------
+def create_region_column(table: DataFrame, col_with_state: str, new_col_name: str) -> DataFrame:
+    return features.add_region(table, col_with_state, new_col_name)
+
+
+def binarizer_product_category(table: DataFrame, col_with_category: str, new_col_name: str) -> DataFrame:
+    return features.add_category_group(table, col_with_category, new_col_name)
+
+
+def create_days_of_week_column(
+    table: DataFrame, col_with_date: str, new_col_name: str, name_col: str = "order_name_day_of_week"
+) -> DataFrame:
+    return with_day_of_week(table, col_with_date, new_col_name, name_col)
+
+
+def create_month_column(
+    table: DataFrame, col_with_date: str, new_col_name: str, name_col: str = "order_name_month"
+) -> DataFrame:
+    return with_month(table, col_with_date, new_col_name, name_col)
+
+
+def create_new_features(
+    customers_table: DataFrame,
+    sellers_table: DataFrame,
+    products_table: DataFrame,
+    products_category_table: DataFrame,
+    orders_table: DataFrame,
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
+    f = features.create_new_features(
+        customers_table, sellers_table, products_table, products_category_table, orders_table
+    )
+    return f.customers, f.sellers, f.products, f.product_category, f.orders
+
+
+def save_data(
+    customers_df: DataFrame,
+    geolocalization_df: DataFrame,
+    order_items_df: DataFrame,
+    order_payments_df: DataFrame,
+    order_reviews_df: DataFrame,
+    orders_df: DataFrame,
+    products_df: DataFrame,
+    sellers_df: DataFrame,
+    product_category_df: DataFrame,
+    output_dir: str = "data/processed",
+) -> dict[str, str]:
+    return write_tables(
+        {
+            "customers": customers_df,
+            "geolocation": geolocalization_df,
+            "order_items": order_items_df,
+            "order_payments": order_payments_df,
+            "order_reviews": order_reviews_df,
+            "orders": orders_df,
+            "products": products_df,
+            "sellers": sellers_df,
+            "product_category": product_category_df,
+        },
+        output_dir,
+    )

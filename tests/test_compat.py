@@ -1,0 +1,52 @@
+"""The original call sequence, through the compatibility entry points."""
+
+from storefront_etl.plans import compat
+from tests.test_pipeline import DICTIONARY, RAW
+
+
+def test_original_call_sequence(spark, tmp_path):
+    files = {}
+    for name, text in RAW.items():
+        p = tmp_path / f"{name}.csv"
+        p.write_text(text, encoding="utf-8")
+        files[name] = str(p)
+    (tmp_path / "cat.csv").write_text(DICTIONARY, encoding="utf-8")
+
+    ceps_path = str(tmp_path / "ceps.parquet")
+    compat.transform_data(compat.load_data(files["postcode_ranges"], spark)).write.mode(
+        "overwrite").parquet(ceps_path)
+    cep_dataframe = spark.read.parquet(ceps_path)
+
+    customers = compat.transform_customers_table(files["customers"], spark, cep_dataframe)
+    geolocation = compat.transform_geolocation_table(files["geolocation"], spark, cep_dataframe)
+    order_items = compat.transform_order_items_table(files["order_items"], spark)
+    order_payments = compat.transform_order_payments_table(files["order_payments"], spark)
+    orders = compat.transform_orders_table(files["orders"], spark)
+    products = compat.transform_products_table(files["products"], spark)
+    sellers = compat.transform_sellers_table(files["sellers"], spark, cep_dataframe)
+    product_category = compat.load_product_categories_table(str(tmp_path / "cat.csv"), spark)
+    order_reviews = compat.load_reviews_table(files["order_reviews"], spark)
+    customers, sellers, products, product_category, orders = compat.create_new_features(
+        customers, sellers, products, product_category, orders)
+    written = compat.save_data(customers, geolocation, order_items, order_payments, order_reviews,
+                               orders, products, sellers, product_category,
+                               output_dir=str(tmp_path / "processed"))
+    assert len(written) == 9
+    out = spark.read.parquet(written["customers"])
+    assert "customer_region" in out.columns and out.count() == 4
+    o = spark.read.parquet(written["orders"]).where("order_id = 'o1'").first()
+    assert (o.order_name_day_of_week, o.order_name_month) == ("monday", "october")
+    assert spark.read.parquet(written["product_category"]).columns[-1] == "sub_product_category"
+
+
+def test_single_feature_helpers(spark):
+    import datetime as dt
+
+    df = spark.createDataFrame([(dt.datetime(2017, 10, 1), "sp", "pcs")], "ts timestamp, st string, cat string")
+    df = compat.create_days_of_week_column(df, "ts", "order_day_of_week")
+    df = compat.create_month_column(df, "ts", "order_month")
+    df = compat.create_region_column(df, "st", "region")
+    df = compat.binarizer_product_category(df, "cat", "group")
+    r = df.first()
+    assert (r.order_day_of_week, r.order_name_day_of_week, r.order_month, r.order_name_month,
+            r.region, r.group) == (1, "sunday", 10, "october", "sudeste", "eletronicos e tecnologia")
