@@ -117,6 +117,14 @@ def build_tables(
     return {name: build() for name, build in table_builders(spark, paths, on_multiple, raw_reviews).items()}
 
 
+def _describe_jobs(spark: SparkSession, text: str) -> None:
+    """Label this thread's Spark jobs (a thread-local property, not config)."""
+    try:
+        spark.sparkContext.setJobDescription(text)
+    except Exception:  # Spark Connect has no SparkContext
+        pass
+
+
 def run_pipeline(
     spark: SparkSession,
     paths: PipelinePaths,
@@ -138,6 +146,7 @@ def run_pipeline(
 
     def build_and_write(name: str) -> str:
         path = f"{out}/{name}.parquet"
+        _describe_jobs(spark, f"storefront-etl: table {name}")
         write_parquet(builders[name](), path)
         log.info("table %s written to %s", name, path)
         return path
