@@ -34,7 +34,7 @@ from storefront_etl.operators.fill import fill_missing_by_union
 from storefront_etl.operators.lookup import (
     DEFAULT_BROADCAST_MAX_ROWS,
     FIRST,
-    has_at_most_rows,
+    fits_broadcast,
     lookup_dimension,
 )
 from storefront_etl.operators.postcode import expand_postcode_ranges
@@ -775,7 +775,7 @@ def q_sql_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         customers_view: raw.withColumn("zip_key", lenient_int("customer_zip_code_prefix")),
         ceps_view: ceps.withColumn("zip_key", lenient_int("cep_prefix")),
     })
-    hint = "/*+ BROADCAST(cp) */ " if has_at_most_rows(ceps, DEFAULT_BROADCAST_MAX_ROWS) else ""
+    hint = "/*+ BROADCAST(cp) */ " if fits_broadcast(ceps, DEFAULT_BROADCAST_MAX_ROWS) else ""
     return spark.sql(f"""
         SELECT * FROM (
           SELECT {hint}cs.customer_id, cs.customer_unique_id, cs.customer_zip_code_prefix,
