@@ -80,3 +80,21 @@ def test_first_mode_keeps_left_row_count(spark):
     assert out.count() == 2000
     expanded = lookup_dimension(facts, dim, key="zip", dim_key="cep", dim_value="locality", out="city")
     assert expanded.count() == 2000 * 3
+
+
+csv_tokens = list('ab ,"\n\r\t;\\é€') + ["ção", "\r\n", '""']
+csv_text = st.lists(st.sampled_from(csv_tokens), min_size=1, max_size=30).map("".join)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.too_slow])
+@given(st.lists(csv_text, min_size=1, max_size=80))
+def test_csv_roundtrip_keeps_text(spark, tmp_path_factory, texts):
+    from storefront_etl.sources.csv import read_reviews, write_csv
+
+    df = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "id string, text string")
+    out = str(tmp_path_factory.mktemp("csvprop") / "out")
+    write_csv(df, out)
+    back = {r.id: r.text for r in read_reviews(spark, out).collect()}
+    assert len(back) == len(texts)
+    for i, t in enumerate(texts):
+        assert back[str(i)] == t, (t, back[str(i)])
