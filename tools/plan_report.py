@@ -11,6 +11,8 @@ broadcast join once it sees the real (small) sizes.
 
 from __future__ import annotations
 
+import contextlib
+import io
 import re
 import sys
 from pathlib import Path
@@ -55,6 +57,9 @@ SCALE_NOTES = {
 }
 
 
+APPENDIX = ("order_features", "lookup_no_fallback", "lookup_salted")
+
+
 def final_plan(plan: str) -> str:
     """The executed part of an AQE plan (drop the ``Initial Plan`` section)."""
     return plan.split("== Initial Plan ==")[0]
@@ -106,6 +111,16 @@ def main() -> None:
         schemas = "; ".join(f"`{r}`" for r in s["read_schemas"])
         pushed = "; ".join(f"`{p}`" for p in s["pushed"]) or "–"
         print(f"* `{name}`: {schemas} — pushed: {pushed}")
+    print("\n## Appendix: formatted plans (as planned, before AQE re-optimisation)\n")
+    for name in APPENDIX:
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            entry.queries()[name](spark, sf_dir).explain("formatted")
+        text = re.sub(r"#\d+L?", "", buf.getvalue())
+        text = re.sub(r"\[plan_id=\d+\]", "", text)
+        # The trim set of the lenient casts holds control characters: escape them.
+        text = re.sub(r"[\x00-\x09\x0b-\x1f]", lambda m: f"\\x{ord(m.group()):02x}", text)
+        print(f"### `{name}`\n\n```\n{text.strip()}\n```\n")
     spark.stop()
 
 
