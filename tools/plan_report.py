@@ -28,7 +28,7 @@ SCALE_NOTES = {
     "postcode_expand": "Generate in the scan's codegen stage; output per task bounded by input x 100k prefixes; no shuffle.",
     "lookup_no_fallback": "Dimension bounded by the 5-digit key domain -> always broadcast after the bounded row check; fact side never shuffled, fact skew irrelevant.",
     "lookup_first": "One small shuffle of the dimension (min per key, partial agg; a string min runs as SortAggregate over the bounded dimension only) then broadcast; fact side never shuffled.",
-    "lookup_salted": "Forced non-broadcast path: SortMergeJoin on (key, salt) with hot and NULL keys spread over salt buckets. AQE turns it back into a broadcast at sf0.1 because the real sizes are tiny.",
+    "lookup_salted": "Forced non-broadcast path: SortMergeJoin (pinned by a merge hint, so an underestimate cannot re-broadcast the side) on (key, salt); hot and NULL keys are spread over salt buckets.",
     "lookup_fallback_raw": "As lookup_no_fallback; fallback is a coalesce in the same projection (one scan).",
     "union_halves": "Original split/union form kept as an operator: two scans, NOT NULL half becomes an inner join. The pipeline uses the one-scan coalesce form.",
     "lookup_fallback_lower": "As lookup_no_fallback.",
