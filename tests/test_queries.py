@@ -54,3 +54,18 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert "order_name_day_of_week" in df.columns
+
+
+@pytest.mark.parametrize("name", ["cast_int_lenient", "cast_money", "cast_date", "lookup_no_fallback",
+                                  "postcode_expand", "unit_convert"])
+def test_query_independent_of_ansi_mode(spark, con, name):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        df = entry.queries()[name](spark, SF)
+        rows = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+    rel = con.execute(entry.oracle_sql()[name])
+    ocols = [d[0] for d in rel.description]
+    assert _canon(rows, df.columns) == _canon(rel.fetchall(), ocols)
