@@ -23,11 +23,12 @@ from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
 
-from storefront_etl.operators.lookup import EXPAND
+from storefront_etl.operators.lookup import EXPAND, PreparedLookup
 from storefront_etl.operators.postcode import SKIP, expand_postcode_ranges
 from storefront_etl.functions.units import PRODUCT_UNITS, convert_units
 from storefront_etl.plans.features import add_category_group, add_order_calendar, add_region
 from storefront_etl.plans.tables import (
+    postcode_lookup,
     transform_customers,
     transform_geolocation,
     transform_order_items,
@@ -77,14 +78,17 @@ def table_builders(
     on_multiple: str = EXPAND,
     raw_reviews: bool = False,
 ) -> dict[str, Callable[[], DataFrame]]:
-    """One zero-argument builder per output table (building reads CSV headers
-    and checks the dimension size, so it is deferred to the caller)."""
+    """One zero-argument builder per output table (building reads CSV
+    headers, so it is deferred to the caller).  The postcode dimension is
+    prepared and measured once, here, and shared by the three lookups."""
 
     def raw(name: str, path: str) -> DataFrame:
         return read_csv_strings(spark, path, columns=RAW_COLUMNS[name])
 
-    def postcodes() -> DataFrame:
-        return spark.read.parquet(paths.postcodes)
+    shared = postcode_lookup(spark.read.parquet(paths.postcodes), on_multiple)
+
+    def postcodes() -> PreparedLookup:
+        return shared
 
     return {
         "customers": lambda: add_region(

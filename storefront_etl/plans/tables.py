@@ -12,21 +12,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storefront_etl.functions.casts import lenient_cast, lenient_int
-from storefront_etl.operators.lookup import EXPAND, lookup_dimension
+from storefront_etl.operators.lookup import EXPAND, PreparedLookup, lookup_dimension, prepare_lookup
 
 POSTCODE_KEY = "cep_prefix"
 POSTCODE_VALUE = "locality"
 
 
+def postcode_lookup(postcodes: DataFrame, on_multiple: str = EXPAND, **lookup_options) -> PreparedLookup:
+    """The (locality, cep_prefix) dimension prepared and measured once, for
+    sharing between the customers, geolocation and sellers transforms."""
+    return prepare_lookup(
+        postcodes, dim_key=POSTCODE_KEY, dim_value=POSTCODE_VALUE, on_multiple=on_multiple,
+        **lookup_options,
+    )
+
+
 def _city_lookup(
     raw: DataFrame,
-    postcodes: DataFrame,
+    postcodes: DataFrame | PreparedLookup,
     zip_col: str,
     city_col: str,
     fallback,
     on_multiple: str,
     **lookup_options,
 ) -> DataFrame:
+    """``postcodes`` is the raw dimension or a shared :func:`postcode_lookup`
+    (whose own fan-out mode and size decision then apply)."""
     return lookup_dimension(
         raw,
         postcodes,
@@ -42,7 +53,7 @@ def _city_lookup(
 
 
 def transform_customers(
-    raw: DataFrame, postcodes: DataFrame, on_multiple: str = EXPAND, **lookup_options
+    raw: DataFrame, postcodes: DataFrame | PreparedLookup, on_multiple: str = EXPAND, **lookup_options
 ) -> DataFrame:
     """City from the postcode dimension (lowercased), no fallback: an
     unmatched prefix gives a NULL city.  State lowercased."""
@@ -60,7 +71,7 @@ def transform_customers(
 
 
 def transform_geolocation(
-    raw: DataFrame, postcodes: DataFrame, on_multiple: str = EXPAND, **lookup_options
+    raw: DataFrame, postcodes: DataFrame | PreparedLookup, on_multiple: str = EXPAND, **lookup_options
 ) -> DataFrame:
     """Coordinates to DOUBLE; city from the dimension, else the raw city
     exactly as written (no lowercasing).  State lowercased."""
@@ -78,7 +89,7 @@ def transform_geolocation(
 
 
 def transform_sellers(
-    raw: DataFrame, postcodes: DataFrame, on_multiple: str = EXPAND, **lookup_options
+    raw: DataFrame, postcodes: DataFrame | PreparedLookup, on_multiple: str = EXPAND, **lookup_options
 ) -> DataFrame:
     """City from the dimension, else the raw city lowercased.  State lowercased."""
     looked_up = _city_lookup(
