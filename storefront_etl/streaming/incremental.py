@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from storefront_etl.functions.units import PRODUCT_UNITS, convert_units
+from storefront_etl.operators.lookup import PreparedLookup
 from storefront_etl.plans.features import add_category_group, add_order_calendar, add_region
 from storefront_etl.plans.tables import (
     transform_customers,
@@ -22,7 +23,7 @@ from storefront_etl.sources.csv import ESCAPE, QUOTE
 from storefront_etl.sources.parquet import scratch_path
 from storefront_etl.sources.schemas import RAW_COLUMNS, all_string_schema
 
-Transform = Callable[[DataFrame, DataFrame | None], DataFrame]
+Transform = Callable[[DataFrame, "DataFrame | PreparedLookup | None"], DataFrame]
 
 # Table name -> (needs the postcode dimension, transform incl. its features).
 STREAM_TABLES: dict[str, tuple[bool, Transform]] = {
@@ -74,7 +75,7 @@ def start_table_stream(
     table: str,
     source_dir: str,
     output_path: str,
-    postcodes: DataFrame | None = None,
+    postcodes: DataFrame | PreparedLookup | None = None,
     columns: Sequence[str] | None = None,
     checkpoint: str | None = None,
     available_now: bool = True,
@@ -83,6 +84,9 @@ def start_table_stream(
 
     ``available_now=True`` processes every file present and stops (batch
     catch-up with stream bookkeeping); ``False`` keeps polling the folder.
+    ``postcodes`` is the raw dimension or a :func:`postcode_lookup` prepared
+    (and size-checked) once; the dimension is static, joined to each
+    micro-batch.
     """
     if table not in STREAM_TABLES:
         raise ValueError(f"no streaming transform for table {table!r}")

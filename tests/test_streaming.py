@@ -49,3 +49,22 @@ def test_reviews_stream_reads_multiline_text(spark, tmp_path):
     q.awaitTermination(120)
     rows = spark.read.parquet(out).collect()
     assert len(rows) == 1 and rows[0].review_comment_message == 'veio "certo", mas\ntarde'
+
+
+def test_stream_with_non_broadcast_dimension(spark, tmp_path):
+    from storefront_etl.plans.tables import postcode_lookup
+
+    dim = spark.createDataFrame([("Alpha", "1003"), ("Beta", "1003")], "locality string, cep_prefix string")
+    prepared = postcode_lookup(dim, broadcast_max_rows=0)
+    assert not prepared.broadcast
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "p.csv").write_text(
+        "seller_id,seller_zip_code_prefix,seller_city,seller_state\ns1,01003,x,SP\ns2,junk,Campinas,BA\n",
+        encoding="utf-8")
+    out = str(tmp_path / "out")
+    q = start_table_stream(spark, "sellers", str(src), out, postcodes=prepared, checkpoint=str(tmp_path / "ck"))
+    q.awaitTermination(120)
+    rows = sorted(tuple(r) for r in spark.read.parquet(out).collect())
+    assert rows == [("s1", "01003", "alpha", "sp", "sudeste"), ("s1", "01003", "beta", "sp", "sudeste"),
+                    ("s2", "junk", "campinas", "ba", "nordeste")]
