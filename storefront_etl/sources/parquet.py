@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,19 +46,27 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_tables(
-    tables: Mapping[str, DataFrame], output_dir: str, mode: str = "overwrite"
+    tables: Mapping[str, DataFrame],
+    output_dir: str,
+    mode: str = "overwrite",
+    max_concurrent: int = 4,
 ) -> dict[str, str]:
     """Write each table to ``<output_dir>/<name>.parquet``; return the paths.
 
-    Writes are sequential actions, each one pass over its own plan; Spark's
-    commit protocol makes a retried task (lost executor) overwrite its own
-    attempt, so a job that survives executor loss leaves complete tables.
+    The tables are independent, so up to ``max_concurrent`` writes are
+    submitted at once from driver threads (Spark interleaves their tasks);
+    each is still one pass over its own plan.  Spark's commit protocol makes
+    a retried task (lost executor) replace its own attempt, so a job that
+    survives executor loss leaves complete tables.  A failure is raised
+    after the other writes have finished.
     """
-    paths = {}
-    for name, df in tables.items():
-        path = f"{output_dir.rstrip('/')}/{name}.parquet"
-        write_parquet(df, path, mode)
-        paths[name] = path
+    out = output_dir.rstrip("/")
+    paths = {name: f"{out}/{name}.parquet" for name in tables}
+    with ThreadPoolExecutor(max_workers=max(1, max_concurrent)) as pool:
+        futures = [pool.submit(write_parquet, df, paths[name], mode) for name, df in tables.items()]
+        errors = [f.exception() for f in futures if f.exception() is not None]
+    if errors:
+        raise errors[0]
     return paths
 
 

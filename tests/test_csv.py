@@ -43,3 +43,10 @@ def test_all_strings_with_separator_and_projection(spark, tmp_path):
     df = read_csv_strings(spark, str(path), columns=["c", "a"], sep=";")
     assert df.dtypes == [("c", "string"), ("a", "string")]
     assert tuple(df.first()) == ("z", "1")
+
+
+def test_bom_is_dropped_in_both_read_modes(spark, tmp_path):
+    path = tmp_path / "bom.csv"
+    path.write_text('﻿review_id,msg\nr1,"a\nb"\n', encoding="utf-8")
+    assert read_reviews(spark, str(path)).columns == ["review_id", "msg"]
+    assert read_csv_strings(spark, str(path), multi_line=False).columns == ["review_id", "msg"]
