@@ -30,7 +30,12 @@ from storefront_etl.functions.labels import (
 )
 from storefront_etl.functions.units import convert_units
 from storefront_etl.operators.fill import fill_missing, fill_missing_by_union
-from storefront_etl.operators.lookup import lookup_dimension
+from storefront_etl.operators.lookup import (
+    PreparedLookup,
+    fits_broadcast,
+    lookup_dimension,
+    prepare_lookup,
+)
 from storefront_etl.operators.postcode import expand_postcode_ranges
 from storefront_etl.operators.profile import (
     distinct_values,
@@ -41,6 +46,7 @@ from storefront_etl.operators.profile import (
 
 __all__ = [
     "CATEGORY_GROUPS",
+    "PreparedLookup",
     "REGION_GROUPS",
     "category_group",
     "convert_units",
@@ -49,12 +55,14 @@ __all__ = [
     "expand_postcode_ranges",
     "fill_missing",
     "fill_missing_by_union",
+    "fits_broadcast",
     "lenient_cast",
     "lenient_int",
     "lookup_dimension",
     "map_labels",
     "month_name",
     "null_profile",
+    "prepare_lookup",
     "preview",
     "profile_columns",
     "region_of_state",
