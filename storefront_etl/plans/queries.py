@@ -624,6 +624,7 @@ SELECT event_id, CAST(dayofweek(ts) + 1 AS INTEGER) AS order_day_of_week,
        {_sql_day_name('ts')} AS order_name_day_of_week
 FROM events""")
 def q_day_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weekday number (1 = Sunday) and English name of each event time."""
     events = _table(spark, sf_dir, "events")
     day = F.dayofweek("ts")
     return events.select(
@@ -636,6 +637,7 @@ SELECT o_orderkey, CAST(month(o_orderdate) AS INTEGER) AS order_month,
        {_sql_month_name('o_orderdate')} AS order_name_month
 FROM orders""")
 def q_month_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Month number and English name of each order date."""
     orders = _table(spark, sf_dir, "orders")
     month = F.month("o_orderdate")
     return orders.select("o_orderkey", month.alias("order_month"), month_name(month).alias("order_name_month"))
@@ -664,6 +666,7 @@ def q_null_date_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register("hour_of_day", "SELECT event_id, CAST(hour(ts) AS INTEGER) AS event_hour FROM events")
 def q_hour_of_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hour of day of each event time."""
     return _table(spark, sf_dir, "events").select("event_id", F.hour("ts").alias("event_hour"))
 
 
@@ -694,6 +697,7 @@ SELECT s_suppkey,
                      ELSE CAST(s_acctbal AS VARCHAR) END AS DOUBLE) AS coordinate
 FROM supplier""")
 def q_cast_coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text -> DOUBLE with padding and junk (padding accepted, junk -> NULL)."""
     supplier = _table(spark, sf_dir, "supplier")
     k = F.col("s_suppkey")
     text = (
@@ -822,11 +826,13 @@ def q_profile_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register("distinct_values", "SELECT DISTINCT o_orderstatus FROM orders")
 def q_distinct_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct order statuses (partial distinct per partition, one shuffle)."""
     return distinct_values(_table(spark, sf_dir, "orders"), "o_orderstatus")
 
 
 @_register("like_prefix", "SELECT p_partkey, p_name FROM part WHERE p_name LIKE 'red%'")
 def q_like_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix filter pushed into the Parquet scan."""
     part = _table(spark, sf_dir, "part")
     return part.where(F.col("p_name").like("red%")).select("p_partkey", "p_name")
 
