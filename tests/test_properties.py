@@ -98,3 +98,45 @@ def test_csv_roundtrip_keeps_text(spark, tmp_path_factory, texts):
     assert len(back) == len(texts)
     for i, t in enumerate(texts):
         assert back[str(i)] == t, (t, back[str(i)])
+
+
+def _first_group(value, groups, default):
+    for label, values in groups:
+        if value in values:
+            return label
+    return default
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.too_slow])
+@given(st.lists(st.one_of(
+    st.none(),
+    st.sampled_from([v for _, g in __import__("storefront_etl").CATEGORY_GROUPS for v in g]),
+    st.sampled_from(["ac", "sp", "rs", "df", "ba", "xx", "SP", "", "pcs ", "PCS"]),
+    st.text(max_size=6)), min_size=20, max_size=200))
+def test_labels_match_first_group_model(spark, values):
+    from storefront_etl.functions.labels import (
+        CATEGORY_GROUPS, REGION_GROUPS, category_group, region_of_state)
+
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+    got = {r.i: (r.c, r.r) for r in df.select("i", category_group("v").alias("c"),
+                                               region_of_state("v").alias("r")).collect()}
+    for i, v in enumerate(values):
+        assert got[i] == (_first_group(v, CATEGORY_GROUPS, "outros"), _first_group(v, REGION_GROUPS, "sul"))
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.too_slow])
+@given(st.lists(st.one_of(st.none(), st.datetimes(
+    min_value=__import__("datetime").datetime(1900, 1, 1),
+    max_value=__import__("datetime").datetime(2100, 12, 31))), min_size=20, max_size=200))
+def test_calendar_names_match_python(spark, stamps):
+    from storefront_etl.functions.calendar import with_day_of_week, with_month
+
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(stamps)], "i int, ts timestamp_ntz")
+    df = with_month(with_day_of_week(df, "ts", "d", "dn"), "ts", "m", "mn")
+    got = {r.i: (r.d, r.dn, r.m, r.mn) for r in df.collect()}
+    for i, t in enumerate(stamps):
+        if t is None:
+            assert got[i] == (None, "saturday", None, "december")
+        else:
+            sunday_first = (t.isoweekday() % 7) + 1
+            assert got[i] == (sunday_first, t.strftime("%A").lower(), t.month, t.strftime("%B").lower())
