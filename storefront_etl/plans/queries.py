@@ -1,14 +1,7 @@
 """Driver query catalogue: every operator applied to the shared test tables.
 
-The raw retail extracts are not distributed, so each query derives an
-all-string stand-in extract from the TPC-H-like tables (customer ->
-customers / geolocation, supplier -> sellers, lineitem -> order items,
-orders -> orders / payments, part -> products / category dictionary,
-nation -> postcode ranges, documents -> free-text reviews) and runs the
-real operator or table transform on it.  Every query reads whole tables;
-modulo arithmetic only *derives* values (junk text, NULLs, reversed
-ranges), it never filters rows.
-
+Each query runs the real operator or table transform on a stand-in extract
+built by :mod:`storefront_etl.plans.standins` from whole test tables.
 ``QUERIES[name](spark, sf_dir)`` returns a DataFrame; ``ORACLE_SQL[name]`` is
 the same computation in DuckDB SQL over the raw tables (views named like the
 parquet files).  Column names match one-to-one.
@@ -18,17 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storefront_etl.functions.calendar import LAST, day_of_week_name, month_name
-from storefront_etl.functions.casts import STRICT_INT_PATTERN, lenient_cast, lenient_int
-from storefront_etl.functions.labels import (
-    CATEGORY_GROUPS,
-    CATEGORY_OTHER,
-    REGION_GROUPS,
-    REGION_SOUTH_STATES,
-)
+from storefront_etl.functions.casts import lenient_cast, lenient_int
 from storefront_etl.functions.units import PRODUCT_UNITS, convert_units
 from storefront_etl.operators.fill import fill_missing_by_union
 from storefront_etl.operators.lookup import (
@@ -40,6 +27,43 @@ from storefront_etl.operators.lookup import (
 from storefront_etl.operators.postcode import expand_postcode_ranges
 from storefront_etl.operators.profile import distinct_values, null_profile, preview, profile_columns
 from storefront_etl.plans.features import add_category_group, add_order_calendar, add_region
+from storefront_etl.plans.standins import (
+    CATEGORIES,
+    SQL_CUSTOMERS_RAW,
+    SQL_GEO_JOINED,
+    SQL_ORDER_FEATURES,
+    SQL_ORDER_ITEMS_RAW,
+    SQL_ORDERS_TYPED,
+    SQL_ORDERS_WITH_SHIP,
+    SQL_PRODUCTS_RAW,
+    SQL_SUPPLIER_RANGES,
+    SQL_SELLERS_RAW,
+    SQL_CEPS,
+    as_text,
+    customers_raw,
+    geo_select,
+    geolocation_raw,
+    order_items_raw,
+    orders_raw,
+    orders_with_ship,
+    payments_raw,
+    pick,
+    postcodes,
+    products_raw,
+    sellers_raw,
+    sql_category,
+    sql_customers,
+    sql_day_diff,
+    sql_day_name,
+    sql_expand,
+    sql_lenient_int,
+    sql_month_name,
+    sql_payments_raw,
+    sql_pick,
+    sql_region,
+    supplier_ranges,
+    table,
+)
 from storefront_etl.plans.tables import (
     transform_customers,
     transform_geolocation,
@@ -66,487 +90,52 @@ def _register(name: str, sql: str | None):
     return deco
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def _s(c: Column | str) -> Column:
-    c = F.col(c) if isinstance(c, str) else c
-    return c.cast("string")
-
-
-def _pad5(c: Column) -> Column:
-    return F.lpad(_s(c), 5, "0")
-
-
-# ---------------------------------------------------------------------------
-# SQL fragments (DuckDB) mirroring the Spark column builders
-# ---------------------------------------------------------------------------
-# Integer part of an optionally signed decimal number: the oracle's form of
-# lenient_int (equal on text whose integer part has at least one digit and
-# no control-character padding, which covers every stand-in extract).
-LENIENT_INT_PATTERN = r"^([+-]?[0-9]+)([.][0-9]*)?$"
-
-
-def sql_lenient_int(e: str) -> str:
-    return f"TRY_CAST(NULLIF(regexp_extract(trim({e}), '{LENIENT_INT_PATTERN}', 1), '') AS INTEGER)"
-
-
-def sql_strict_int(e: str) -> str:
-    return f"(CASE WHEN regexp_matches(trim({e}), '{STRICT_INT_PATTERN}') THEN TRY_CAST(trim({e}) AS INTEGER) END)"
-
-
-def sql_pad5(e: str) -> str:
-    return f"lpad(CAST({e} AS VARCHAR), 5, '0')"
-
-
-def sql_list(values) -> str:
-    return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
-
-
-# States of the stand-in extracts: the 27 region-mapped codes upper-cased,
-# one unknown code and (past the end of the list) NULL.
-STATES = tuple(s.upper() for _, group in REGION_GROUPS for s in group) + tuple(
-    s.upper() for s in REGION_SOUTH_STATES
-) + ("XX",)
-
-# Categories of the stand-in extracts: every mapped and 'other' category, a
-# few unmapped ones, one upper-cased name (exact match fails) and NULL.
-CATEGORIES = tuple(c for _, group in CATEGORY_GROUPS for c in group) + CATEGORY_OTHER + (
-    "automotivo", "bebes", "pet_shop", "PCS",
-)
-
-
-def _pick(values: tuple[str, ...], key: Column) -> Column:
-    """values[key % (n+1)] (0-based) or NULL for the last residue."""
-    idx = (F.pmod(key, F.lit(len(values) + 1)) + 1).cast("int")
-    return F.when(idx <= len(values), F.element_at(F.array(*[F.lit(v) for v in values]), idx))
-
-
-def sql_pick(values: tuple[str, ...], key: str) -> str:
-    return f"{sql_list(values)}[CAST(({key}) % {len(values) + 1} AS INTEGER) + 1]"
-
-
-# ---------------------------------------------------------------------------
-# Stand-in extracts (Spark) and their SQL twins
-# ---------------------------------------------------------------------------
-def nation_ranges(nation: DataFrame) -> DataFrame:
-    """25 ranges, 150 prefixes wide, 100 apart: neighbours overlap (fan-out)."""
-    k = F.col("n_nationkey")
-    return nation.select(
-        F.col("n_name").alias("locality"),
-        F.concat(_pad5(k * 100), F.lit("-000 a "), _pad5(k * 100 + 149), F.lit("-999")).alias(
-            "postcode_range"
-        ),
-    )
-
-
-SQL_NATION_RANGES = f"""
-SELECT n_name AS locality,
-       {sql_pad5('n_nationkey * 100')} || '-000 a ' || {sql_pad5('n_nationkey * 100 + 149')} || '-999' AS postcode_range
-FROM nation"""
-
-
-def supplier_ranges(supplier: DataFrame) -> DataFrame:
-    """One range per supplier (grows with the data), some NULL, junk or reversed."""
-    k = F.col("s_suppkey")
-    lo = F.pmod(k * 389, F.lit(99000))
-    hi = lo + F.pmod(k, F.lit(40))
-    forward = F.concat(_pad5(lo), F.lit("-000 a "), _pad5(hi), F.lit("-999"))
-    backward = F.concat(_pad5(hi), F.lit("-000 a "), _pad5(lo), F.lit("-999"))
-    rng = (
-        F.when(F.pmod(k, F.lit(17)) == 0, F.lit(None).cast("string"))
-        .when(F.pmod(k, F.lit(19)) == 0, F.lit("x a y"))
-        .when(F.pmod(k, F.lit(13)) == 0, backward)
-        .otherwise(forward)
-    )
-    return supplier.select(F.col("s_name").alias("locality"), rng.alias("postcode_range"))
-
-
-_SQL_LO = "((s_suppkey * 389) % 99000)"
-_SQL_HI = f"({_SQL_LO} + s_suppkey % 40)"
-SQL_SUPPLIER_RANGES = f"""
-SELECT s_name AS locality,
-       CASE WHEN s_suppkey % 17 = 0 THEN NULL
-            WHEN s_suppkey % 19 = 0 THEN 'x a y'
-            WHEN s_suppkey % 13 = 0 THEN {sql_pad5(_SQL_HI)} || '-000 a ' || {sql_pad5(_SQL_LO)} || '-999'
-            ELSE {sql_pad5(_SQL_LO)} || '-000 a ' || {sql_pad5(_SQL_HI)} || '-999' END AS postcode_range
-FROM supplier"""
-
-
-def sql_expand(ranges_sql: str) -> str:
-    lo = sql_strict_int("split_part(split_part(postcode_range, ' a ', 1), '-', 1)")
-    hi = sql_strict_int("split_part(split_part(postcode_range, ' a ', 2), '-', 1)")
-    return f"""
-SELECT locality, CAST(CAST(p AS INTEGER) AS VARCHAR) AS cep_prefix
-FROM (SELECT locality, unnest(generate_series(lo, hi)) AS p
-      FROM (SELECT locality, {lo} AS lo, {hi} AS hi FROM ({ranges_sql}) r) b
-      WHERE lo IS NOT NULL AND hi IS NOT NULL AND hi >= lo) e"""
-
-
-def postcodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return expand_postcode_ranges(nation_ranges(_table(spark, sf_dir, "nation")))
-
-
-SQL_CEPS = sql_expand(SQL_NATION_RANGES)
-
-
-def customers_raw(customer: DataFrame) -> DataFrame:
-    k = F.col("c_custkey")
-    zip_code = F.when(F.pmod(k, F.lit(97)) == 0, F.lit("abc")).otherwise(
-        _pad5(F.pmod(k * 7, F.lit(2600)))
-    )
-    return customer.select(
-        _s(k).alias("customer_id"),
-        F.col("c_name").alias("customer_unique_id"),
-        zip_code.alias("customer_zip_code_prefix"),
-        F.col("c_name").alias("customer_city"),
-        _pick(STATES, k).alias("customer_state"),
-    )
-
-
-SQL_CUSTOMERS_RAW = f"""
-SELECT CAST(c_custkey AS VARCHAR) AS customer_id,
-       c_name AS customer_unique_id,
-       CASE WHEN c_custkey % 97 = 0 THEN 'abc' ELSE {sql_pad5('(c_custkey * 7) % 2600')} END AS customer_zip_code_prefix,
-       c_name AS customer_city,
-       {sql_pick(STATES, 'c_custkey')} AS customer_state
-FROM customer"""
-
-
-def geolocation_raw(customer: DataFrame) -> DataFrame:
-    k = F.col("c_custkey")
-    zip_code = F.when(
-        F.pmod(k, F.lit(89)) == 0, F.concat(F.lit(" "), _s(F.pmod(k, F.lit(2600))), F.lit(".0 "))
-    ).otherwise(_pad5(F.pmod(k * 11, F.lit(2600))))
-    lat = F.when(F.pmod(k, F.lit(101)) == 0, F.lit("n/a")).otherwise(_s("c_acctbal"))
-    return customer.select(
-        zip_code.alias("geolocation_zip_code_prefix"),
-        lat.alias("geolocation_lat"),
-        _s(F.col("c_nationkey") - 50).alias("geolocation_lng"),
-        F.col("c_name").alias("geolocation_city"),
-        _pick(STATES, k).alias("geolocation_state"),
-    )
-
-
-SQL_GEOLOCATION_RAW = f"""
-SELECT CASE WHEN c_custkey % 89 = 0 THEN ' ' || CAST(c_custkey % 2600 AS VARCHAR) || '.0 '
-            ELSE {sql_pad5('(c_custkey * 11) % 2600')} END AS geolocation_zip_code_prefix,
-       CASE WHEN c_custkey % 101 = 0 THEN 'n/a' ELSE CAST(c_acctbal AS VARCHAR) END AS geolocation_lat,
-       CAST(c_nationkey - 50 AS VARCHAR) AS geolocation_lng,
-       c_name AS geolocation_city,
-       {sql_pick(STATES, 'c_custkey')} AS geolocation_state
-FROM customer"""
-
-
-def sellers_raw(supplier: DataFrame) -> DataFrame:
-    k = F.col("s_suppkey")
-    return supplier.select(
-        _s(k).alias("seller_id"),
-        _pad5(F.pmod(k * 13, F.lit(2600))).alias("seller_zip_code_prefix"),
-        F.col("s_name").alias("seller_city"),
-        _pick(STATES, k).alias("seller_state"),
-    )
-
-
-SQL_SELLERS_RAW = f"""
-SELECT CAST(s_suppkey AS VARCHAR) AS seller_id,
-       {sql_pad5('(s_suppkey * 13) % 2600')} AS seller_zip_code_prefix,
-       s_name AS seller_city,
-       {sql_pick(STATES, 's_suppkey')} AS seller_state
-FROM supplier"""
-
-
-def order_items_raw(lineitem: DataFrame) -> DataFrame:
-    k = F.col("l_orderkey")
-    ship = F.when(F.pmod(k, F.lit(53)) == 0, F.lit("2001-02-30 10:00:00")).otherwise(_s("l_shipdate"))
-    price = F.when(F.pmod(k, F.lit(59)) == 0, F.lit("n/a")).otherwise(_s("l_extendedprice"))
-    return lineitem.select(
-        _s(k).alias("order_id"),
-        _s("l_linenumber").alias("order_item_id"),
-        _s("l_partkey").alias("product_id"),
-        _s("l_suppkey").alias("seller_id"),
-        ship.alias("shipping_limit_date"),
-        price.alias("price"),
-        _s("l_discount").alias("freight_value"),
-    )
-
-
-SQL_ORDER_ITEMS_RAW = """
-SELECT CAST(l_orderkey AS VARCHAR) AS order_id,
-       CAST(l_linenumber AS VARCHAR) AS order_item_id,
-       CAST(l_partkey AS VARCHAR) AS product_id,
-       CAST(l_suppkey AS VARCHAR) AS seller_id,
-       CASE WHEN l_orderkey % 53 = 0 THEN '2001-02-30 10:00:00' ELSE CAST(l_shipdate AS VARCHAR) END AS shipping_limit_date,
-       CASE WHEN l_orderkey % 59 = 0 THEN 'n/a' ELSE CAST(l_extendedprice AS VARCHAR) END AS price,
-       CAST(l_discount AS VARCHAR) AS freight_value
-FROM lineitem"""
-
-
-def payments_raw(orders: DataFrame, bad_value: str = "n/a") -> DataFrame:
-    k = F.col("o_orderkey")
-    variant = F.pmod(k, F.lit(8))
-    seq = (
-        F.when(variant == 0, _s(F.pmod(k, F.lit(5)) + 1))
-        .when(variant == 1, _s("o_totalprice"))
-        .when(variant == 2, F.concat(F.lit(" "), _s("o_custkey"), F.lit(" ")))
-        .when(variant == 3, F.concat(F.lit("+"), _s(F.pmod("o_custkey", F.lit(100)))))
-        .when(variant == 4, F.lit("abc"))
-        .when(variant == 5, F.lit(""))
-        .when(variant == 6, F.lit("1e2"))
-        .otherwise(F.concat(F.lit("-"), _s("o_custkey"), F.lit(".9")))
-    )
-    inst = F.pmod(F.col("o_custkey"), F.lit(12))
-    installments = F.when(F.pmod(k, F.lit(3)) == 0, F.concat(_s(inst), F.lit(".0"))).otherwise(_s(inst))
-    value = F.when(F.pmod(k, F.lit(23)) == 0, F.lit(bad_value)).otherwise(_s("o_totalprice"))
-    return orders.select(
-        _s(k).alias("order_id"),
-        seq.alias("payment_sequential"),
-        F.col("o_orderpriority").alias("payment_type"),
-        installments.alias("payment_installments"),
-        value.alias("payment_value"),
-    )
-
-
-def sql_payments_raw(bad_value: str = "n/a") -> str:
-    return f"""
-SELECT CAST(o_orderkey AS VARCHAR) AS order_id,
-       CASE o_orderkey % 8
-            WHEN 0 THEN CAST(o_orderkey % 5 + 1 AS VARCHAR)
-            WHEN 1 THEN CAST(o_totalprice AS VARCHAR)
-            WHEN 2 THEN ' ' || CAST(o_custkey AS VARCHAR) || ' '
-            WHEN 3 THEN '+' || CAST(o_custkey % 100 AS VARCHAR)
-            WHEN 4 THEN 'abc'
-            WHEN 5 THEN ''
-            WHEN 6 THEN '1e2'
-            ELSE '-' || CAST(o_custkey AS VARCHAR) || '.9' END AS payment_sequential,
-       o_orderpriority AS payment_type,
-       CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_custkey % 12 AS VARCHAR) || '.0'
-            ELSE CAST(o_custkey % 12 AS VARCHAR) END AS payment_installments,
-       CASE WHEN o_orderkey % 23 = 0 THEN '{bad_value}' ELSE CAST(o_totalprice AS VARCHAR) END AS payment_value
-FROM orders"""
-
-
-def ship_dates(lineitem: DataFrame) -> DataFrame:
-    """First/last ship date per order (partial aggregation before the shuffle)."""
-    return lineitem.groupBy("l_orderkey").agg(
-        F.min("l_shipdate").alias("first_ship"), F.max("l_shipdate").alias("last_ship")
-    )
-
-
-SQL_SHIP_DATES = """
-SELECT l_orderkey, min(l_shipdate) AS first_ship, max(l_shipdate) AS last_ship
-FROM lineitem GROUP BY l_orderkey"""
-
-
-def orders_with_ship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = _table(spark, sf_dir, "orders")
-    ships = ship_dates(_table(spark, sf_dir, "lineitem"))
-    return orders.join(ships, orders["o_orderkey"] == ships["l_orderkey"], "left")
-
-
-SQL_ORDERS_WITH_SHIP = f"""
-SELECT * FROM orders o LEFT JOIN ({SQL_SHIP_DATES}) s ON o.o_orderkey = s.l_orderkey"""
-
-
-def orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = orders_with_ship(spark, sf_dir)
-    k = F.col("o_orderkey")
-    purchase = F.col("o_orderdate") + F.make_dt_interval(
-        hours=F.pmod(k, F.lit(24)).cast("int"), mins=F.pmod(k, F.lit(60)).cast("int")
-    )
-    approved = purchase + F.make_dt_interval(
-        days=F.pmod(k, F.lit(3)).cast("int"), hours=F.lit(5)
-    )
-    delivered = F.col("last_ship") + F.make_dt_interval(hours=F.pmod(k, F.lit(20)).cast("int"))
-    estimated = F.when(F.pmod(k, F.lit(31)) == 0, F.lit("2001-02-30")).otherwise(
-        _s(F.date_add(F.to_date("o_orderdate"), 30))
-    )
-    return df.select(
-        _s(k).alias("order_id"),
-        _s("o_custkey").alias("customer_id"),
-        F.col("o_orderstatus").alias("order_status"),
-        _s(purchase).alias("order_purchase_timestamp"),
-        F.when(F.pmod(k, F.lit(29)) == 0, F.lit("")).otherwise(_s(approved)).alias("order_approved_at"),
-        _s("first_ship").alias("order_delivered_carrier_date"),
-        _s(delivered).alias("order_delivered_customer_date"),
-        estimated.alias("order_estimated_delivery_date"),
-    )
-
-
-_SQL_PURCHASE = "(o_orderdate + to_hours(o_orderkey % 24) + to_minutes(o_orderkey % 60))"
-SQL_ORDERS_RAW = f"""
-SELECT CAST(o_orderkey AS VARCHAR) AS order_id,
-       CAST(o_custkey AS VARCHAR) AS customer_id,
-       o_orderstatus AS order_status,
-       CAST({_SQL_PURCHASE} AS VARCHAR) AS order_purchase_timestamp,
-       CASE WHEN o_orderkey % 29 = 0 THEN ''
-            ELSE CAST({_SQL_PURCHASE} + to_days(CAST(o_orderkey % 3 AS INTEGER)) + to_hours(5) AS VARCHAR) END
-            AS order_approved_at,
-       CAST(first_ship AS VARCHAR) AS order_delivered_carrier_date,
-       CAST(last_ship + to_hours(o_orderkey % 20) AS VARCHAR) AS order_delivered_customer_date,
-       CASE WHEN o_orderkey % 31 = 0 THEN '2001-02-30'
-            ELSE CAST(CAST(o_orderdate AS DATE) + 30 AS VARCHAR) END AS order_estimated_delivery_date
-FROM ({SQL_ORDERS_WITH_SHIP}) ow"""
-
-
-def products_raw(part: DataFrame) -> DataFrame:
-    k = F.col("p_partkey")
-    category = _pick(CATEGORIES, k)
-    category = F.when(F.pmod(k, F.lit(2)) == 0, F.upper(category)).otherwise(category)
-    height = F.when(F.pmod(k, F.lit(17)) == 0, F.lit("n/a")).otherwise(_s(F.col("p_size") * 2))
-    return part.select(
-        _s(k).alias("product_id"),
-        category.alias("product_category_name"),
-        _s(F.length("p_name")).alias("product_name_lenght"),
-        _s(F.length("p_type") * 10).alias("product_description_lenght"),
-        _s(F.pmod("p_size", F.lit(5))).alias("product_photos_qty"),
-        _s("p_retailprice").alias("product_weight_g"),
-        _s("p_size").alias("product_length_cm"),
-        height.alias("product_height_cm"),
-        F.concat(_s(F.col("p_size") + 10), F.lit(".5")).alias("product_width_cm"),
-    )
-
-
-SQL_PRODUCTS_RAW = f"""
-SELECT CAST(p_partkey AS VARCHAR) AS product_id,
-       CASE WHEN p_partkey % 2 = 0 THEN upper({sql_pick(CATEGORIES, 'p_partkey')})
-            ELSE {sql_pick(CATEGORIES, 'p_partkey')} END AS product_category_name,
-       CAST(length(p_name) AS VARCHAR) AS product_name_lenght,
-       CAST(length(p_type) * 10 AS VARCHAR) AS product_description_lenght,
-       CAST(p_size % 5 AS VARCHAR) AS product_photos_qty,
-       CAST(p_retailprice AS VARCHAR) AS product_weight_g,
-       CAST(p_size AS VARCHAR) AS product_length_cm,
-       CASE WHEN p_partkey % 17 = 0 THEN 'n/a' ELSE CAST(p_size * 2 AS VARCHAR) END AS product_height_cm,
-       CAST(p_size + 10 AS VARCHAR) || '.5' AS product_width_cm
-FROM part"""
-
-
-# ---------------------------------------------------------------------------
-# SQL for the typed tables (twins of plans.tables)
-# ---------------------------------------------------------------------------
-def sql_customers(raw_sql: str, ceps_sql: str = SQL_CEPS, first: bool = False) -> str:
-    ceps = ceps_sql
-    if first:
-        ceps = f"SELECT min(locality) AS locality, cep_prefix FROM ({ceps_sql}) x GROUP BY cep_prefix"
-    return f"""
-SELECT c.customer_id, c.customer_unique_id, c.customer_zip_code_prefix,
-       lower(p.locality) AS customer_city, lower(c.customer_state) AS customer_state
-FROM ({raw_sql}) c LEFT JOIN ({ceps}) p
-  ON {sql_lenient_int('c.customer_zip_code_prefix')} = {sql_lenient_int('p.cep_prefix')}"""
-
-
-def sql_region(state: str) -> str:
-    whens = " ".join(
-        f"WHEN {state} IN ({', '.join(repr(v) for v in values)}) THEN '{label}'"
-        for label, values in REGION_GROUPS
-    )
-    return f"CASE {whens} ELSE 'sul' END"
-
-
-def sql_category(cat: str) -> str:
-    whens = " ".join(
-        f"WHEN {cat} IN ({', '.join(repr(v) for v in values)}) THEN '{label}'"
-        for label, values in CATEGORY_GROUPS
-    )
-    return f"CASE {whens} ELSE 'outros' END"
-
-
-SQL_GEO_JOINED = f"""
-SELECT g.geolocation_zip_code_prefix, g.geolocation_lat, g.geolocation_lng,
-       lower(p.locality) AS city_lookup, g.geolocation_city AS city_original, g.geolocation_state
-FROM ({SQL_GEOLOCATION_RAW}) g LEFT JOIN ({SQL_CEPS}) p
-  ON {sql_lenient_int('g.geolocation_zip_code_prefix')} = {sql_lenient_int('p.cep_prefix')}"""
-
-
-def _geo_select(city: str) -> str:
-    return f"""geolocation_zip_code_prefix,
-       TRY_CAST(geolocation_lat AS DOUBLE) AS geolocation_lat,
-       TRY_CAST(geolocation_lng AS DOUBLE) AS geolocation_lng,
-       {city} AS geolocation_city,
-       lower(geolocation_state) AS geolocation_state"""
-
-
-SQL_ORDERS_TYPED = f"""
-SELECT order_id, customer_id, order_status,
-       TRY_CAST(order_purchase_timestamp AS TIMESTAMP) AS order_purchase_timestamp,
-       TRY_CAST(order_approved_at AS TIMESTAMP) AS order_approved_at,
-       TRY_CAST(order_delivered_carrier_date AS TIMESTAMP) AS order_delivered_carrier_date,
-       TRY_CAST(order_delivered_customer_date AS TIMESTAMP) AS order_delivered_customer_date,
-       TRY_CAST(order_estimated_delivery_date AS DATE) AS order_estimated_delivery_date
-FROM ({SQL_ORDERS_RAW}) r"""
-
-
-def _sql_day_name(ts: str) -> str:
-    return f"CASE WHEN {ts} IS NULL THEN 'saturday' ELSE lower(dayname({ts})) END"
-
-
-def _sql_month_name(ts: str) -> str:
-    return f"CASE WHEN {ts} IS NULL THEN 'december' ELSE lower(monthname({ts})) END"
-
-
-def _sql_day_diff(end: str, start: str) -> str:
-    return f"CAST(date_diff('day', CAST({start} AS DATE), CAST({end} AS DATE)) AS INTEGER)"
-
-
-SQL_ORDER_FEATURES = f"""
-SELECT *,
-       CAST(dayofweek(order_purchase_timestamp) + 1 AS INTEGER) AS order_day_of_week,
-       {_sql_day_name('order_purchase_timestamp')} AS order_name_day_of_week,
-       CAST(month(order_purchase_timestamp) AS INTEGER) AS order_month,
-       {_sql_month_name('order_purchase_timestamp')} AS order_name_month,
-       {_sql_day_diff('order_delivered_customer_date', 'order_purchase_timestamp')} AS order_delivery_days,
-       CAST(hour(order_purchase_timestamp) AS INTEGER) AS order_hour,
-       {_sql_day_diff('order_approved_at', 'order_purchase_timestamp')} AS order_processing_days
-FROM ({SQL_ORDERS_TYPED}) t"""
-
-
 # ---------------------------------------------------------------------------
 # The queries
 # ---------------------------------------------------------------------------
 @_register("postcode_expand", sql_expand(SQL_SUPPLIER_RANGES))
 def q_postcode_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Range text -> one row per 5-digit prefix (string, no leading zeros)."""
-    return expand_postcode_ranges(supplier_ranges(_table(spark, sf_dir, "supplier")))
+    return expand_postcode_ranges(supplier_ranges(table(spark, sf_dir, "supplier")))
 
 
 @_register("lookup_no_fallback", sql_customers(SQL_CUSTOMERS_RAW))
 def q_lookup_no_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers table: city from the postcode dimension, fan-out kept, NULL on miss."""
-    raw = customers_raw(_table(spark, sf_dir, "customer"))
+    raw = customers_raw(table(spark, sf_dir, "customer"))
     return transform_customers(raw, postcodes(spark, sf_dir))
 
 
 @_register("lookup_first", sql_customers(SQL_CUSTOMERS_RAW, first=True))
 def q_lookup_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers table with one row per customer (smallest locality per prefix)."""
-    raw = customers_raw(_table(spark, sf_dir, "customer"))
+    raw = customers_raw(table(spark, sf_dir, "customer"))
     return transform_customers(raw, postcodes(spark, sf_dir), on_multiple=FIRST)
 
 
 @_register("lookup_salted", sql_customers(SQL_CUSTOMERS_RAW))
 def q_lookup_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers table through the non-broadcast path (hot keys salted)."""
-    raw = customers_raw(_table(spark, sf_dir, "customer"))
+    raw = customers_raw(table(spark, sf_dir, "customer"))
     return transform_customers(
         raw, postcodes(spark, sf_dir), broadcast_max_rows=0, hot_key_fraction=0.002, salt_buckets=8
     )
 
 
-@_register("lookup_fallback_raw", f"SELECT {_geo_select('coalesce(city_lookup, city_original)')} FROM ({SQL_GEO_JOINED}) j")
+@_register("lookup_fallback_raw", f"SELECT {geo_select('coalesce(city_lookup, city_original)')} FROM ({SQL_GEO_JOINED}) j")
 def q_lookup_fallback_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Geolocation table: coordinates to DOUBLE, city falls back to the raw text."""
-    raw = geolocation_raw(_table(spark, sf_dir, "customer"))
+    raw = geolocation_raw(table(spark, sf_dir, "customer"))
     return transform_geolocation(raw, postcodes(spark, sf_dir))
 
 
 @_register("union_halves", f"""
-SELECT {_geo_select('city_lookup')} FROM ({SQL_GEO_JOINED}) j WHERE city_lookup IS NOT NULL
+SELECT {geo_select('city_lookup')} FROM ({SQL_GEO_JOINED}) j WHERE city_lookup IS NOT NULL
 UNION ALL
-SELECT {_geo_select('city_original')} FROM ({SQL_GEO_JOINED}) j WHERE city_lookup IS NULL""")
+SELECT {geo_select('city_original')} FROM ({SQL_GEO_JOINED}) j WHERE city_lookup IS NULL""")
 def q_union_halves(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Geolocation fallback in the original split / overwrite / UNION ALL form."""
-    raw = geolocation_raw(_table(spark, sf_dir, "customer")).withColumn(
+    raw = geolocation_raw(table(spark, sf_dir, "customer")).withColumn(
         "city_original", F.col("geolocation_city")
     )
     joined = lookup_dimension(
@@ -573,7 +162,7 @@ FROM ({SQL_SELLERS_RAW}) s LEFT JOIN ({SQL_CEPS}) p
   ON {sql_lenient_int('s.seller_zip_code_prefix')} = {sql_lenient_int('p.cep_prefix')}""")
 def q_lookup_fallback_lower(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sellers table: city falls back to the lowercased raw text; region label."""
-    raw = sellers_raw(_table(spark, sf_dir, "supplier"))
+    raw = sellers_raw(table(spark, sf_dir, "supplier"))
     sellers = transform_sellers(raw, postcodes(spark, sf_dir))
     return add_region(sellers, "seller_state", "seller_region")
 
@@ -594,9 +183,9 @@ SELECT {sql_pick(CATEGORIES, 'p_partkey')} AS product_category_name,
 FROM part""")
 def q_category_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Category dictionary + group label ('outros' for unknown/NULL/other case)."""
-    part = _table(spark, sf_dir, "part")
+    part = table(spark, sf_dir, "part")
     dictionary = part.select(
-        _pick(CATEGORIES, F.col("p_partkey")).alias("product_category_name"),
+        pick(CATEGORIES, F.col("p_partkey")).alias("product_category_name"),
         F.col("p_type").alias("product_category_name_english"),
     )
     return add_category_group(dictionary, "product_category_name", "sub_product_category")
@@ -615,17 +204,17 @@ FROM (SELECT product_id, lower(product_category_name) AS product_category_name,
       FROM ({SQL_PRODUCTS_RAW}) r) t""")
 def q_unit_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Final products table: lenient INT measures + g->kg and cm->m (DOUBLE)."""
-    products = transform_products(products_raw(_table(spark, sf_dir, "part")))
+    products = transform_products(products_raw(table(spark, sf_dir, "part")))
     return convert_units(products, PRODUCT_UNITS)
 
 
 @_register("day_name", f"""
 SELECT event_id, CAST(dayofweek(ts) + 1 AS INTEGER) AS order_day_of_week,
-       {_sql_day_name('ts')} AS order_name_day_of_week
+       {sql_day_name('ts')} AS order_name_day_of_week
 FROM events""")
 def q_day_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weekday number (1 = Sunday) and English name of each event time."""
-    events = _table(spark, sf_dir, "events")
+    events = table(spark, sf_dir, "events")
     day = F.dayofweek("ts")
     return events.select(
         "event_id", day.alias("order_day_of_week"), day_of_week_name(day).alias("order_name_day_of_week")
@@ -634,11 +223,11 @@ def q_day_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register("month_name", f"""
 SELECT o_orderkey, CAST(month(o_orderdate) AS INTEGER) AS order_month,
-       {_sql_month_name('o_orderdate')} AS order_name_month
+       {sql_month_name('o_orderdate')} AS order_name_month
 FROM orders""")
 def q_month_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Month number and English name of each order date."""
-    orders = _table(spark, sf_dir, "orders")
+    orders = table(spark, sf_dir, "orders")
     month = F.month("o_orderdate")
     return orders.select("o_orderkey", month.alias("order_month"), month_name(month).alias("order_name_month"))
 
@@ -646,9 +235,9 @@ def q_month_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register("null_date_names", f"""
 SELECT o_orderkey,
        CAST(dayofweek(first_ship) + 1 AS INTEGER) AS ship_day_of_week,
-       {_sql_day_name('first_ship')} AS ship_name_day_of_week,
+       {sql_day_name('first_ship')} AS ship_name_day_of_week,
        CAST(month(first_ship) AS INTEGER) AS ship_month,
-       {_sql_month_name('first_ship')} AS ship_name_month
+       {sql_month_name('first_ship')} AS ship_name_month
 FROM ({SQL_ORDERS_WITH_SHIP}) ow""")
 def q_null_date_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders without items have no ship date: numbers NULL, names 'saturday'/'december'."""
@@ -667,11 +256,11 @@ def q_null_date_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register("hour_of_day", "SELECT event_id, CAST(hour(ts) AS INTEGER) AS event_hour FROM events")
 def q_hour_of_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hour of day of each event time."""
-    return _table(spark, sf_dir, "events").select("event_id", F.hour("ts").alias("event_hour"))
+    return table(spark, sf_dir, "events").select("event_id", F.hour("ts").alias("event_hour"))
 
 
 @_register("day_diff", f"""
-SELECT o_orderkey, {_sql_day_diff('first_ship', 'o_orderdate')} AS ship_days
+SELECT o_orderkey, {sql_day_diff('first_ship', 'o_orderdate')} AS ship_days
 FROM ({SQL_ORDERS_WITH_SHIP}) ow""")
 def q_day_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calendar days order date -> first shipment (NULL without items; may be negative)."""
@@ -687,7 +276,7 @@ SELECT order_id, order_item_id, product_id, seller_id,
 FROM ({SQL_ORDER_ITEMS_RAW}) r""")
 def q_cast_money(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order items table: TIMESTAMP and FLOAT columns from text, junk -> NULL."""
-    return transform_order_items(order_items_raw(_table(spark, sf_dir, "lineitem")))
+    return transform_order_items(order_items_raw(table(spark, sf_dir, "lineitem")))
 
 
 @_register("cast_coordinates", """
@@ -698,12 +287,12 @@ SELECT s_suppkey,
 FROM supplier""")
 def q_cast_coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text -> DOUBLE with padding and junk (padding accepted, junk -> NULL)."""
-    supplier = _table(spark, sf_dir, "supplier")
+    supplier = table(spark, sf_dir, "supplier")
     k = F.col("s_suppkey")
     text = (
-        F.when(F.pmod(k, F.lit(7)) == 0, F.concat(F.lit(" "), _s("s_acctbal"), F.lit(" ")))
+        F.when(F.pmod(k, F.lit(7)) == 0, F.concat(F.lit(" "), as_text("s_acctbal"), F.lit(" ")))
         .when(F.pmod(k, F.lit(11)) == 0, F.lit("abc"))
-        .otherwise(_s("s_acctbal"))
+        .otherwise(as_text("s_acctbal"))
     )
     return supplier.select("s_suppkey", lenient_cast(text, "double").alias("coordinate"))
 
@@ -717,7 +306,7 @@ SELECT order_id,
 FROM ({sql_payments_raw()}) r""")
 def q_cast_int_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payments table: old truncating INT semantics under ANSI ('650.0' -> 650)."""
-    return transform_order_payments(payments_raw(_table(spark, sf_dir, "orders")))
+    return transform_order_payments(payments_raw(table(spark, sf_dir, "orders")))
 
 
 @_register("cast_date", SQL_ORDERS_TYPED)
@@ -735,7 +324,7 @@ def q_order_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register("csv_roundtrip_text", "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text FROM documents")
 def q_csv_roundtrip_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Free text with quotes, commas and line breaks survives CSV write + read."""
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = scratch_path(spark, "csv-roundtrip-text")
     write_csv(docs, path)
     return read_reviews(spark, path, columns=("doc_id", "text"))
@@ -747,7 +336,7 @@ SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARC
 FROM customer""")
 def q_csv_all_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Header CSV with an explicit separator read back with every column as text."""
-    customer = _table(spark, sf_dir, "customer")
+    customer = table(spark, sf_dir, "customer")
     path = scratch_path(spark, "csv-all-strings")
     customer.write.mode("overwrite").option("header", True).option("sep", ";").csv(path)
     return read_csv_strings(spark, path, columns=customer.columns, sep=";")
@@ -756,7 +345,7 @@ def q_csv_all_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register("parquet_overwrite", "SELECT * FROM orders")
 def q_parquet_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Overwrite a Parquet table twice; the read-back equals the source once."""
-    orders = _table(spark, sf_dir, "orders")
+    orders = table(spark, sf_dir, "orders")
     out = scratch_path(spark, "parquet-overwrite")
     write_tables({"orders": orders}, out)
     paths = write_tables({"orders": orders}, out)
@@ -771,7 +360,7 @@ def q_sql_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     joins on a plain INT column; the broadcast hint is only given after the
     dimension's row count has been bounded.
     """
-    raw = customers_raw(_table(spark, sf_dir, "customer"))
+    raw = customers_raw(table(spark, sf_dir, "customer"))
     ceps = postcodes(spark, sf_dir)
     suffix = id(raw)
     customers_view, ceps_view = f"customers_{suffix}", f"ceps_{suffix}"
@@ -801,7 +390,7 @@ FROM (SELECT order_id, {sql_lenient_int('payment_sequential')} AS payment_sequen
       FROM ({sql_payments_raw('NaN')}) r) t""")
 def q_null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Missing (NULL, or NaN for floats) per column of the payments table."""
-    payments = transform_order_payments(payments_raw(_table(spark, sf_dir, "orders"), bad_value="NaN"))
+    payments = transform_order_payments(payments_raw(table(spark, sf_dir, "orders"), bad_value="NaN"))
     return null_profile(payments)
 
 
@@ -827,69 +416,20 @@ def q_profile_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register("distinct_values", "SELECT DISTINCT o_orderstatus FROM orders")
 def q_distinct_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct order statuses (partial distinct per partition, one shuffle)."""
-    return distinct_values(_table(spark, sf_dir, "orders"), "o_orderstatus")
+    return distinct_values(table(spark, sf_dir, "orders"), "o_orderstatus")
 
 
 @_register("like_prefix", "SELECT p_partkey, p_name FROM part WHERE p_name LIKE 'red%'")
 def q_like_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prefix filter pushed into the Parquet scan."""
-    part = _table(spark, sf_dir, "part")
+    part = table(spark, sf_dir, "part")
     return part.where(F.col("p_name").like("red%")).select("p_partkey", "p_name")
 
 
 @_register("limit_preview", "SELECT * FROM orders ORDER BY o_orderkey LIMIT 5")
 def q_limit_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The preview feature itself: first 5 orders by key (top-n, no full sort)."""
-    return preview(_table(spark, sf_dir, "orders"), 5, order_by="o_orderkey")
+    return preview(table(spark, sf_dir, "orders"), 5, order_by="o_orderkey")
 
 
 FLAGSHIP = "order_features"
-
-
-# ---------------------------------------------------------------------------
-# Whole-job inputs: the stand-in extracts written as CSV files
-# ---------------------------------------------------------------------------
-def reviews_raw(documents: DataFrame) -> DataFrame:
-    """Free-text review extract: quotes, commas and line breaks in messages."""
-    k = F.col("doc_id")
-    return documents.select(
-        _s(k).alias("review_id"),
-        _s(F.pmod(k * 7, F.lit(1000))).alias("order_id"),
-        _s(F.pmod(k, F.lit(5)) + 1).alias("review_score"),
-        F.col("text").alias("review_comment_message"),
-        F.lit("2018-01-18 00:00:00").alias("review_creation_date"),
-    )
-
-
-def category_dictionary_raw(part: DataFrame) -> DataFrame:
-    return part.select(
-        _pick(CATEGORIES, F.col("p_partkey")).alias("product_category_name"),
-        F.col("p_type").alias("product_category_name_english"),
-    )
-
-
-def standin_extracts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The nine raw extracts of the job plus the postcode ranges, all text."""
-    customer = _table(spark, sf_dir, "customer")
-    return {
-        "postcode_ranges": nation_ranges(_table(spark, sf_dir, "nation")),
-        "customers": customers_raw(customer),
-        "geolocation": geolocation_raw(customer),
-        "order_items": order_items_raw(_table(spark, sf_dir, "lineitem")),
-        "order_payments": payments_raw(_table(spark, sf_dir, "orders")),
-        "order_reviews": reviews_raw(_table(spark, sf_dir, "documents")),
-        "orders": orders_raw(spark, sf_dir),
-        "products": products_raw(_table(spark, sf_dir, "part")),
-        "sellers": sellers_raw(_table(spark, sf_dir, "supplier")),
-        "product_category": category_dictionary_raw(_table(spark, sf_dir, "part")),
-    }
-
-
-def write_standin_extracts(spark: SparkSession, sf_dir: str, out_dir: str) -> dict[str, str]:
-    """Write each stand-in extract as a header CSV directory; return the paths."""
-    paths = {}
-    for name, df in standin_extracts(spark, sf_dir).items():
-        path = f"{out_dir.rstrip('/')}/{name}.csv"
-        write_csv(df, path)
-        paths[name] = path
-    return paths

@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from storefront_etl.plans.jobs import PipelinePaths, prepare_postcodes, run_pipeline
-from storefront_etl.plans.queries import write_standin_extracts
+from storefront_etl.plans.standins import write_standin_extracts
 
 SF = "/root/testdata/sf0.001"
 

@@ -24,7 +24,7 @@ from storefront_etl.functions.labels import REGION_GROUPS, region_of_state  # no
 from storefront_etl.operators.fill import fill_missing, fill_missing_by_union  # noqa: E402
 from storefront_etl.operators.lookup import lookup_dimension  # noqa: E402
 from storefront_etl.operators.postcode import range_bounds  # noqa: E402
-from storefront_etl.plans import queries as q  # noqa: E402
+from storefront_etl.plans import standins as q  # noqa: E402
 from storefront_etl.session import local_session  # noqa: E402
 
 
@@ -102,7 +102,7 @@ def main() -> None:
     # 4. same, with a range table that grows with the data (supplier ranges,
     #    lineitem keys): cost O(facts + prefixes) against O(facts x ranges).
     facts = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
-        "l_orderkey", q._pad5(F.pmod(F.col("l_orderkey") * 7, F.lit(99000))).alias("zip"))
+        "l_orderkey", q.pad5(F.pmod(F.col("l_orderkey") * 7, F.lit(99000))).alias("zip"))
     sranges = q.supplier_ranges(spark.read.parquet(f"{sf_dir}/supplier.parquet"))
     expanded2 = lookup_dimension(facts, q.expand_postcode_ranges(sranges), key="zip",
                                  dim_key="cep_prefix", dim_value="locality", out="city")

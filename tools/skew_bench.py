@@ -21,7 +21,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 from pyspark.sql import functions as F  # noqa: E402
 
 from storefront_etl.operators.lookup import lookup_dimension, prepare_dimension  # noqa: E402
-from storefront_etl.plans import queries as q  # noqa: E402
+from storefront_etl.plans import standins as q  # noqa: E402
 from storefront_etl.session import local_session  # noqa: E402
 
 
@@ -39,7 +39,7 @@ def main() -> None:
     facts = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
         "l_orderkey", "l_partkey",
         F.when(F.pmod(k, F.lit(3)) == 0, F.lit("01003"))
-        .otherwise(q._pad5(F.pmod(k * 7, F.lit(99000)))).alias("zip"),
+        .otherwise(q.pad5(F.pmod(k * 7, F.lit(99000)))).alias("zip"),
     )
     ranges = q.supplier_ranges(spark.read.parquet(f"{sf_dir}/supplier.parquet"))
     dim = q.expand_postcode_ranges(ranges)
