@@ -91,7 +91,8 @@ def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = local_session(8, 8)
     print(f"# Physical plans of the registered queries ({Path(sf_dir).name}, final AQE plans)\n")
-    print("Generated by `tools/plan_report.py`. Shuffles = hash/range/single-partition exchanges;")
+    extra = " (second table: a larger input, e.g. the 10x copy from `tools/scale_up.py`)" if len(sys.argv) > 2 else ""
+    print(f"Generated by `tools/plan_report.py`{extra}. Shuffles = hash/range/single-partition exchanges;")
     print("every scan reads only the listed columns (`ReadSchema`).\n")
     print("| Query | Scans | Shuffles | Broadcasts | Joins | Aggs | Other | Python UDF | At 100 TB |")
     print("|---|---|---|---|---|---|---|---|---|")
