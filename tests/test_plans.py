@@ -26,9 +26,13 @@ def test_lookups_broadcast_the_dimension(spark, name):
     assert "BroadcastHashJoin" in _plan(entry.queries()[name](spark, SF))
 
 
-def test_fallback_scans_source_once(spark):
-    plan = entry.queries()["lookup_fallback_raw"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("Relation [c_custkey") == 1
+@pytest.mark.parametrize("name,fact", [
+    ("lookup_fallback_raw", "c_custkey"), ("lookup_no_fallback", "c_custkey"), ("region_label", "c_custkey"),
+    ("lookup_fallback_lower", "s_suppkey"), ("sql_view", "c_custkey"), ("lookup_first", "c_custkey"),
+])
+def test_lookups_scan_the_fact_table_once(spark, name, fact):
+    plan = entry.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(f"Relation [{fact}") == 1
     assert "Union" not in plan
 
 
