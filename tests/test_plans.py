@@ -45,3 +45,18 @@ def test_pushdown_and_pruning(spark):
 
 def test_limit_preview_is_top_n(spark):
     assert "TakeOrderedAndProject" in _plan(entry.queries()["limit_preview"](spark, SF))
+
+
+SHUFFLE_FREE = [
+    "postcode_expand", "lookup_no_fallback", "lookup_fallback_raw", "lookup_fallback_lower", "region_label",
+    "sql_view", "category_group", "unit_convert", "day_name", "month_name", "hour_of_day", "cast_money",
+    "cast_coordinates", "cast_int_lenient", "like_prefix",
+]
+
+
+@pytest.mark.parametrize("name", SHUFFLE_FREE)
+def test_projection_and_lookup_queries_do_not_shuffle(spark, name):
+    plan = _plan(entry.queries()[name](spark, SF))
+    for shuffle in ("Exchange hashpartitioning", "Exchange SinglePartition", "Exchange RoundRobin",
+                    "Exchange rangepartitioning"):
+        assert shuffle not in plan, (name, shuffle)
