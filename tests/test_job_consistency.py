@@ -21,15 +21,29 @@ TABLE_TO_QUERY = {
 
 
 @pytest.fixture(scope="module")
-def job_tables(spark, tmp_path_factory):
+def job_paths(spark, tmp_path_factory):
     base = tmp_path_factory.mktemp("job")
     raw = write_standin_extracts(spark, SF, str(base / "raw"))
     ceps = prepare_postcodes(spark, raw["postcode_ranges"], str(base / "ceps.parquet"))
-    paths = PipelinePaths(**{k: v for k, v in raw.items() if k != "postcode_ranges"}, postcodes=ceps)
+    return base, PipelinePaths(**{k: v for k, v in raw.items() if k != "postcode_ranges"}, postcodes=ceps)
+
+
+@pytest.fixture(scope="module")
+def job_tables(spark, job_paths):
+    base, paths = job_paths
     written = run_pipeline(spark, paths, str(base / "out"))
     return {name: spark.read.parquet(p) for name, p in written.items()}
 
 
+def test_job_plans_are_shuffle_free(spark, job_paths):
+    from storefront_etl.plans.jobs import build_tables
+
+    for name, df in build_tables(spark, job_paths[1]).items():
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in plan and "Exchange SinglePartition" not in plan, name
+        assert "BatchEvalPython" not in plan, name
+
+
 @pytest.mark.parametrize("table", sorted(TABLE_TO_QUERY))
 def test_job_table_equals_query(spark, job_tables, table):
     got = job_tables[table]
