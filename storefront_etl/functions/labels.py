@@ -2,9 +2,10 @@
 
 A mapping is an ordered sequence of ``(label, values)`` pairs; the first
 group whose value list contains the input wins, anything else (including
-NULL) gets the default.  Matching is exact and case-sensitive.  Catalyst
-turns each long ``isin`` into a hash-set lookup (``InSet``), so the whole
-mapping stays inside whole-stage codegen with no Python worker.
+NULL) gets the default.  Matching is exact and case-sensitive.  The whole
+mapping is one CASE expression inside whole-stage codegen, with no Python
+worker; Catalyst turns any list of more than 10 values into a hash-set
+lookup (``InSet``), so large mappings stay cheap per row.
 """
 
 from __future__ import annotations

@@ -60,3 +60,17 @@ def test_projection_and_lookup_queries_do_not_shuffle(spark, name):
     for shuffle in ("Exchange hashpartitioning", "Exchange SinglePartition", "Exchange RoundRobin",
                     "Exchange rangepartitioning"):
         assert shuffle not in plan, (name, shuffle)
+
+
+def test_csv_reader_prunes_columns(spark, tmp_path):
+    from storefront_etl.sources.csv import read_csv_strings
+
+    path = tmp_path / "wide.csv"
+    path.write_text("a,b,c,d\n1,2,3,4\n", encoding="utf-8")
+    plan = _plan(read_csv_strings(spark, str(path), columns=["c", "a"]))
+    assert "ReadSchema: struct<a:string,c:string>" in plan
+
+
+def test_postcode_expansion_is_codegen_with_its_scan(spark):
+    plan = _plan(entry.queries()["postcode_expand"](spark, SF))
+    assert "*(1) Generate" in plan and "*(1) ColumnarToRow" in plan

@@ -32,7 +32,7 @@ SCALE_NOTES = {
     "lookup_fallback_raw": "As lookup_no_fallback; fallback is a coalesce in the same projection (one scan).",
     "union_halves": "Original split/union form kept as an operator: two scans, NOT NULL half becomes an inner join. The pipeline uses the one-scan coalesce form.",
     "lookup_fallback_lower": "As lookup_no_fallback.",
-    "region_label": "Label CASE (InSet) fused into the lookup's projection.",
+    "region_label": "Label CASE (isin lists) fused into the lookup's projection.",
     "category_group": "Pure projection.",
     "unit_convert": "Pure projection; lenient casts guard try_cast with a pattern (no exception path).",
     "day_name": "Pure projection.",
