@@ -140,3 +140,13 @@ def test_cli_rejects_wrong_arguments():
         main(["pipeline", "only-one-path"])
     with pytest.raises(ValueError):
         main([])
+
+
+def test_job_description_is_set_on_the_calling_thread(spark):
+    from storefront_etl.plans.jobs import _describe_jobs
+
+    _describe_jobs(spark, "storefront-etl: table x")
+    try:
+        assert spark.sparkContext.getLocalProperty("spark.job.description") == "storefront-etl: table x"
+    finally:
+        spark.sparkContext.setJobDescription(None)
