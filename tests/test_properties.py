@@ -140,3 +140,30 @@ def test_calendar_names_match_python(spark, stamps):
         else:
             sunday_first = (t.isoweekday() % 7) + 1
             assert got[i] == (sunday_first, t.strftime("%A").lower(), t.month, t.strftime("%B").lower())
+
+
+float_text = st.one_of(
+    st.none(),
+    st.floats(allow_nan=True, allow_infinity=True).map(str),
+    st.text(alphabet="0123456789+-.eE dDfFxXpPinINaAfty\t", max_size=12),
+    st.sampled_from(["NaN", "-Infinity", " inf ", "+nan", "Infinity", "1d", "0x1p3", "", " ", "n/a"]),
+)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.too_slow])
+@given(st.lists(float_text, min_size=30, max_size=300))
+def test_guarded_float_cast_equals_plain_try_cast(spark, values):
+    import math
+
+    from storefront_etl.functions.casts import lenient_cast
+
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+    rows = df.select("i", lenient_cast("v", "double").alias("g"), F.col("v").try_cast("double").alias("p"),
+                     lenient_cast("v", "float").alias("gf"), F.col("v").try_cast("float").alias("pf")).collect()
+
+    def same(a, b):
+        return (a is None and b is None) or (a is not None and b is not None and (
+            a == b or (math.isnan(a) and math.isnan(b))))
+
+    for r in rows:
+        assert same(r.g, r.p) and same(r.gf, r.pf), (values[r.i], r)
