@@ -62,7 +62,10 @@ def strict_int(c: ColumnOrName) -> Column:
     """Text -> INT accepting only a signed run of digits (else NULL).
 
     Surrounding whitespace and control characters are ignored.  The pattern
-    guard keeps junk away from ``try_cast`` (see lenient_int)."""
+    guard keeps junk away from ``try_cast`` (see lenient_int).  Used for the
+    postcode-range bounds, where the source job used Python's ``int()``;
+    unlike ``int()``, digit-group underscores and non-ASCII digits are
+    rejected (the range then yields no rows)."""
     t = F.btrim(_col(c), F.lit(TRIMMED_CHARS))
     return F.when(t.rlike(STRICT_INT_PATTERN), t).try_cast("int")
 
