@@ -167,3 +167,42 @@ def test_guarded_float_cast_equals_plain_try_cast(spark, values):
 
     for r in rows:
         assert same(r.g, r.p) and same(r.gf, r.pf), (values[r.i], r)
+
+
+zip_text = st.one_of(st.none(), st.sampled_from(["01003", "1003", " 01003 ", "01004", "1004.0", "09999",
+                                                 "abc", "", "-", "1e3", "01005", "00000"]))
+locality = st.sampled_from(["Alpha", "beta", "GAMMA", "Delta", None])
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.too_slow])
+@given(st.lists(st.tuples(zip_text, st.sampled_from(["x", "Y", None])), min_size=5, max_size=120),
+       st.lists(st.tuples(locality, st.sampled_from(["1003", "1004", "1005", "0", "x", None])),
+                min_size=1, max_size=12))
+def test_lookup_matches_left_join_model(spark, facts, dims):
+    from storefront_etl.operators.lookup import lookup_dimension
+
+    fdf = spark.createDataFrame([(i, z, c) for i, (z, c) in enumerate(facts)], "i int, zip string, city string")
+    ddf = spark.createDataFrame(dims, "locality string, cep string")
+    parsed = [(old_cast_int(k), loc) for loc, k in dims]
+
+    def model(mode):
+        out = []
+        for i, (z, c) in enumerate(facts):
+            key = old_cast_int(z)
+            hits = [loc for k, loc in parsed if key is not None and k == key]
+            if mode == "first" and hits:
+                present = [h for h in hits if h is not None]
+                hits = [min(present) if present else None]
+            for loc in hits or [None]:
+                value = loc.lower() if loc is not None else None
+                out.append((i, value if value is not None else (c.lower() if c is not None else None)))
+        return sorted(out, key=repr)
+
+    common = dict(key="zip", dim_key="cep", dim_value="locality", out="city",
+                  value_transform=F.lower, fallback=F.lower(F.col("city")))
+    for mode, extra in (("expand", {}), ("expand", {"broadcast_max_rows": 0, "rows_per_salt": 3,
+                                                    "hot_key_fraction": 0.1, "salt_buckets": 2}),
+                        ("first", {})):
+        got = lookup_dimension(fdf, ddf, on_multiple=mode, **common, **extra)
+        rows = sorted(((r.i, r.city) for r in got.collect()), key=repr)
+        assert rows == model(mode), (mode, extra)
