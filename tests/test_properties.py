@@ -206,3 +206,39 @@ def test_lookup_matches_left_join_model(spark, facts, dims):
         got = lookup_dimension(fdf, ddf, on_multiple=mode, **common, **extra)
         rows = sorted(((r.i, r.city) for r in got.collect()), key=repr)
         assert rows == model(mode), (mode, extra)
+
+
+profile_rows = st.lists(st.tuples(
+    st.one_of(st.none(), st.integers(-3, 3)),
+    st.one_of(st.none(), st.sampled_from(["a", "b", "", "A"])),
+    st.one_of(st.none(), st.sampled_from([0.0, -0.0, 1.5, float("nan")])),
+), min_size=1, max_size=80)
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.too_slow])
+@given(profile_rows)
+def test_profiles_match_python_model(spark, rows):
+    import math
+
+    from storefront_etl.operators.fill import fill_missing, fill_missing_by_union
+    from storefront_etl.operators.profile import null_profile, profile_columns
+
+    df = spark.createDataFrame(rows, "k int, s string, f double")
+
+    def missing(v):
+        return v is None or (isinstance(v, float) and math.isnan(v))
+
+    def distinct(col):
+        vals = {("nan" if isinstance(v, float) and math.isnan(v) else (0.0 if v == 0 else v))
+                for v in col if v is not None}
+        return len(vals)
+
+    cols = list(zip(*rows))
+    want = {name: (len(rows), sum(missing(v) for v in col), distinct(col))
+            for name, col in zip(("k", "s", "f"), cols)}
+    got = {r.column_name: (r.row_count, r.null_count, r.distinct_count) for r in profile_columns(df).collect()}
+    assert got == want
+    assert tuple(null_profile(df).first()) == tuple(want[c][1] for c in ("k", "s", "f"))
+    one = fill_missing(df, "s", F.lit("z"))
+    two = fill_missing_by_union(df, "s", F.lit("z"))
+    assert one.exceptAll(two).count() == 0 and two.exceptAll(one).count() == 0
