@@ -26,7 +26,7 @@ from storefront_etl.session import local_session  # noqa: E402
 # What the plan becomes on a 100 TB input (TPC-H-like sizes at SF ~100,000).
 SCALE_NOTES = {
     "postcode_expand": "Generate in the scan's codegen stage; output per task bounded by input x 100k prefixes; no shuffle.",
-    "lookup_no_fallback": "Dimension bounded by the 5-digit key domain -> always broadcast after the bounded row check; fact side never shuffled, fact skew irrelevant.",
+    "lookup_no_fallback": "Dimension bounded by the 5-digit key domain -> always broadcast after the exact size check (rows and bytes); fact side never shuffled, fact skew irrelevant.",
     "lookup_first": "One small shuffle of the dimension (min per key, partial agg; a string min runs as SortAggregate over the bounded dimension only) then broadcast; fact side never shuffled.",
     "lookup_salted": "Forced non-broadcast path: SortMergeJoin (pinned by a merge hint, so an underestimate cannot re-broadcast the side) on (key, salt); hot and NULL keys are spread over buckets sized from their own row counts (~1M rows per task).",
     "lookup_fallback_raw": "As lookup_no_fallback; fallback is a coalesce in the same projection (one scan).",
