@@ -1,8 +1,9 @@
 """The per-table transforms: all-string raw DataFrame -> typed table.
 
 Each function is DataFrame -> DataFrame and builds one narrow projection
-(plus, for the three location tables, one broadcast lookup), so a table is
-produced in a single scan with no shuffle.  Output columns and order follow
+(plus, for the three location tables, one lookup — broadcast whenever the
+dimension passes the size check, as a postcode dimension always does), so a
+table is produced in a single scan with no shuffle.  Output columns and order follow
 the original job; behaviour differences are documented per function.
 """
 
