@@ -28,15 +28,18 @@ from storefront_etl.sources.csv import write_csv
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A whole test table (``<sf_dir>/<name>.parquet``)."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def as_text(c: Column | str) -> Column:
+    """Column rendered as text (the extracts are all-string)."""
     c = F.col(c) if isinstance(c, str) else c
     return c.cast("string")
 
 
 def pad5(c: Column) -> Column:
+    """5-digit postcode prefix text with leading zeros."""
     return F.lpad(as_text(c), 5, "0")
 
 
@@ -54,6 +57,7 @@ def sql_lenient_int(e: str) -> str:
 
 
 def sql_strict_int(e: str) -> str:
+    """Oracle form of strict_int (space trimming covers every stand-in)."""
     return f"(CASE WHEN regexp_matches(trim({e}), '{STRICT_INT_PATTERN}') THEN TRY_CAST(trim({e}) AS INTEGER) END)"
 
 
