@@ -14,10 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-
-def _ref(name: str) -> Column:
-    """Column by exact name (a header may contain dots or spaces)."""
-    return F.col("`" + name.replace("`", "``") + "`")
+from storefront_etl.operators._types import comparable, ref
 
 
 def _is_floating(df: DataFrame, name: str) -> bool:
@@ -26,7 +23,7 @@ def _is_floating(df: DataFrame, name: str) -> bool:
 
 def missing_condition(df: DataFrame, name: str) -> Column:
     """NULL, or NaN for float/double columns (isnan on text would raise)."""
-    c = _ref(name)
+    c = ref(name)
     return (c.isNull() | F.isnan(c)) if _is_floating(df, name) else c.isNull()
 
 
@@ -40,7 +37,7 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     """The distinct values of one column (NULL included once)."""
-    return df.select(_ref(column)).distinct()
+    return df.select(ref(column)).distinct()
 
 
 def profile_columns(
@@ -58,7 +55,8 @@ def profile_columns(
     aggs = [F.count(F.lit(1)).alias("__rows")]
     for i, n in enumerate(names):
         aggs.append(F.count(F.when(missing_condition(df, n), F.lit(1))).alias(f"__n{i}"))
-        distinct = F.approx_count_distinct(_ref(n)) if approx_distinct else F.count_distinct(_ref(n))
+        value = comparable(df, n)  # maps are counted by their JSON text
+        distinct = F.approx_count_distinct(value) if approx_distinct else F.count_distinct(value)
         aggs.append(distinct.alias(f"__d{i}"))
     totals = df.agg(*aggs)
     rows = F.array(*[

@@ -47,3 +47,9 @@ def test_profiles_accept_awkward_header_names(spark):
     rows = {r.column_name: r.distinct_count for r in profile_columns(df).collect()}
     assert rows == {"a.b": 1, "c d": 1}
     assert distinct_values(df, "a.b").count() == 1
+
+
+def test_profile_accepts_map_columns(spark):
+    df = spark.createDataFrame([({"a": 1},), ({"a": 1},), (None,)], "m map<string,int>")
+    row = profile_columns(df).first()
+    assert (row.column_name, row.null_count, row.distinct_count) == ("m", 1, 1)
