@@ -69,3 +69,11 @@ def test_query_independent_of_ansi_mode(spark, con, name):
     rel = con.execute(entry.oracle_sql()[name])
     ocols = [d[0] for d in rel.description]
     assert _canon(rows, df.columns) == _canon(rel.fetchall(), ocols)
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_query_columns_are_unique_and_named_like_the_oracle(spark, con, name):
+    cols = entry.queries()[name](spark, SF).columns
+    assert len(cols) == len(set(cols))
+    described = [r[0] for r in con.execute(f"DESCRIBE {entry.oracle_sql()[name]}").fetchall()]
+    assert sorted(described) == sorted(cols)
