@@ -150,3 +150,15 @@ def test_job_description_is_set_on_the_calling_thread(spark):
         assert spark.sparkContext.getLocalProperty("spark.job.description") == "storefront-etl: table x"
     finally:
         spark.sparkContext.setJobDescription(None)
+
+
+def test_write_tables_reports_failures_after_other_writes(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from storefront_etl.sources.parquet import write_tables
+
+    good = spark.range(5)
+    bad = spark.range(5).select(F.raise_error(F.lit("boom")).alias("x"))
+    with pytest.raises(Exception, match="boom"):
+        write_tables({"good": good, "bad": bad}, str(tmp_path))
+    assert spark.read.parquet(str(tmp_path / "good.parquet")).count() == 5
