@@ -242,3 +242,37 @@ def test_profiles_match_python_model(spark, rows):
     one = fill_missing(df, "s", F.lit("z"))
     two = fill_missing_by_union(df, "s", F.lit("z"))
     assert one.exceptAll(two).count() == 0 and two.exceptAll(one).count() == 0
+
+
+range_text = st.one_of(
+    st.none(),
+    st.tuples(st.integers(0, 99_999), st.integers(0, 99_999)).map(lambda t: f"{t[0]:05d}-000 a {t[1]:05d}-999"),
+    st.sampled_from(["x a y", "01000-000", "", " a ", "01000 a 0100x", "01000-000 a 01002-999 a 9"]),
+)
+
+
+def _bounds_model(text):
+    import re
+
+    if text is None:
+        return None
+    parts = text.split(" a ")
+    lo_txt = parts[0].split("-")[0].strip("".join(chr(i) for i in range(0x21)))
+    hi_txt = (parts[1] if len(parts) > 1 else "").split("-")[0].strip("".join(chr(i) for i in range(0x21)))
+    ok = re.fullmatch(r"[+-]?[0-9]+", lo_txt) and re.fullmatch(r"[+-]?[0-9]+", hi_txt)
+    return (int(lo_txt), int(hi_txt)) if ok else None
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.too_slow])
+@given(range_text)
+def test_fail_mode_raises_exactly_on_malformed(spark, text):
+    import pytest
+
+    df = spark.createDataFrame([("L", text)], "locality string, postcode_range string")
+    bounds = _bounds_model(text)
+    if bounds is None:
+        with pytest.raises(Exception, match="malformed postcode range"):
+            expand_postcode_ranges(df, on_invalid="fail").collect()
+    else:
+        lo, hi = bounds
+        assert expand_postcode_ranges(df, on_invalid="fail").count() == max(0, hi - lo + 1)
