@@ -276,3 +276,19 @@ def test_fail_mode_raises_exactly_on_malformed(spark, text):
     else:
         lo, hi = bounds
         assert expand_postcode_ranges(df, on_invalid="fail").count() == max(0, hi - lo + 1)
+
+
+stamp = st.one_of(st.none(), st.datetimes(min_value=__import__("datetime").datetime(1990, 1, 1),
+                                          max_value=__import__("datetime").datetime(2030, 12, 31)))
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.too_slow])
+@given(st.lists(st.tuples(stamp, stamp), min_size=10, max_size=150))
+def test_day_diff_matches_calendar_days(spark, pairs):
+    from storefront_etl.functions.calendar import with_day_diff
+
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i int, s timestamp_ntz, e timestamp_ntz")
+    got = {r.i: r.d for r in with_day_diff(df, "e", "s", "d").collect()}
+    for i, (a, b) in enumerate(pairs):
+        want = None if a is None or b is None else (b.date() - a.date()).days
+        assert got[i] == want
