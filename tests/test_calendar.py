@@ -60,3 +60,18 @@ def test_create_new_features_adds_all_columns(spark):
     o = f.orders.first()
     assert (o.order_day_of_week, o.order_name_day_of_week, o.order_month, o.order_name_month,
             o.order_delivery_days, o.order_hour, o.order_processing_days) == (2, "monday", 10, "october", 7, 23, 1)
+
+
+def test_out_of_range_numbers_follow_the_chain_default(spark):
+    from pyspark.sql import functions as F
+
+    from storefront_etl.functions.calendar import day_of_week_name, month_name
+
+    df = spark.createDataFrame([(n,) for n in (-1, 0, 1, 7, 8, 12, 13, None)], "n int")
+    rows = df.select(day_of_week_name("n").alias("d"), month_name("n").alias("m"),
+                     day_of_week_name(F.col("n"), null_name=None).alias("dn")).collect()
+    assert [r.d for r in rows] == ["saturday", "saturday", "sunday", "saturday", "saturday", "saturday",
+                                   "saturday", "saturday"]
+    assert [r.m for r in rows] == ["december", "december", "january", "july", "august", "december",
+                                   "december", "december"]
+    assert [r.dn for r in rows] == [None, None, "sunday", "saturday", None, None, None, None]
