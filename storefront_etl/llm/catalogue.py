@@ -2,16 +2,37 @@
 
 from __future__ import annotations
 
-from storefront_etl.llm import mixing, sharding, substring_dedup
+from storefront_etl.llm import (
+    byte_bpe,
+    exact_dedup,
+    jaccard_join,
+    language_id,
+    license_scan,
+    line_templates,
+    mixing,
+    quality,
+    sharding,
+    substring_dedup,
+)
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
+    "op2_jaccard_join": jaccard_join.op2_jaccard_join,
+    "op3_license_scan": license_scan.op3_license_scan,
     "op4_shard": sharding.op4_shard,
     "op5_substring_dedup": substring_dedup.op5_substring_dedup,
+    "op6_line_dedup": line_templates.op6_line_dedup,
+    "op7_byte_bpe": byte_bpe.op7_byte_bpe,
+    "op8_exact_dedup": exact_dedup.op8_exact_dedup,
+    "op9_quality_rules": quality.op9_quality_rules,
+    "op10_language_id": language_id.op10_language_id,
 }
 
-# Not SQL: the seeded shuffle (4).
+# Not SQL, tested against brute force, a round trip or held-out rows: the seeded shuffle (4), components (2),
+# bounded-error matching (3), byte-pair merges (7), the forest (9) and the rank profiles (10).
 ORACLE_SQL = {
     "op1_mix_sources": mixing.SQL,
     "op5_substring_dedup": substring_dedup.SQL,
+    "op6_line_dedup": line_templates.SQL,
+    "op8_exact_dedup": exact_dedup.SQL,
 }
