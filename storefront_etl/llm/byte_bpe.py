@@ -109,7 +109,9 @@ class Encoder:
         self.ranks = {token: rank for rank, token in enumerate(tokens) if token}
         self.pairs = PairTable(tokens, self.ranks)
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
-        self.known: dict[str, tuple[bytes, bytes]] = {}
+        # By match: its ids as bytes, and as decimals joined by commas.
+        self.ids_of: dict[str, bytes] = {}
+        self.decimals_of: dict[str, bytes] = {}
 
     def encode_pieces(self, pieces: list[bytes]) -> list[np.ndarray]:
         """Token ids of each piece."""
@@ -201,14 +203,16 @@ class Encoder:
     def encode(self, texts: list[str], pattern: regex.Pattern) -> Iterator[tuple[np.ndarray, bytes]]:
         """(ids, decimal ids joined by commas) of each text."""
         cut = [pattern.findall(text) for text in texts]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = list({piece for pieces in cut for piece in pieces if piece not in self.known})
+        if len(self.ids_of) > REMEMBERED:
+            self.ids_of.clear()
+            self.decimals_of.clear()
+        new = list(set().union(*cut).difference(self.ids_of))
         for piece, ids in zip(new, self.encode_pieces([p.encode() for p in new]), strict=True):
-            self.known[piece] = (ids.tobytes(), ",".join(map(str, ids.tolist())).encode())
+            self.ids_of[piece] = ids.tobytes()
+            self.decimals_of[piece] = ",".join(map(str, ids.tolist())).encode()
         for pieces in cut:
-            found = [self.known[p] for p in pieces]
-            yield np.frombuffer(b"".join([f[0] for f in found]), dtype=np.int32), b",".join([f[1] for f in found])
+            ids = b"".join(map(self.ids_of.__getitem__, pieces))
+            yield np.frombuffer(ids, dtype=np.int32), b",".join(map(self.decimals_of.__getitem__, pieces))
 
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids.tolist()))

@@ -1,0 +1,128 @@
+"""Jaccard join against all pairs by brute force."""
+
+from __future__ import annotations
+
+import random
+import re
+
+import numpy as np
+import pytest
+
+from storefront_etl.llm import jaccard_join as J
+from storefront_etl.llm.graph import components
+from tests.llm.data import empty_frame, frame, odd_frame, prose, vocabulary
+
+AZ = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def shingles(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(AZ))
+    if len(words) < 5:
+        return frozenset([tuple(words)] if words else [])
+    return frozenset(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+
+
+def brute(docs):
+    """Sets and component by row; ids may be null or repeat."""
+    sets = [shingles(t) for _, t in docs]
+    root = list(range(len(docs)))
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for i in range(len(docs)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if sets[i] and sets[j] and 100 * both >= 75 * (len(sets[i]) + len(sets[j]) - both):
+                root[find(i)] = find(j)
+    least = {}
+    for k, (doc_id, _) in enumerate(docs):
+        r = find(k)
+        if doc_id is not None:
+            least[r] = min(doc_id, least.get(r, doc_id))
+    return sorted(((d, len(s), least.get(find(k)) if s else d) for k, ((d, _), s) in enumerate(zip(docs, sets, strict=True))), key=str)
+
+
+def found(df):
+    return sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in J.jaccard_components(df).collect()), key=str)
+
+
+def edited(rng, words, text, share):
+    parts = text.split(" ")
+    for _ in range(int(len(parts) * share)):
+        parts[rng.randrange(len(parts))] = rng.choice(words)
+    return " ".join(parts)
+
+
+@pytest.fixture(scope="module")
+def near_copies():
+    """Chains, edits on both sides of the limit, a shared passage, a large group of near copies."""
+    rng, words = random.Random(11), vocabulary(n=900)
+    passage = prose(rng, words, 60)
+    texts = [prose(rng, words, rng.randint(20, 200)) for _ in range(40)]
+    texts += [edited(rng, words, t, rng.choice([0.01, 0.02, 0.03, 0.04, 0.06])) for t in texts for _ in range(2)]
+    texts += [prose(rng, words, rng.randint(5, 150)) + " " + passage + " " + prose(rng, words, 20) for _ in range(40)]
+    base = prose(rng, words, 120)
+    texts += [edited(rng, words, base, 0.02) for _ in range(60)]
+    chain = prose(rng, words, 150)
+    for _ in range(10):
+        chain = " ".join(chain.split(" ")[8:]) + " " + prose(rng, words, 8)
+        texts.append(chain)
+    rng.shuffle(texts)
+    return texts
+
+
+def test_all_pairs(spark, near_copies):
+    want = brute(list(enumerate(near_copies)))
+    assert found(frame(spark, near_copies)) == want
+    assert any(c != d for d, _, c in want)
+
+
+def test_small_blocks_and_frequent_keys(spark, near_copies, monkeypatch):
+    """The same links if every tile is cut into blocks and most shingles count as frequent."""
+    monkeypatch.setattr(J, "BLOCK", 3)
+    monkeypatch.setattr(J, "FREQUENT_IN", 2)
+    monkeypatch.setattr(J, "BROADCAST_IDS", 0)
+    assert found(frame(spark, near_copies)) == brute(list(enumerate(near_copies)))
+
+
+def test_odd_rows(spark):
+    df = odd_frame(spark)
+    want = brute([(r["doc_id"], r["text"]) for r in df.collect()])
+    assert found(df) == want
+    kept = J.keep_one(df)
+    assert kept.columns == df.columns
+    sets = [shingles(r["text"]) for r in kept.collect()]
+    assert sum(not s for s in sets) == sum(not shingles(r["text"]) for r in df.collect())
+    filled = [s for s in sets if s]
+    for i, a in enumerate(filled):
+        for b in filled[:i]:
+            assert 100 * len(a & b) < 75 * len(a | b)
+    assert len(filled) == len({c for d, n, c in want if n})
+
+
+def test_empty_table(spark):
+    assert found(empty_frame(spark)) == []
+    assert J.keep_one(empty_frame(spark)).count() == 0
+
+
+def test_bitmaps_never_rule_out_a_link():
+    rng = np.random.default_rng(2)
+    for _ in range(300):
+        a = np.unique(rng.integers(0, 1 << 63, rng.integers(1, 200), dtype=np.uint64))
+        b = np.unique(np.concatenate([a[rng.random(len(a)) < 0.9], rng.integers(0, 1 << 63, rng.integers(0, 20), dtype=np.uint64)]))
+        if not len(b):
+            continue
+        x, y = (np.frombuffer(J.bitmap(s), np.uint64) for s in (a, b))
+        if J.links(len(a), len(b), len(np.intersect1d(a, b))):
+            assert J.may_link(np.int64(len(a)), np.int64(len(b)), x, y)
+
+
+def test_components_of_chains_and_stars(spark):
+    edges = [(k, k + 1) for k in range(50)] + [(100, 100 + k) for k in range(1, 40)] + [(300, 200), (200, 250)]
+    got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert {got[k] for k in range(51)} == {0}
+    assert {got[100 + k] for k in range(40)} == {100}
+    assert {got[k] for k in (200, 250, 300)} == {200}
