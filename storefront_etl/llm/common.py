@@ -73,6 +73,14 @@ def fresh_name(df_columns: Sequence[str], wanted: str) -> str:
     return name
 
 
+def plain_names(df: DataFrame) -> DataFrame:
+    """``df`` with names that Arrow functions take: columns with dots or backticks are renamed (by place, so undone by ``toDF``)."""
+    names: list[str] = []
+    for c in df.columns:
+        names.append(c if not set(c) & {".", "`"} else fresh_name([*df.columns, *names], c.replace(".", "_").replace("`", "_")))
+    return df.toDF(*names)
+
+
 def scatter_partitions(total_bytes: int, per_partition: int, least: int) -> int:
     """Partitions so that each holds about ``per_partition`` bytes."""
     return max(least, -(-int(total_bytes) // per_partition))

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from storefront_etl.llm.common import quoted, scatter_partitions, stored, table
+from storefront_etl.llm.common import plain_names, quoted, scatter_partitions, stored, table
 
 SHARDS = 8
 SEED = 4
@@ -64,6 +64,7 @@ def external_shuffle(docs: DataFrame, seed: int = SEED, bucket_bytes: int = BUCK
     piece = F.lit(0).cast("long")
     for b, n in over.items():
         piece = F.when(bucket == b, F.pmod(F.xxhash64(F.lit(seed), place), F.lit(n))).otherwise(piece)
+    names, sized = sized.columns, plain_names(sized)
     scattered = sized.withColumn("bucket", bucket).withColumn("piece", piece)
     if over:
         counted = scattered.groupBy("bucket", "piece").agg(F.count(F.lit(1)).alias("rows"))
@@ -91,7 +92,7 @@ def external_shuffle(docs: DataFrame, seed: int = SEED, bucket_bytes: int = BUCK
         )
 
     by = ("bucket", "piece")
-    return scattered.groupBy(*by).cogroup(starts.groupBy(*by)).applyInArrow(shuffled, kinds)
+    return scattered.groupBy(*by).cogroup(starts.groupBy(*by)).applyInArrow(shuffled, kinds).toDF(*names, "shard", "slot")
 
 
 def write_shards(shuffled: DataFrame, path: str) -> None:

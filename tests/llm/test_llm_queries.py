@@ -1,0 +1,182 @@
+"""The registered queries over the whole smallest tables, and the pipeline stage by stage."""
+
+from __future__ import annotations
+
+import hashlib
+import importlib.util
+import math
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import duckdb
+import pytest
+import regex
+import tiktoken
+
+import __spark_entry__ as entry
+import corpus_pipeline
+from storefront_etl.llm import byte_bpe as B
+from storefront_etl.llm import catalogue
+from storefront_etl.llm import line_templates as T
+from storefront_etl.llm import mixing
+from storefront_etl.llm import quality as Q
+from storefront_etl.llm.common import table
+from tests.llm import test_jaccard, test_mixing, test_scans
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def texts(spark):
+    return {r["doc_id"]: r["text"] for r in table(spark, SF, "documents").collect()}
+
+
+def canon(rows, cols):
+    order = sorted(range(len(cols)), key=lambda i: cols[i])
+    show = lambda v: f"{v:.6g}" if isinstance(v, float) and not math.isnan(v) else str(v)
+    return sorted(tuple(show(r[i]) for i in order) for r in rows)
+
+
+@pytest.mark.parametrize("name", sorted(catalogue.ORACLE_SQL))
+def test_query_matches_sql(spark, name):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    df = catalogue.QUERIES[name](spark, SF)
+    rel = con.execute(catalogue.ORACLE_SQL[name])
+    cols = [d[0] for d in rel.description]
+    assert sorted(cols) == sorted(df.columns)
+    assert canon([tuple(r) for r in df.collect()], df.columns) == canon(rel.fetchall(), cols)
+
+
+def test_registered():
+    names = entry.queries()
+    assert {f"op{k}_" for k in range(1, 11)} == {re.match(r"op\d+_", n)[0] for n in names if re.match(r"op\d+_", n)}
+    assert names["pipeline"] is corpus_pipeline.run
+    assert importlib.util.find_spec("storefront_etl.llm") is not None
+
+
+def test_op2(spark, texts):
+    got = catalogue.QUERIES["op2_jaccard_join"](spark, SF).collect()
+    assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got), key=str) == test_jaccard.brute(list(texts.items()))
+
+
+def test_op3(spark, texts):
+    got = {r["doc_id"]: r for r in catalogue.QUERIES["op3_license_scan"](spark, SF).collect()}
+    assert set(got) == set(texts)
+    for k, text in texts.items():
+        r = got[k]
+        assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"]) == test_scans.brute_base(text)
+        assert r["labels"] == test_scans.brute_labels(text)
+
+
+def test_op4(spark, texts):
+    got = [r.asDict() for r in catalogue.QUERIES["op4_shard"](spark, SF).collect()]
+    test_scans.positions(got)
+    want = {(k, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for k, t in texts.items()}
+    assert {(r["doc_id"], r["size"], r["text_crc32"]) for r in got} == want
+    assert {(r["law"], r["grown_shard"]) for r in got} == {("rows", None)}
+
+
+def tiktoken_digests(encoding, text):
+    ids = encoding.encode_ordinary(text or "")
+    return len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest()
+
+
+@pytest.fixture(scope="module")
+def encoding():
+    path, pattern = B.public_vocabulary()
+    ranks = {t: k for k, t in enumerate(B.read_vocabulary(path))}
+    return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_op7(spark, texts, encoding):
+    got = {r["doc_id"]: (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in catalogue.QUERIES["op7_byte_bpe"](spark, SF).collect()}
+    assert got == {k: tiktoken_digests(encoding, t) for k, t in texts.items()}
+
+
+def test_op9(spark, texts):
+    got = {r["doc_id"]: r for r in catalogue.QUERIES["op9_quality_rules"](spark, SF).collect()}
+    assert set(got) == set(texts)
+    for k, text in texts.items():
+        want = test_scans.brute_statistics(text)
+        assert [got[k][c] for c in Q.STATISTICS] == want
+        assert got[k]["base_failed"] == (want[0] < 20 or 100 * want[4] > 30 * want[0])
+        assert not (got[k]["base_failed"] and got[k]["kept"])
+
+
+def brute_templates(docs):
+    """Text by row after dropping recurring lines, in plain Python."""
+    leaves = defaultdict(list)
+    for k, text in enumerate(docs):
+        for place, line in enumerate((text or "").split("\n")):
+            words = [T.VARIABLE if regex.search("[0-9]", w) else w for w in re.findall(r"[^\x20\x09-\x0D]+", line)]
+            if len(words) >= T.MIN_WORDS:
+                leaves[len(words), *words[: T.DEPTH]].append((k, place, tuple(words)))
+    gone = defaultdict(set)
+    for leaf, lines in leaves.items():
+        if len({docs[k] for k, _, _ in lines}) < T.MIN_DOCS:
+            continue
+        variants = {(docs[k], w) for k, _, w in lines}
+        constant = {}
+        for at in range(leaf[0]):
+            word, n = Counter(w[at] for _, w in variants).most_common(1)[0]
+            if 2 * n > len(variants) and word != T.VARIABLE:
+                constant[at] = word
+        fits = {w: len(constant) >= T.CONSTANT_SHARE * leaf[0] and all(w[a] == c for a, c in constant.items()) for _, w in variants}
+        general = len({t for t, w in variants if fits[w]}) >= T.MIN_DOCS
+        exact = {w for w in fits if len({t for t, x in variants if x == w}) >= T.MIN_DOCS}
+        for k, place, w in lines:
+            if general and fits[w] or w in exact:
+                gone[k].add(place)
+    return [None if t is None else "\n".join(x for p, x in enumerate(t.split("\n")) if p not in gone[k]) for k, t in enumerate(docs)]
+
+
+def test_pipeline_stage_by_stage(spark, encoding):
+    docs = table(spark, SF, "documents")
+    columns = docs.columns
+    key = lambda r: str((r["doc_id"], r["text"]))
+    now = sorted(docs.collect(), key=key)
+    for name, stage in corpus_pipeline.STAGES:
+        out = sorted(stage(spark, spark.createDataFrame(now, docs.schema), SF).collect(), key=lambda r: str(r["doc_id"]) if name == "tokenize" else key(r))
+        if name != "tokenize":
+            assert out == [] or list(out[0].asDict()) == columns
+        if name == "quality_rules":
+            forest = Q.fit(docs, table(spark, SF, "labels"))
+            verdict = {r["doc_id"]: r["kept"] for r in Q.quality_rules(docs, forest).collect()}
+            assert out == [r for r in now if verdict[r["doc_id"]]]
+            for r in out:
+                stats = test_scans.brute_statistics(r["text"])
+                assert stats[0] >= 20 and 100 * stats[4] <= 30 * stats[0]
+        elif name == "line_dedup":
+            want = brute_templates([r["text"] for r in now])
+            assert Counter((r["doc_id"], r["text"]) for r in out) == Counter((r["doc_id"], t) for r, t in zip(now, want, strict=True))
+        elif name == "near_dedup":
+            groups = test_jaccard.brute([(r["doc_id"], r["text"]) for r in now])
+            assert [r["doc_id"] for r in out] == [r["doc_id"] for r in now if (r["doc_id"], r["doc_id"]) in {(d, c) for d, _, c in groups}]
+        elif name == "mix":
+            copies = Counter(r["doc_id"] for r in out)
+            sized = [
+                {"doc_id": r["doc_id"], "source": r["source"], "size": len(re.findall(r"[^\x20\x09-\x0D]+", r["text"] or "")), "copies": copies[r["doc_id"]]}
+                for r in now
+            ]
+            total = Counter()
+            for r in sized:
+                total[r["source"]] += r["size"]
+            target = test_mixing.water_fill(total)
+            for r in sized:
+                r |= {"source_size": total[r["source"]], "target": target[r["source"]]}
+            test_mixing.checked(sized)
+            assert set(out) <= set(now)
+        else:
+            want = sorted((str(r["doc_id"]), *tiktoken_digests(encoding, r["text"])) for r in now)
+            assert sorted((str(r["doc_id"]), r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in out) == want
+        assert out
+        now = out
+    assert mixing.SHARE == 1.5
+
+
+def test_pipeline_run(spark):
+    df = corpus_pipeline.run(spark, SF)
+    rows = df.collect()
+    assert rows and all(len(r["ids"]) == r["n_tokens"] for r in rows)
