@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from storefront_etl.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -11,7 +12,7 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_udf_in_any_query(spark, name):
     plan = _plan(entry.queries()[name](spark, SF))
     assert "BatchEvalPython" not in plan
