@@ -14,14 +14,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
+from storefront_etl.operators._types import ref
+
 ColumnOrName = Column | str
 
 # Fixed values.
 # Optionally signed number with a fractional part, the integer digits
 # possibly empty ('.5', '-.5', '5.').
 FRACTION_PATTERN = r"^[+-]?[0-9]*[.][0-9]*$"
-# Characters the old cast trimmed from both ends: U+0000 .. U+0020.
-TRIMMED_CHARS = "".join(chr(i) for i in range(0x21))
+# Characters the old cast trimmed from both ends: U+0000 .. U+0020 and U+007F.
+TRIMMED_CHARS = "".join(chr(i) for i in range(0x21)) + chr(0x7F)
 # A bare optionally signed integer (no fraction, no exponent).
 STRICT_INT_PATTERN = r"^[+-]?[0-9]+$"
 # The only digit-free texts a floating-point cast accepts (compared lowercased,
@@ -32,7 +34,8 @@ FLOAT_SPECIAL_LITERALS = (
 
 
 def _col(c: ColumnOrName) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+    """A name stands for the column of exactly that name, dots included."""
+    return ref(c) if isinstance(c, str) else c
 
 
 def lenient_int(c: ColumnOrName) -> Column:

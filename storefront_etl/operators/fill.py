@@ -12,20 +12,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from storefront_etl.operators._types import ref
+
 ColumnOrName = Column | str
 
 
 def _col(c: ColumnOrName) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+    return ref(c) if isinstance(c, str) else c
 
 
 def fill_missing(df: DataFrame, column: str, fallback: ColumnOrName) -> DataFrame:
     """column := coalesce(column, fallback)."""
-    return df.withColumn(column, F.coalesce(F.col(column), _col(fallback)))
+    return df.withColumn(column, F.coalesce(ref(column), _col(fallback)))
 
 
 def fill_missing_by_union(df: DataFrame, column: str, fallback: ColumnOrName) -> DataFrame:
     """Split/overwrite/UNION ALL form of :func:`fill_missing` (same multiset)."""
-    present = df.where(F.col(column).isNotNull())
-    missing = df.where(F.col(column).isNull()).withColumn(column, _col(fallback))
+    present = df.where(ref(column).isNotNull())
+    missing = df.where(ref(column).isNull()).withColumn(column, _col(fallback))
     return present.union(missing)

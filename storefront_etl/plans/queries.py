@@ -9,6 +9,7 @@ parquet files).  Column names match one-to-one.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,9 +20,7 @@ from storefront_etl.functions.casts import lenient_cast, lenient_int
 from storefront_etl.functions.units import PRODUCT_UNITS, convert_units
 from storefront_etl.operators.fill import fill_missing_by_union
 from storefront_etl.operators.lookup import (
-    DEFAULT_BROADCAST_MAX_ROWS,
     FIRST,
-    fits_broadcast,
     lookup_dimension,
 )
 from storefront_etl.operators.postcode import expand_postcode_ranges
@@ -36,6 +35,8 @@ from storefront_etl.plans.standins import (
     SQL_ORDERS_TYPED,
     SQL_ORDERS_WITH_SHIP,
     SQL_PRODUCTS_RAW,
+    SQL_REPEATED_CEPS,
+    SQL_SKEWED_CUSTOMERS_RAW,
     SQL_SUPPLIER_RANGES,
     SQL_SELLERS_RAW,
     SQL_CEPS,
@@ -50,7 +51,9 @@ from storefront_etl.plans.standins import (
     pick,
     postcodes,
     products_raw,
+    repeated_postcodes,
     sellers_raw,
+    skewed_customers_raw,
     sql_category,
     sql_customers,
     sql_day_diff,
@@ -113,15 +116,47 @@ def q_lookup_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transform_customers(raw, postcodes(spark, sf_dir), on_multiple=FIRST)
 
 
-@_register("lookup_salted", sql_customers(SQL_CUSTOMERS_RAW))
+@_register("lookup_salted", sql_customers(SQL_SKEWED_CUSTOMERS_RAW, SQL_REPEATED_CEPS))
 def q_lookup_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers table through the non-broadcast path (hot keys salted)."""
-    raw = customers_raw(table(spark, sf_dir, "customer"))
-    return transform_customers(
-        raw, postcodes(spark, sf_dir), broadcast_max_rows=0, hot_key_fraction=0.002, salt_buckets=8
+    """Customers table through the non-broadcast path: a third of the rows in
+    one postcode, one dimension key repeated for every supplier, and a budget
+    per task that cuts both into grids."""
+    raw = skewed_customers_raw(table(spark, sf_dir, "customer"))
+    return transform_customers(raw, repeated_postcodes(spark, sf_dir), broadcast_max_rows=0, rows_per_salt=40)
+
+
+# Keys above 2^31 on both sides: an order line number space shifted past INT.
+_BIG = 5_000_000_000
+_SQL_BIGINT_LOOKUP = f"""
+SELECT o_orderkey + {_BIG} AS order_key, o_custkey + {_BIG} AS customer_key, c_name AS customer_name
+FROM orders LEFT JOIN customer ON o_custkey = c_custkey AND c_custkey % 5 <> 0"""
+
+
+def _bigint_lookup(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    facts = table(spark, sf_dir, "orders").select(
+        (F.col("o_orderkey") + F.lit(_BIG)).alias("order_key"), (F.col("o_custkey") + F.lit(_BIG)).alias("customer_key")
+    )
+    # Every fifth customer's key is NULL in the dimension: its orders find nothing.
+    dim = table(spark, sf_dir, "customer").select(
+        F.when(F.col("c_custkey") % 5 != 0, F.col("c_custkey") + F.lit(_BIG)).alias("key.of"), F.col("c_name").alias("name.of")
+    )
+    return lookup_dimension(
+        facts, dim, key="customer_key", dim_key="key.of", dim_value="name.of", out="customer_name", **options
     )
 
 
+@_register("lookup_bigint_key", _SQL_BIGINT_LOOKUP)
+def q_lookup_bigint_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """BIGINT keys beyond INT, columns with dots in their names, broadcast path."""
+    return _bigint_lookup(spark, sf_dir)
+
+
+@_register("lookup_bigint_salted", _SQL_BIGINT_LOOKUP)
+def q_lookup_bigint_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same through the non-broadcast path, its busiest keys cut up."""
+    return _bigint_lookup(spark, sf_dir, broadcast_max_rows=0, rows_per_salt=20)
+
+
 @_register("lookup_fallback_raw", f"SELECT {geo_select('coalesce(city_lookup, city_original)')} FROM ({SQL_GEO_JOINED}) j")
 def q_lookup_fallback_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Geolocation table: coordinates to DOUBLE, city falls back to the raw text."""
@@ -352,30 +387,28 @@ def q_parquet_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(paths["orders"])
 
 
-@_register("sql_view", f"SELECT * FROM ({sql_customers(SQL_CUSTOMERS_RAW)}) q")
+@_register("sql_view", f"""
+SELECT *, amount / total_amount AS share FROM (
+  SELECT payment_type AS kind, count(*) AS payments, CAST(sum(payment_sequential) AS BIGINT) AS steps,
+         CAST(sum(amount) AS BIGINT) AS amount, CAST(sum(sum(amount)) OVER () AS BIGINT) AS total_amount
+  FROM (SELECT payment_type, {sql_lenient_int('payment_sequential')} AS payment_sequential,
+               CAST(floor(coalesce(TRY_CAST(payment_value AS FLOAT), 0)) AS BIGINT) AS amount FROM ({sql_payments_raw()}) raw) typed
+  WHERE payment_type IS NOT NULL GROUP BY payment_type) q""")
 def q_sql_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers table written as SQL text over registered temp views.
-
-    The views carry the parsed join key (``lenient_int``), so the SQL text
-    joins on a plain INT column; the broadcast hint is only given after the
-    dimension's row count has been bounded.
-    """
-    raw = customers_raw(table(spark, sf_dir, "customer"))
-    ceps = postcodes(spark, sf_dir)
-    suffix = id(raw)
-    customers_view, ceps_view = f"customers_{suffix}", f"ceps_{suffix}"
-    register_views(spark, {
-        customers_view: raw.withColumn("zip_key", lenient_int("customer_zip_code_prefix")),
-        ceps_view: ceps.withColumn("zip_key", lenient_int("cep_prefix")),
-    })
-    hint = "/*+ BROADCAST(cp) */ " if fits_broadcast(ceps, DEFAULT_BROADCAST_MAX_ROWS) else ""
-    return spark.sql(f"""
-        SELECT * FROM (
-          SELECT {hint}cs.customer_id, cs.customer_unique_id, cs.customer_zip_code_prefix,
-                 LOWER(cp.locality) AS customer_city, LOWER(cs.customer_state) AS customer_state
-          FROM {customers_view} cs
-          LEFT JOIN {ceps_view} cp ON cs.zip_key = cp.zip_key
-        ) q""")
+    """SQL text over a registered temp view: the payments table by kind, with
+    star, aliases and derived columns.  The view goes when the plan is made."""
+    payments = transform_order_payments(payments_raw(table(spark, sf_dir, "orders")))
+    view = f"payments_{uuid.uuid4().hex}"
+    register_views(spark, {view: payments})
+    try:
+        return spark.sql(f"""
+            SELECT *, amount / total_amount AS share FROM (
+              SELECT payment_type AS kind, count(*) AS payments, CAST(sum(payment_sequential) AS BIGINT) AS steps,
+                     sum(CAST(floor(coalesce(payment_value, 0)) AS BIGINT)) AS amount,
+                     sum(sum(CAST(floor(coalesce(payment_value, 0)) AS BIGINT))) OVER () AS total_amount
+              FROM {view} WHERE payment_type IS NOT NULL GROUP BY payment_type) q""")
+    finally:
+        spark.catalog.dropTempView(view)
 
 
 @_register("null_profile", f"""

@@ -179,6 +179,39 @@ SELECT CAST(c_custkey AS VARCHAR) AS customer_id,
 FROM customer"""
 
 
+# A third of the customers in one postcode, and 2 % in one whose dimension rows
+# are repeated once per supplier: hot keys on both sides of a lookup.
+HOT_ZIP, REPEATED_ZIP = "01005", "02007"
+
+
+def skewed_customers_raw(customer: DataFrame) -> DataFrame:
+    k = F.col("customer_id").cast("bigint")
+    zip_code = (
+        F.when(F.pmod(k, F.lit(3)) == 0, F.lit(HOT_ZIP))
+        .when(F.pmod(k, F.lit(50)) == 1, F.lit(REPEATED_ZIP))
+        .otherwise(F.col("customer_zip_code_prefix"))
+    )
+    return customers_raw(customer).withColumn("customer_zip_code_prefix", zip_code)
+
+
+SQL_SKEWED_CUSTOMERS_RAW = f"""
+SELECT customer_id, customer_unique_id,
+       CASE WHEN CAST(customer_id AS BIGINT) % 3 = 0 THEN '01005' WHEN CAST(customer_id AS BIGINT) % 50 = 1 THEN '02007'
+            ELSE customer_zip_code_prefix END AS customer_zip_code_prefix,
+       customer_city, customer_state
+FROM ({SQL_CUSTOMERS_RAW}) raw"""
+
+
+def repeated_postcodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    repeated = table(spark, sf_dir, "supplier").select(
+        F.col("s_name").alias("locality"), F.lit(REPEATED_ZIP).cast("int").cast("string").alias("cep_prefix")
+    )
+    return postcodes(spark, sf_dir).unionByName(repeated)
+
+
+SQL_REPEATED_CEPS = f"SELECT locality, cep_prefix FROM ({SQL_CEPS}) c UNION ALL SELECT s_name, '2007' FROM supplier"
+
+
 def geolocation_raw(customer: DataFrame) -> DataFrame:
     k = F.col("c_custkey")
     zip_code = F.when(

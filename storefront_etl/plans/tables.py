@@ -34,11 +34,14 @@ def _city_lookup(
     zip_col: str,
     city_col: str,
     fallback,
-    on_multiple: str,
+    on_multiple: str | None,
     **lookup_options,
 ) -> DataFrame:
     """``postcodes`` is the raw dimension or a shared :func:`postcode_lookup`
-    (whose own fan-out mode and size decision then apply)."""
+    (whose own fan-out mode and size decision then apply; giving other
+    options with it is an error)."""
+    if on_multiple is not None:
+        lookup_options["on_multiple"] = on_multiple
     return lookup_dimension(
         raw,
         postcodes,
@@ -48,13 +51,12 @@ def _city_lookup(
         out=city_col,
         fallback=fallback,
         value_transform=F.lower,
-        on_multiple=on_multiple,
         **lookup_options,
     )
 
 
 def transform_customers(
-    raw: DataFrame, postcodes: DataFrame | PreparedLookup, on_multiple: str = EXPAND, **lookup_options
+    raw: DataFrame, postcodes: DataFrame | PreparedLookup, on_multiple: str | None = None, **lookup_options
 ) -> DataFrame:
     """City from the postcode dimension (lowercased), no fallback: an
     unmatched prefix gives a NULL city.  State lowercased."""
@@ -72,7 +74,7 @@ def transform_customers(
 
 
 def transform_geolocation(
-    raw: DataFrame, postcodes: DataFrame | PreparedLookup, on_multiple: str = EXPAND, **lookup_options
+    raw: DataFrame, postcodes: DataFrame | PreparedLookup, on_multiple: str | None = None, **lookup_options
 ) -> DataFrame:
     """Coordinates to DOUBLE; city from the dimension, else the raw city
     exactly as written (no lowercasing).  State lowercased."""
@@ -90,7 +92,7 @@ def transform_geolocation(
 
 
 def transform_sellers(
-    raw: DataFrame, postcodes: DataFrame | PreparedLookup, on_multiple: str = EXPAND, **lookup_options
+    raw: DataFrame, postcodes: DataFrame | PreparedLookup, on_multiple: str | None = None, **lookup_options
 ) -> DataFrame:
     """City from the dimension, else the raw city lowercased.  State lowercased."""
     looked_up = _city_lookup(

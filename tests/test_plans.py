@@ -22,14 +22,14 @@ def test_no_python_udf_in_any_query(spark, name):
 
 
 @pytest.mark.parametrize("name", ["lookup_no_fallback", "lookup_fallback_raw", "lookup_fallback_lower",
-                                  "region_label", "sql_view"])
+                                  "region_label", "lookup_bigint_key"])
 def test_lookups_broadcast_the_dimension(spark, name):
     assert "BroadcastHashJoin" in _plan(entry.queries()[name](spark, SF))
 
 
 @pytest.mark.parametrize("name,fact", [
     ("lookup_fallback_raw", "c_custkey"), ("lookup_no_fallback", "c_custkey"), ("region_label", "c_custkey"),
-    ("lookup_fallback_lower", "s_suppkey"), ("sql_view", "c_custkey"), ("lookup_first", "c_custkey"),
+    ("lookup_fallback_lower", "s_suppkey"), ("lookup_bigint_key", "o_orderkey"), ("lookup_first", "c_custkey"),
 ])
 def test_lookups_scan_the_fact_table_once(spark, name, fact):
     plan = entry.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
