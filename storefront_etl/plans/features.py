@@ -18,6 +18,11 @@ from storefront_etl.functions.labels import category_group, region_of_state
 from storefront_etl.functions.units import PRODUCT_UNITS, convert_units
 
 
+# (input column, output column) of the features that the original job named itself.
+REGION_COLUMNS = {"customers": ("customer_state", "customer_region"), "sellers": ("seller_state", "seller_region")}
+CATEGORY_COLUMNS = ("product_category_name", "sub_product_category")
+
+
 def add_region(df: DataFrame, state_col: str, out: str) -> DataFrame:
     return df.withColumn(out, region_of_state(state_col))
 
@@ -73,11 +78,9 @@ def create_new_features(
     computed the category group and then saved the untransformed table),
     the returned category table carries ``sub_product_category``."""
     return FeatureTables(
-        customers=add_region(customers, "customer_state", "customer_region"),
-        sellers=add_region(sellers, "seller_state", "seller_region"),
+        customers=add_region(customers, *REGION_COLUMNS["customers"]),
+        sellers=add_region(sellers, *REGION_COLUMNS["sellers"]),
         products=convert_units(products, PRODUCT_UNITS),
-        product_category=add_category_group(
-            product_category, "product_category_name", "sub_product_category"
-        ),
+        product_category=add_category_group(product_category, *CATEGORY_COLUMNS),
         orders=add_order_calendar(orders),
     )

@@ -24,9 +24,15 @@ from dataclasses import dataclass, fields
 from pyspark.sql import DataFrame, SparkSession
 
 from storefront_etl.operators.lookup import EXPAND, PreparedLookup
-from storefront_etl.operators.postcode import SKIP, expand_postcode_ranges
+from storefront_etl.operators.postcode import SKIP, expand_postcode_ranges, malformed_range
 from storefront_etl.functions.units import PRODUCT_UNITS, convert_units
-from storefront_etl.plans.features import add_category_group, add_order_calendar, add_region
+from storefront_etl.plans.features import (
+    CATEGORY_COLUMNS,
+    REGION_COLUMNS,
+    add_category_group,
+    add_order_calendar,
+    add_region,
+)
 from storefront_etl.plans.tables import (
     postcode_lookup,
     transform_customers,
@@ -47,17 +53,29 @@ log = logging.getLogger(__name__)
 DEFAULT_CONCURRENT_TABLES = 4
 
 
+def postcode_ranges(spark: SparkSession, ranges_csv: str) -> DataFrame:
+    return read_csv_strings(spark, ranges_csv, columns=RAW_COLUMNS["postcode_ranges"])
+
+
 def postcode_table(spark: SparkSession, ranges_csv: str, on_invalid: str = SKIP) -> DataFrame:
-    raw = read_csv_strings(spark, ranges_csv, columns=RAW_COLUMNS["postcode_ranges"])
-    return expand_postcode_ranges(raw, on_invalid=on_invalid)
+    return expand_postcode_ranges(postcode_ranges(spark, ranges_csv), on_invalid=on_invalid)
 
 
 def prepare_postcodes(spark: SparkSession, ranges_csv: str, out_path: str, on_invalid: str = SKIP) -> str:
+    """Write the prefixes; ranges that are skipped as NULL or malformed are counted and logged."""
     write_parquet(postcode_table(spark, ranges_csv, on_invalid), out_path)
+    rejected = rejected_ranges(spark, ranges_csv)
+    if rejected:
+        log.warning("%d postcode ranges of %s are NULL or malformed and gave no rows", rejected, ranges_csv)
     log.info("postcode prefixes written to %s", out_path)
     return out_path
 
 
+def rejected_ranges(spark: SparkSession, ranges_csv: str) -> int:
+    """Ranges that ``on_invalid='skip'`` leaves out."""
+    return postcode_ranges(spark, ranges_csv).where(malformed_range("postcode_range")).count()
+
+
 @dataclass(frozen=True)
 class PipelinePaths:
     customers: str
@@ -92,21 +110,17 @@ def table_builders(
 
     return {
         "customers": lambda: add_region(
-            transform_customers(raw("customers", paths.customers), postcodes(), on_multiple),
-            "customer_state", "customer_region"),
-        "geolocation": lambda: transform_geolocation(
-            raw("geolocation", paths.geolocation), postcodes(), on_multiple),
+            transform_customers(raw("customers", paths.customers), postcodes()), *REGION_COLUMNS["customers"]),
+        "geolocation": lambda: transform_geolocation(raw("geolocation", paths.geolocation), postcodes()),
         "order_items": lambda: transform_order_items(raw("order_items", paths.order_items)),
         "order_payments": lambda: transform_order_payments(raw("order_payments", paths.order_payments)),
         "order_reviews": lambda: read_reviews(spark, paths.order_reviews, raw=raw_reviews),
         "orders": lambda: add_order_calendar(transform_orders(raw("orders", paths.orders))),
         "products": lambda: convert_units(transform_products(raw("products", paths.products)), PRODUCT_UNITS),
         "sellers": lambda: add_region(
-            transform_sellers(raw("sellers", paths.sellers), postcodes(), on_multiple),
-            "seller_state", "seller_region"),
+            transform_sellers(raw("sellers", paths.sellers), postcodes()), *REGION_COLUMNS["sellers"]),
         "product_category": lambda: add_category_group(
-            read_category_dictionary(spark, paths.product_category),
-            "product_category_name", "sub_product_category"),
+            read_category_dictionary(spark, paths.product_category), *CATEGORY_COLUMNS),
     }
 
 

@@ -11,11 +11,12 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storefront_etl.functions.calendar import LAST, day_of_week_name, month_name
+from storefront_etl.functions.calendar import LAST, with_day_diff, with_day_of_week, with_hour, with_month
 from storefront_etl.functions.casts import lenient_cast, lenient_int
 from storefront_etl.functions.units import PRODUCT_UNITS, convert_units
 from storefront_etl.operators.fill import fill_missing_by_union
@@ -25,7 +26,8 @@ from storefront_etl.operators.lookup import (
 )
 from storefront_etl.operators.postcode import expand_postcode_ranges
 from storefront_etl.operators.profile import distinct_values, null_profile, preview, profile_columns
-from storefront_etl.plans.features import add_category_group, add_order_calendar, add_region
+from storefront_etl.plans.features import add_category_group, add_order_calendar, add_region, create_new_features
+from storefront_etl.plans.jobs import PipelinePaths, prepare_postcodes, run_pipeline
 from storefront_etl.plans.standins import (
     CATEGORIES,
     SQL_CUSTOMERS_RAW,
@@ -41,6 +43,7 @@ from storefront_etl.plans.standins import (
     SQL_SELLERS_RAW,
     SQL_CEPS,
     as_text,
+    category_dictionary_raw,
     customers_raw,
     geo_select,
     geolocation_raw,
@@ -66,6 +69,7 @@ from storefront_etl.plans.standins import (
     sql_region,
     supplier_ranges,
     table,
+    write_standin_extracts,
 )
 from storefront_etl.plans.tables import (
     transform_customers,
@@ -76,7 +80,7 @@ from storefront_etl.plans.tables import (
     transform_products,
     transform_sellers,
 )
-from storefront_etl.sources.csv import read_csv_strings, read_reviews, write_csv
+from storefront_etl.sources.csv import read_category_dictionary, read_csv_strings, read_reviews, write_csv
 from storefront_etl.sources.parquet import register_views, scratch_path, write_tables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -233,7 +237,7 @@ _PRODUCT_INTS = (
 
 
 @_register("unit_convert", f"""
-SELECT *, {', '.join(f'{src} / {div} AS {dst}' for src, (dst, div) in PRODUCT_UNITS.items())}
+SELECT *, product_weight_g / 1000 AS product_weight_kg, product_length_cm / 100 AS product_length_m, product_height_cm / 100 AS product_height_m, product_width_cm / 100 AS product_width_m
 FROM (SELECT product_id, lower(product_category_name) AS product_category_name,
              {', '.join(f'{sql_lenient_int(c)} AS {c}' for c in _PRODUCT_INTS)}
       FROM ({SQL_PRODUCTS_RAW}) r) t""")
@@ -249,11 +253,8 @@ SELECT event_id, CAST(dayofweek(ts) + 1 AS INTEGER) AS order_day_of_week,
 FROM events""")
 def q_day_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weekday number (1 = Sunday) and English name of each event time."""
-    events = table(spark, sf_dir, "events")
-    day = F.dayofweek("ts")
-    return events.select(
-        "event_id", day.alias("order_day_of_week"), day_of_week_name(day).alias("order_name_day_of_week")
-    )
+    events = table(spark, sf_dir, "events").select("event_id", "ts")
+    return with_day_of_week(events, "ts", "order_day_of_week", "order_name_day_of_week").drop("ts")
 
 
 @_register("month_name", f"""
@@ -262,9 +263,8 @@ SELECT o_orderkey, CAST(month(o_orderdate) AS INTEGER) AS order_month,
 FROM orders""")
 def q_month_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Month number and English name of each order date."""
-    orders = table(spark, sf_dir, "orders")
-    month = F.month("o_orderdate")
-    return orders.select("o_orderkey", month.alias("order_month"), month_name(month).alias("order_name_month"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    return with_month(orders, "o_orderdate", "order_month", "order_name_month").drop("o_orderdate")
 
 
 @_register("null_date_names", f"""
@@ -276,22 +276,15 @@ SELECT o_orderkey,
 FROM ({SQL_ORDERS_WITH_SHIP}) ow""")
 def q_null_date_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders without items have no ship date: numbers NULL, names 'saturday'/'december'."""
-    df = orders_with_ship(spark, sf_dir)
-    day = F.dayofweek("first_ship")
-    month = F.month("first_ship")
-    return df.select(
-        "o_orderkey",
-        day.alias("ship_day_of_week"),
-        day_of_week_name(day, LAST).alias("ship_name_day_of_week"),
-        month.alias("ship_month"),
-        month_name(month, LAST).alias("ship_name_month"),
-    )
+    df = orders_with_ship(spark, sf_dir).select("o_orderkey", "first_ship")
+    named = with_day_of_week(df, "first_ship", "ship_day_of_week", "ship_name_day_of_week", LAST)
+    return with_month(named, "first_ship", "ship_month", "ship_name_month", LAST).drop("first_ship")
 
 
 @_register("hour_of_day", "SELECT event_id, CAST(hour(ts) AS INTEGER) AS event_hour FROM events")
 def q_hour_of_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hour of day of each event time."""
-    return table(spark, sf_dir, "events").select("event_id", F.hour("ts").alias("event_hour"))
+    return with_hour(table(spark, sf_dir, "events").select("event_id", "ts"), "ts", "event_hour").drop("ts")
 
 
 @_register("day_diff", f"""
@@ -299,8 +292,8 @@ SELECT o_orderkey, {sql_day_diff('first_ship', 'o_orderdate')} AS ship_days
 FROM ({SQL_ORDERS_WITH_SHIP}) ow""")
 def q_day_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calendar days order date -> first shipment (NULL without items; may be negative)."""
-    df = orders_with_ship(spark, sf_dir)
-    return df.select("o_orderkey", F.datediff("first_ship", "o_orderdate").alias("ship_days"))
+    df = orders_with_ship(spark, sf_dir).select("o_orderkey", "first_ship", "o_orderdate")
+    return with_day_diff(df, "first_ship", "o_orderdate", "ship_days").select("o_orderkey", "ship_days")
 
 
 @_register("cast_money", f"""
@@ -361,7 +354,7 @@ def q_csv_roundtrip_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Free text with quotes, commas and line breaks survives CSV write + read."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = scratch_path(spark, "csv-roundtrip-text")
-    write_csv(docs, path)
+    write_csv(docs.repartition(8, "doc_id"), path)  # several files: one is one task
     return read_reviews(spark, path, columns=("doc_id", "text"))
 
 
@@ -465,4 +458,108 @@ def q_limit_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preview(table(spark, sf_dir, "orders"), 5, order_by="o_orderkey")
 
 
+# ---------------------------------------------------------------------------
+# Whole jobs
+# ---------------------------------------------------------------------------
+def _written_extracts(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, str]]:
+    base = scratch_path(spark, "job")
+    return base, write_standin_extracts(spark, sf_dir, f"{base}/raw")
+
+
+@_register("job_postcodes", sql_expand(SQL_SUPPLIER_RANGES))
+def q_job_postcodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The postcode job: range CSV (with NULL, junk and reversed ranges) -> Parquet of prefixes."""
+    base = scratch_path(spark, "job-postcodes")
+    write_csv(supplier_ranges(table(spark, sf_dir, "supplier")), f"{base}/ranges.csv")
+    return spark.read.parquet(prepare_postcodes(spark, f"{base}/ranges.csv", f"{base}/prefixes.parquet"))
+
+
+# Job table -> query whose SQL gives its rows (order_reviews: whole texts).
+_JOB_SQL = {
+    "customers": "region_label", "geolocation": "lookup_fallback_raw", "sellers": "lookup_fallback_lower",
+    "order_items": "cast_money", "order_payments": "cast_int_lenient", "orders": "order_features",
+    "products": "unit_convert", "product_category": "category_group",
+}
+_JOB_COLUMNS = {
+    "customers": "customer_id customer_unique_id customer_zip_code_prefix customer_city customer_state customer_region",
+    "geolocation": "geolocation_zip_code_prefix geolocation_lat geolocation_lng geolocation_city geolocation_state",
+    "sellers": "seller_id seller_zip_code_prefix seller_city seller_state seller_region",
+    "order_items": "order_id order_item_id product_id seller_id shipping_limit_date price freight_value",
+    "order_payments": "order_id payment_sequential payment_type payment_installments payment_value",
+    "orders": " ".join(c for c, _ in _FEATURE_TYPES),
+    "products": "product_id product_category_name product_name_lenght product_photos_qty product_weight_kg",
+    "product_category": "product_category_name product_category_name_english sub_product_category",
+    "order_reviews": "review_id order_id review_score review_comment_message review_creation_date",
+}
+_SQL_REVIEWS = """
+SELECT CAST(doc_id AS VARCHAR) AS review_id, CAST((doc_id * 7) % 1000 AS VARCHAR) AS order_id, CAST(doc_id % 5 + 1 AS VARCHAR) AS review_score,
+       NULLIF(text, '') AS review_comment_message, '2018-01-18 00:00:00' AS review_creation_date
+FROM documents"""
+
+
+@_register("job_nine_tables", "\nUNION ALL\n".join(
+    f"""SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS row_count,
+       count(*) - count({c}) AS null_count, count(DISTINCT {c}) AS distinct_count
+FROM ({ORACLE_SQL[_JOB_SQL[t]] if t in _JOB_SQL else _SQL_REVIEWS}) q"""
+    for t, columns in _JOB_COLUMNS.items() for c in columns.split()))
+def q_job_nine_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole batch job, CSV extracts to nine Parquet tables, and a profile of what it wrote."""
+    base, raw = _written_extracts(spark, sf_dir)
+    ceps = prepare_postcodes(spark, raw["postcode_ranges"], f"{base}/prefixes.parquet")
+    paths = PipelinePaths(**{k: v for k, v in raw.items() if k != "postcode_ranges"}, postcodes=ceps)
+    written = run_pipeline(spark, paths, f"{base}/out")
+    parts = [
+        profile_columns(spark.read.parquet(written[t]).select(*columns.split()))
+        .select(F.lit(t).alias("table_name"), "column_name", "row_count", "null_count", "distinct_count")
+        for t, columns in _JOB_COLUMNS.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@_register("category_dictionary_bom", f"""
+SELECT {sql_pick(CATEGORIES, 'p_partkey')} AS product_category_name, p_type AS product_category_name_english FROM part""")
+def q_category_dictionary_bom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dictionary CSV whose files begin with a byte-order mark."""
+    dictionary = category_dictionary_raw(table(spark, sf_dir, "part"))
+    path = scratch_path(spark, "dictionary")
+    names = dictionary.columns
+    # The header's first name carries the mark, in every file.
+    marked = dictionary.select(F.col(names[0]).alias("\ufeff" + names[0]), names[1])
+    marked.write.option("header", True).csv(path)
+    return read_category_dictionary(spark, path)
+
+
+_SQL_FEATURES = "\nUNION ALL\n".join(
+    f"""SELECT '{t}' AS table_name, '{c}' AS feature, CAST({e} AS VARCHAR) AS value, count(*) AS n
+FROM ({ORACLE_SQL[_JOB_SQL[t]]}) q GROUP BY 3""" for t, c, e in (
+        ("customers", "customer_region", "customer_region"), ("sellers", "seller_region", "seller_region"),
+        ("product_category", "sub_product_category", "sub_product_category"),
+        ("products", "product_weight_kg", "CAST(floor(product_weight_kg) AS BIGINT)"),
+        *(("orders", c, c) for c, _ in _FEATURE_TYPES[8:])))
+
+
+@_register("create_new_features", _SQL_FEATURES)
+def q_create_new_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature step over its five tables: how often each feature has each value."""
+    made = create_new_features(
+        customers=q_lookup_no_fallback(spark, sf_dir),
+        sellers=transform_sellers(sellers_raw(table(spark, sf_dir, "supplier")), postcodes(spark, sf_dir)),
+        products=transform_products(products_raw(table(spark, sf_dir, "part"))),
+        product_category=category_dictionary_raw(table(spark, sf_dir, "part")),
+        orders=transform_orders(orders_raw(spark, sf_dir)),
+    )
+    wanted = {
+        "customers": ["customer_region"], "sellers": ["seller_region"], "product_category": ["sub_product_category"],
+        "products": ["product_weight_kg"], "orders": [c for c, _ in _FEATURE_TYPES[8:]],
+    }
+    parts = []
+    for name, columns in wanted.items():
+        df = getattr(made, name)
+        if name == "products":
+            df = df.withColumn("product_weight_kg", F.floor("product_weight_kg"))
+        pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in columns])
+        parts.append(df.select(F.lit(name).alias("table_name"), F.inline(pairs)))
+    return reduce(DataFrame.unionByName, parts).groupBy("table_name", "feature", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
 FLAGSHIP = "order_features"

@@ -16,7 +16,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storefront_etl.functions.casts import STRICT_INT_PATTERN
 from storefront_etl.functions.labels import (
     CATEGORY_GROUPS,
     CATEGORY_OTHER,
@@ -58,7 +57,7 @@ def sql_lenient_int(e: str) -> str:
 
 def sql_strict_int(e: str) -> str:
     """Oracle form of strict_int (space trimming covers every stand-in)."""
-    return f"(CASE WHEN regexp_matches(trim({e}), '{STRICT_INT_PATTERN}') THEN TRY_CAST(trim({e}) AS INTEGER) END)"
+    return f"(CASE WHEN regexp_matches(trim({e}), '^[+-]?[0-9]+$') THEN TRY_CAST(trim({e}) AS INTEGER) END)"
 
 
 def sql_pad5(e: str) -> str:
@@ -434,20 +433,56 @@ FROM ({raw_sql}) c LEFT JOIN ({ceps}) p
   ON {sql_lenient_int('c.customer_zip_code_prefix')} = {sql_lenient_int('p.cep_prefix')}"""
 
 
+# Fixed values, written out so that the oracle does not share the code's lists.
+SQL_REGION = """
+CASE
+  WHEN {value} IN ('ac', 'am', 'ro', 'rr', 'ap', 'to', 'pa')
+    THEN 'norte'
+  WHEN {value} IN ('ma', 'pi', 'ce', 'rn', 'pb', 'pe', 'al', 'ba', 'se')
+    THEN 'nordeste'
+  WHEN {value} IN ('mt', 'ms', 'df', 'go')
+    THEN 'centro-oeste'
+  WHEN {value} IN ('mg', 'sp', 'es', 'rj')
+    THEN 'sudeste'
+  ELSE 'sul' END"""
+SQL_CATEGORY = """
+CASE
+  WHEN {value} IN ('pcs', 'pc_gamer', 'tablets_impressao_imagem', 'telefonia_fixa', 'telefonia',
+    'informatica_acessorios', 'eletronicos', 'audio', 'consoles_games', 'dvds_blu_ray')
+    THEN 'eletronicos e tecnologia'
+  WHEN {value} IN ('fashion_roupa_masculina', 'fashion_roupa_feminina', 'fashion_roupa_infanto_juvenil',
+    'fashion_underwear_e_moda_praia', 'fashion_bolsas_e_acessorios', 'fashion_calcados', 'fashion_esporte')
+    THEN 'moda e acessorios'
+  WHEN {value} IN ('moveis_decoracao', 'moveis_colchao_e_estofado',
+    'moveis_cozinha_area_de_servico_jantar_e_jardim', 'moveis_quarto', 'moveis_sala', 'utilidades_domesticas',
+    'cama_mesa_banho', 'casa_construcao', 'casa_conforto', 'casa_conforto_2')
+    THEN 'casa e decoracao'
+  WHEN {value} IN ('livros_tecnicos', 'livros_importados', 'livros_interesse_geral')
+    THEN 'livros e educacao'
+  WHEN {value} IN ('beleza_saude', 'fraldas_higiene', 'perfumaria')
+    THEN 'beleza e saude'
+  WHEN {value} IN ('brinquedos', 'jogos', 'instrumentos_musicais')
+    THEN 'brinquedos e jogos'
+  WHEN {value} IN ('alimentos_bebidas', 'bebidas', 'alimentos')
+    THEN 'alimentos_e_bebidas'
+  WHEN {value} IN ('artigos_de_festas', 'artigos_de_natal')
+    THEN 'artigos para festas'
+  WHEN {value} IN ('artes', 'cine_foto', 'artes_e_artesanato')
+    THEN 'arte e artesanato'
+  WHEN {value} IN ('construcao_ferramentas_construcao', 'construcao_ferramentas_seguranca',
+    'construcao_ferramentas_jardim', 'construcao_ferramentas_iluminacao', 'construcao_ferramentas_ferramentas')
+    THEN 'ferramentas e construcao'
+  WHEN {value} IN ('esporte_lazer')
+    THEN 'esporte e lazer'
+  ELSE 'outros' END"""
+
+
 def sql_region(state: str) -> str:
-    whens = " ".join(
-        f"WHEN {state} IN ({', '.join(repr(v) for v in values)}) THEN '{label}'"
-        for label, values in REGION_GROUPS
-    )
-    return f"CASE {whens} ELSE 'sul' END"
+    return SQL_REGION.format(value=state)
 
 
 def sql_category(cat: str) -> str:
-    whens = " ".join(
-        f"WHEN {cat} IN ({', '.join(repr(v) for v in values)}) THEN '{label}'"
-        for label, values in CATEGORY_GROUPS
-    )
-    return f"CASE {whens} ELSE 'outros' END"
+    return SQL_CATEGORY.format(value=cat)
 
 
 SQL_GEO_JOINED = f"""

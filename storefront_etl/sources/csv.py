@@ -14,6 +14,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Largest free-text file that one task should read.
+MAX_TEXT_FILE_BYTES = 1 << 30
 
 # RFC-4180 quoting (a quote inside a quoted field is doubled).
 QUOTE = '"'
@@ -31,8 +35,15 @@ def read_csv_strings(
     """Header CSV -> all-string DataFrame, optionally projected to ``columns``.
 
     ``columns`` are selected by header name (a missing one fails analysis),
-    and the projection is pushed into the CSV scan.  A UTF-8 byte-order
-    mark at the start of the file is dropped by the reader.
+    and the projection is pushed into the CSV scan.  Every file's header must
+    name the same columns in the same order: Spark checks it and fails on a
+    file that doesn't, rather than read its fields by position.  A UTF-8
+    byte-order mark at the start of the file is dropped by the reader.
+
+    A quote inside a quoted field is doubled, in every extract; a backslash
+    is an ordinary character.  (The original reads took a backslash as the
+    escape in all tables but this loses a field that ends in one; a quote
+    written as backslash-quote keeps its backslash here.)
     """
     reader = (
         spark.read.option("header", True)
@@ -42,6 +53,7 @@ def read_csv_strings(
         .option("quote", QUOTE)
         .option("escape", ESCAPE)
         .option("multiLine", multi_line)
+        .option("enforceSchema", False)
     )
     df = reader.csv(path if isinstance(path, str) else list(path))
     return df.select(*columns) if columns is not None else df
@@ -52,15 +64,27 @@ def read_reviews(
     path: str | Sequence[str],
     columns: Sequence[str] | None = None,
     raw: bool = False,
+    max_file_bytes: int | None = MAX_TEXT_FILE_BYTES,
 ) -> DataFrame:
     """Free-text extract (e.g. order reviews) read as RFC-4180 CSV.
 
+    Such files cannot be split, so each is one task: a file of more than
+    ``max_file_bytes`` is refused (None: any size is read), to be delivered
+    in parts instead.
+
     ``raw=True`` reproduces the original default-option read, in which a
     doubled quote or a line break inside a message shifts columns.
     """
     if raw:
         df = spark.read.csv(path if isinstance(path, str) else list(path), header=True)
         return df.select(*columns) if columns is not None else df
+    if max_file_bytes is not None:
+        large = (
+            spark.read.format("binaryFile").load(path if isinstance(path, str) else list(path))
+            .where(F.col("length") > max_file_bytes).select("path", "length").limit(1).collect()
+        )
+        if large:
+            raise ValueError(f"{large[0]['path']} has {large[0]['length']} bytes and would be one task; split it, or pass max_file_bytes=None")
     return read_csv_strings(spark, path, columns=columns, multi_line=True)
 
 

@@ -5,7 +5,7 @@ projection plus, for three tables, a lookup against a static dimension, so
 the same DataFrame -> DataFrame functions run unchanged on a Structured
 Streaming source: new extract files arriving in a folder are typed, looked
 up and appended to the Parquet table, with exactly-once file sink commits
-and a checkpoint in the cluster's shared checkpoint folder.  No state store,
+and a checkpoint that stays with the output from run to run.  No state store,
 watermark or window is involved.
 """
 

@@ -20,9 +20,11 @@ from storefront_etl.plans.tables import (
     transform_sellers,
 )
 from storefront_etl.sources.csv import ESCAPE, QUOTE
-from storefront_etl.sources.parquet import scratch_path
 from storefront_etl.sources.schemas import RAW_COLUMNS, all_string_schema
 
+# Default checkpoint, next to the data it belongs to (names with _ are no data files).
+CHECKPOINT_FOLDER = "_checkpoint"
+
 Transform = Callable[[DataFrame, "DataFrame | PreparedLookup | None"], DataFrame]
 
 # Table name -> (needs the postcode dimension, transform incl. its features).
@@ -64,6 +66,7 @@ def read_extract_stream(
         .option("quote", QUOTE)
         .option("escape", ESCAPE)
         .option("multiLine", multi_line)
+        .option("enforceSchema", False)
     )
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -86,7 +89,12 @@ def start_table_stream(
     catch-up with stream bookkeeping); ``False`` keeps polling the folder.
     ``postcodes`` is the raw dimension or a :func:`postcode_lookup` prepared
     (and size-checked) once; the dimension is static, joined to each
-    micro-batch.
+    micro-batch, and must be small enough to broadcast.
+
+    ``checkpoint`` defaults to a folder inside ``output_path`` (readers skip
+    it): it must stay the same from run to run, since the sink's log and the
+    source's progress belong together.  A new checkpoint for an output that
+    already has batches would drop the first files of the new run.
     """
     if table not in STREAM_TABLES:
         raise ValueError(f"no streaming transform for table {table!r}")
@@ -103,7 +111,7 @@ def start_table_stream(
         out.writeStream.format("parquet")
         .outputMode("append")
         .option("path", output_path)
-        .option("checkpointLocation", checkpoint or scratch_path(spark, f"stream-{table}"))
+        .option("checkpointLocation", checkpoint or f"{output_path.rstrip('/')}/{CHECKPOINT_FOLDER}")
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

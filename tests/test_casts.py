@@ -21,6 +21,10 @@ def test_lenient_int_full_old_cast_parity(spark):
     assert _one_col(spark, values, lenient_int) == [0, 0, 0, 0, 7, 7, -3, None, None, None]
 
 
+def test_delete_character_is_trimmed_like_other_controls(spark):
+    assert _one_col(spark, ["7\x7f", "\x7f7", "\x7f7.9\x00", "7\x7f7"], lenient_int) == [7, 7, 7, None]
+
+
 def test_lenient_int_rejects_junk_without_raising(spark):
     values = ["1e2", "abc", "", "3000000000", "1.5x", "-", None]
     assert _one_col(spark, values, lenient_int) == [None] * len(values)

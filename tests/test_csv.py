@@ -1,3 +1,5 @@
+import pytest
+
 from storefront_etl.sources.csv import read_csv_strings, read_reviews, write_csv
 
 REVIEWS = (
@@ -50,3 +52,27 @@ def test_bom_is_dropped_in_both_read_modes(spark, tmp_path):
     path.write_text('﻿review_id,msg\nr1,"a\nb"\n', encoding="utf-8")
     assert read_reviews(spark, str(path)).columns == ["review_id", "msg"]
     assert read_csv_strings(spark, str(path), multi_line=False).columns == ["review_id", "msg"]
+
+
+def test_files_with_differing_header_order_are_refused(spark, tmp_path):
+    folder = tmp_path / "x"
+    folder.mkdir()
+    (folder / "1.csv").write_text("a,b\n1,2\n3,4\n", encoding="utf-8")
+    (folder / "2.csv").write_text("b,a\n2,1\n", encoding="utf-8")
+    with pytest.raises(Exception, match="FAILED_READ_FILE|CSV header"):
+        read_csv_strings(spark, str(folder)).collect()
+
+
+def test_backslash_is_an_ordinary_character(spark, tmp_path):
+    path = tmp_path / "x.csv"
+    path.write_text('a,b\n"x\\",1\nc:\\d,2\n"say ""hi""",3\n', encoding="utf-8")
+    rows = {r.b: r.a for r in read_csv_strings(spark, str(path)).collect()}
+    assert rows == {"1": "x\\", "2": "c:\\d", "3": 'say "hi"'}
+
+
+def test_a_free_text_file_too_large_for_one_task_is_refused(spark, tmp_path):
+    path = tmp_path / "reviews.csv"
+    path.write_text(REVIEWS, encoding="utf-8")
+    with pytest.raises(ValueError, match="split it"):
+        read_reviews(spark, str(path), max_file_bytes=10)
+    assert read_reviews(spark, str(path), max_file_bytes=None).count() == 2

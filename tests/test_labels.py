@@ -1,5 +1,3 @@
-from collections import Counter
-
 from pyspark.sql import functions as F
 
 from storefront_etl.functions.labels import category_group, region_of_state
@@ -21,16 +19,25 @@ def test_category_defaults_to_outros(spark):
     assert got == ["eletronicos e tecnologia", "alimentos_e_bebidas", "outros", "outros", "outros"]
 
 
-def test_category_counts_over_dictionary(spark, fixtures):
-    dictionary = read_category_dictionary(spark, str(fixtures / "product_category_name_translation.csv"))
-    assert dictionary.count() == 71
+# Invented dictionary rows: a category and an English name made up for this test.
+DICTIONARY = """\ufeffproduct_category_name,product_category_name_english
+pcs,Made-up computers
+alimentos,Made-up food
+moveis_decoracao,"Chairs, invented"
+inexistente,No such thing
+"""
+
+
+def test_groups_over_a_dictionary_with_byte_order_mark(spark, tmp_path):
+    (tmp_path / "dictionary.csv").write_text(DICTIONARY, encoding="utf-8")
+    dictionary = read_category_dictionary(spark, str(tmp_path / "dictionary.csv"))
     assert dictionary.columns == ["product_category_name", "product_category_name_english"]
-    labels = [r[0] for r in dictionary.select(category_group("product_category_name")).collect()]
-    assert Counter(labels) == {
-        "outros": 23, "casa e decoracao": 10, "eletronicos e tecnologia": 9,
-        "moda e acessorios": 7, "ferramentas e construcao": 5, "beleza e saude": 3,
-        "alimentos_e_bebidas": 3, "livros e educacao": 3, "arte e artesanato": 3,
-        "brinquedos e jogos": 2, "artigos para festas": 2, "esporte e lazer": 1,
+    rows = dictionary.select("*", category_group("product_category_name").alias("group")).collect()
+    assert {r[0]: (r[1], r[2]) for r in rows} == {
+        "pcs": ("Made-up computers", "eletronicos e tecnologia"),
+        "alimentos": ("Made-up food", "alimentos_e_bebidas"),
+        "moveis_decoracao": ("Chairs, invented", "casa e decoracao"),
+        "inexistente": ("No such thing", "outros"),
     }
 
 

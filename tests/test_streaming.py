@@ -1,3 +1,5 @@
+import pytest
+
 from storefront_etl.streaming import start_table_stream
 
 
@@ -51,7 +53,7 @@ def test_reviews_stream_reads_multiline_text(spark, tmp_path):
     assert len(rows) == 1 and rows[0].review_comment_message == 'veio "certo", mas\ntarde'
 
 
-def test_stream_with_non_broadcast_dimension(spark, tmp_path):
+def test_stream_refuses_a_dimension_that_is_too_large_to_broadcast(spark, tmp_path):
     from storefront_etl.plans.tables import postcode_lookup
 
     dim = spark.createDataFrame([("Alpha", "1003"), ("Beta", "1003")], "locality string, cep_prefix string")
@@ -59,12 +61,26 @@ def test_stream_with_non_broadcast_dimension(spark, tmp_path):
     assert not prepared.broadcast
     src = tmp_path / "in"
     src.mkdir()
-    (src / "p.csv").write_text(
-        "seller_id,seller_zip_code_prefix,seller_city,seller_state\ns1,01003,x,SP\ns2,junk,Campinas,BA\n",
-        encoding="utf-8")
+    with pytest.raises(ValueError, match="broadcast"):
+        start_table_stream(spark, "sellers", str(src), str(tmp_path / "out"), postcodes=prepared)
+
+
+def test_restart_without_naming_a_checkpoint_keeps_every_file(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
     out = str(tmp_path / "out")
-    q = start_table_stream(spark, "sellers", str(src), out, postcodes=prepared, checkpoint=str(tmp_path / "ck"))
-    q.awaitTermination(120)
-    rows = sorted(tuple(r) for r in spark.read.parquet(out).collect())
-    assert rows == [("s1", "01003", "alpha", "sp", "sudeste"), ("s1", "01003", "beta", "sp", "sudeste"),
-                    ("s2", "junk", "campinas", "ba", "nordeste")]
+    header = "order_id,payment_sequential,payment_type,payment_installments,payment_value\n"
+    for name in ("o1", "o2", "o3"):
+        (src / f"{name}.csv").write_text(header + f"{name},1,card,2,3.5\n", encoding="utf-8")
+        start_table_stream(spark, "order_payments", str(src), out).awaitTermination(120)
+    assert sorted(r.order_id for r in spark.read.parquet(out).collect()) == ["o1", "o2", "o3"]
+
+
+def test_stream_refuses_swapped_headers(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "a.csv").write_text(
+        "payment_sequential,order_id,payment_type,payment_installments,payment_value\n1,o1,card,2,3.5\n", encoding="utf-8")
+    query = start_table_stream(spark, "order_payments", str(src), str(tmp_path / "out"))
+    with pytest.raises(Exception, match="FAILED_READ_FILE|CSV header"):
+        query.awaitTermination(120)
