@@ -33,6 +33,8 @@ SEED = 4
 # Text bytes of a bucket, held at once by a task (some three times that with Arrow's copies).
 BUCKET_BYTES = 8 << 20
 ROW_BYTES = 64
+# Overfilled buckets whose list (two numbers each) may be broadcast.
+BROADCAST_BUCKETS = 1_000_000
 
 
 def record_size(text: Column) -> Column:
@@ -57,24 +59,26 @@ def external_shuffle(docs: DataFrame, seed: int = SEED, bucket_bytes: int = BUCK
     counted = stored(
         sized.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("size") + ROW_BYTES).alias("bytes")), "shard-buckets"
     )
-    # Buckets overfilled by rows that no hash of their content can part, or by single records; at most
-    # total / (4 * bucket_bytes) of them, none in ordinary data.
-    over = {r["bucket"]: -(-r["bytes"] // bucket_bytes) for r in counted.where(F.col("bytes") > 4 * bucket_bytes).collect()}
-    place = F.monotonically_increasing_id()
-    piece = F.lit(0).cast("long")
-    for b, n in over.items():
-        piece = F.when(bucket == b, F.pmod(F.xxhash64(F.lit(seed), place), F.lit(n))).otherwise(piece)
+    # Buckets overfilled by rows that no hash of their content can part, or by single long records: none in ordinary
+    # data.  They are cut further by place.
+    over = counted.where(F.col("bytes") > 4 * bucket_bytes).select("bucket", F.ceil(F.col("bytes") / bucket_bytes).alias("pieces"))
+    n_over = over.count()
     names, sized = sized.columns, plain_names(sized)
-    scattered = sized.withColumn("bucket", bucket).withColumn("piece", piece)
-    if over:
+    scattered = sized.withColumn("bucket", bucket)
+    if n_over:
+        place = F.xxhash64(F.lit(seed), F.monotonically_increasing_id())
+        scattered = scattered.withColumn("place", place).join(F.broadcast(over) if n_over <= BROADCAST_BUCKETS else over, "bucket", "left")
+        scattered = scattered.withColumn("piece", F.coalesce(F.pmod("place", "pieces"), F.lit(0))).drop("place", "pieces")
         counted = scattered.groupBy("bucket", "piece").agg(F.count(F.lit(1)).alias("rows"))
     else:
+        scattered = scattered.withColumn("piece", F.lit(0).cast("long"))
         counted = counted.select("bucket", F.lit(0).cast("long").alias("piece"), "rows")
     # One row per bucket: where it starts in the whole order.
     before = Window.orderBy("bucket", "piece").rowsBetween(Window.unboundedPreceding, -1)
     starts = stored(
         counted.select("bucket", "piece", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("before")), "shard-starts"
     )
+    kept = sized.columns
     kinds = T.StructType([*sized.schema.fields, T.StructField("shard", T.IntegerType()), T.StructField("slot", T.LongType())])
 
     def shuffled(key: tuple, rows: pa.Table, start: pa.Table) -> pa.Table:
@@ -86,7 +90,7 @@ def external_shuffle(docs: DataFrame, seed: int = SEED, bucket_bytes: int = BUCK
             j = int(rng.integers(0, i + 1))
             order[i], order[j] = order[j], order[i]
         position = np.arange(len(order)) + start.column("before")[0].as_py()
-        rows = rows.drop_columns(["bucket", "piece"]).take(pa.array(order))
+        rows = rows.select(kept).take(pa.array(order))
         return rows.append_column("shard", pa.array(position % shards, pa.int32())).append_column(
             "slot", pa.array(position // shards, pa.int64())
         )
