@@ -10,13 +10,14 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+_local_root: str | None = None
 
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local-mode session without one (tests) gets a local folder,
-    created and registered as its checkpoint directory; on a cluster a
+    Only a local-mode session without one (tests) gets a local folder, one
+    per process; the session itself is not changed.  On a cluster a
     driver-local folder would be invisible to the executors, so a missing
     setting is an error there.
     """
@@ -31,14 +32,35 @@ def scratch_root(spark: SparkSession) -> str:
     if not root:
         if sc is None or not master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="storefront-etl-")
-        sc.setCheckpointDir(root)
+        global _local_root
+        root = _local_root = _local_root or tempfile.mkdtemp(prefix="storefront-etl-")
     return root.rstrip("/")
 
 
+_given: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under :func:`scratch_root`."""
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    _given.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete what this process has put under its scratch paths; how many there were.
+
+    For the end of an application: DataFrames that still read scratch tables
+    fail afterwards.  Goes through Spark's file systems, so it works for any
+    shared folder.
+    """
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    root, dropped = scratch_root(spark) + "/", 0
+    for name in [n for n in _given if n.startswith(root)]:
+        _given.remove(name)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+        dropped += bool(path.getFileSystem(conf).delete(path, True))
+    return dropped
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -14,9 +14,11 @@ FIXTURES = ROOT / "tests" / "fixtures"
 @pytest.fixture(scope="session")
 def spark():
     from storefront_etl.session import local_session
+    from storefront_etl.sources.parquet import drop_scratch
 
     session = local_session(cores=4, shuffle_partitions=8)
     yield session
+    drop_scratch(session)
     session.stop()
 
 

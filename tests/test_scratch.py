@@ -2,7 +2,7 @@
 
 import pytest
 
-from storefront_etl.sources.parquet import scratch_path, scratch_root
+from storefront_etl.sources.parquet import drop_scratch, scratch_path, scratch_root
 
 
 class _Conf:
@@ -46,7 +46,18 @@ def test_missing_setting_is_an_error_on_a_cluster():
         scratch_root(_Session(None, "spark://master:7077"))
 
 
-def test_local_mode_gets_a_local_folder():
+def test_local_mode_gets_a_local_folder_and_the_session_stays_as_it_is():
     s = _Session(None, "local[4]")
     root = scratch_root(s)
-    assert root and s.sparkContext.checkpoint == root
+    assert root == scratch_root(s) and s.sparkContext.checkpoint is None
+
+
+def test_drop_scratch_deletes_what_was_written(spark):
+    path = scratch_path(spark, "dropped")
+    spark.range(3).write.parquet(path)
+    other = f"{scratch_root(spark)}/kept"
+    spark.range(3).write.mode("overwrite").parquet(other)
+    assert drop_scratch(spark) >= 1
+    assert spark.read.parquet(other).count() == 3
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
