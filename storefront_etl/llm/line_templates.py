@@ -18,8 +18,8 @@ template (exact and near dedup deal with those).  Lines of fewer than
 At scale: the first pass keeps 40 bytes a line and counts leaves with
 pre-aggregation; only lines in leaves with enough documents are looked at
 again, by a join with one row per leaf (Spark broadcasts it if small, else may
-split the hot leaves).  Lines are put together again per document by a join
-with the dropped positions, one row per document.
+split the hot leaves).  Lines are put together again per document by a sort
+merge join with the dropped positions, one row per document.
 
 Defined results: a null text has no lines and stays null; empty lines stay; a
 text may end up empty, its row stays; rows that repeat are cut alike; an empty
@@ -102,7 +102,8 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, counts: bool
     dropped = stored(
         recurring_lines(docs, min_docs).groupBy("row").agg(F.collect_set("place").alias(gone)).withColumnRenamed("row", row), "template-dropped"
     )
-    joined = docs.withColumn(row, row_key()).join(dropped, row, "left")
+    # The same plan at every size: both sides by row (one small row per cut document on the right).
+    joined = docs.withColumn(row, row_key()).join(dropped.hint("merge"), row, "left")
     lines = F.split("text", "\n", -1)
     kept = F.array_join(F.filter(lines, lambda line, k: ~F.array_contains(F.col(gone), k)), "\n")
     text = F.when(F.col(gone).isNull(), F.col("text")).otherwise(kept)
