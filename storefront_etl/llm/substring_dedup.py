@@ -17,6 +17,9 @@ words hold a minimizer.  So
 3. the candidates' windows on repeated minimizers are hashed and counted,
 4. a candidate is cut by the repeated hashes that are its own.
 
+Equal texts are one candidate with a number of copies, so a group of copies
+costs one text, however large it is.
+
 Counts are pre-aggregated, so a passage in a third of all documents is a few
 partial counts per task; joins against the counts have one row per hash on
 one side, so Spark may split the hot side.  Windows are judged on the input.
@@ -58,13 +61,18 @@ def window_ids(words: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     return window_hashes(words, width), sliding_min(window_hashes(words, min(PIECE, width)), width - min(PIECE, width) + 1)
 
 
+def content_key() -> Column:
+    """Equal for equal texts: such documents have the same result."""
+    return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+
+
 def row_key() -> Column:
-    """Equal for equal (doc_id, text): such rows have the same result."""
+    """Equal for equal (doc_id, text)."""
     return F.xxhash64(F.col("text"), F.col("doc_id"))
 
 
 def outlines(docs: DataFrame, width: int) -> DataFrame:
-    """(row, doc_id, n_words, whole_sha256, minimizers): one row per document, texts read once."""
+    """(content, row, doc_id, n_words, whole_sha256, minimizers): one row per document, texts read once."""
 
     def outline(part: pa.RecordBatch) -> pa.RecordBatch:
         words = Words(part.column("text"))
@@ -87,36 +95,41 @@ def outlines(docs: DataFrame, width: int) -> DataFrame:
             lengths.append(len(at))
         every = np.concatenate(found)
         return pa.RecordBatch.from_arrays(
-            [part.column("row"), part.column("doc_id"), pa.array(words.counts(), pa.int64()), pa.array(digests, pa.string()),
+            [part.column("content"), part.column("row"), part.column("doc_id"), pa.array(words.counts(), pa.int64()), pa.array(digests, pa.string()),
              lists(every.view(np.int64), np.array(lengths, dtype=np.int64), pa.int64())],
-            ["row", "doc_id", "n_words", "whole_sha256", "minimizers"],
+            ["content", "row", "doc_id", "n_words", "whole_sha256", "minimizers"],
         )
 
-    schema = f"row long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_words long, whole_sha256 string, minimizers array<long>"
-    return per_batch(docs.select(row_key().alias("row"), "doc_id", "text"), "text", outline, schema)
+    schema = f"content long, row long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_words long, whole_sha256 string, minimizers array<long>"
+    return per_batch(docs.select(content_key().alias("content"), row_key().alias("row"), "doc_id", "text"), "text", outline, schema)
 
 
 def candidate_windows(texts: DataFrame, width: int) -> DataFrame:
-    """(row, window) of every window whose minimizer is in its row's ``shared`` list."""
+    """(content, copies, window) of every window whose minimizer is in its text's ``shared`` list."""
 
     def windows(part: pa.RecordBatch) -> pa.RecordBatch:
         words = Words(part.column("text"))
         hashes = words.hashes()
-        shared, rows = part.column("shared"), part.column("row").to_numpy(zero_copy_only=False)
-        found, ids = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        shared = part.column("shared")
+        found, lengths = [np.zeros(0, np.uint64)], []
         for i, (lo, hi) in enumerate(zip(words.first[:-1], words.first[1:], strict=True)):
+            lengths.append(0)
             if hi - lo >= width:
                 whole, least = window_ids(hashes[lo:hi], width)
                 whole = whole[np.isin(least, shared[i].values.to_numpy().view(np.uint64))]
                 found.append(whole)
-                ids.append(np.full(len(whole), rows[i]))
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(ids), pa.int64()), as_long(np.concatenate(found))], ["row", "window"])
+                lengths[-1] = len(whole)
+        repeat = pa.array(np.repeat(np.arange(part.num_rows), lengths))
+        return pa.RecordBatch.from_arrays(
+            [part.column("content").take(repeat), part.column("copies").take(repeat), as_long(np.concatenate(found))],
+            ["content", "copies", "window"],
+        )
 
-    return per_batch(texts, "text", windows, "row long, window long")
+    return per_batch(texts, "text", windows, "content long, copies long, window long")
 
 
-def cut(texts: DataFrame, width: int, doc_type: str) -> DataFrame:
-    """Candidates (row, doc_id, text, ``repeated`` hashes or null) -> their digests and ``kept_text``."""
+def cut(texts: DataFrame, width: int) -> DataFrame:
+    """Candidates (content, text, ``repeated`` hashes) -> what stays of them."""
 
     def digest(part: pa.RecordBatch) -> pa.RecordBatch:
         words = Words(part.column("text"))
@@ -124,7 +137,7 @@ def cut(texts: DataFrame, width: int, doc_type: str) -> DataFrame:
         removed, digests, kept_texts, repeated = [], [], [], part.column("repeated")
         for i, (lo, hi) in enumerate(zip(words.first[:-1], words.first[1:], strict=True)):
             keep = np.ones(hi - lo, dtype=bool)
-            if hi - lo >= width and repeated[i].is_valid:
+            if hi - lo >= width:
                 again = np.isin(window_hashes(hashes[lo:hi], width), repeated[i].values.to_numpy().view(np.uint64))
                 edges = np.zeros(hi - lo + 1, dtype=np.int64)  # windows opening minus windows closing at each word
                 edges[:-width] += again
@@ -135,11 +148,11 @@ def cut(texts: DataFrame, width: int, doc_type: str) -> DataFrame:
             digests.append(hashlib.sha256(kept).hexdigest())
             kept_texts.append(kept.decode("utf-8", "replace"))
         return pa.RecordBatch.from_arrays(
-            [part.column("doc_id"), pa.array(words.counts(), pa.int64()), pa.array(removed, pa.int64()), pa.array(digests, pa.string()), pa.array(kept_texts, pa.string())],
-            ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"],
+            [part.column("content"), pa.array(removed, pa.int64()), pa.array(digests, pa.string()), pa.array(kept_texts, pa.string())],
+            ["content", "n_removed", "kept_sha256", "kept_text"],
         )
 
-    return per_batch(texts, "text", digest, f"doc_id {doc_type}, n_words long, n_removed long, kept_sha256 string, kept_text string")
+    return per_batch(texts, "text", digest, "content long, n_removed long, kept_sha256 string, kept_text string")
 
 
 def dedup_substrings(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -148,28 +161,29 @@ def dedup_substrings(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     ``kept_text`` is null for documents that nothing is removed from.
     """
     whole = stored(outlines(docs, width), "substring-outlines")
-    places = whole.select("row", F.explode("minimizers").alias("minimizer"))
+    # One row per different text: copies cost a count.
+    contents = stored(
+        whole.groupBy("content").agg(F.count(F.lit(1)).alias("copies"), F.min("row").alias("row"), F.first("minimizers").alias("minimizers")),
+        "substring-contents",
+    )
+    places = contents.select("content", "copies", F.explode("minimizers").alias("minimizer"))
     again = stored(
-        places.groupBy("minimizer").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("minimizer"), "substring-minimizers"
+        places.groupBy("minimizer").agg(F.sum("copies").alias("n")).where("n > 1").select("minimizer"), "substring-minimizers"
     )
-    shared = places.join(again, "minimizer").groupBy("row").agg(F.collect_set("minimizer").alias("shared"))
+    shared = places.join(again, "minimizer").groupBy("content").agg(F.collect_set("minimizer").alias("shared"))
+    one = shared.join(contents.select("content", "copies", "row"), "content")
     candidates = stored(
-        docs.select(row_key().alias("row"), "doc_id", "text").join(shared, "row").select("row", "doc_id", "text", "shared"),
+        docs.select(row_key().alias("row"), "text").join(one, "row").select("row", "content", "copies", "text", "shared").dropDuplicates(["row"]),
         "substring-candidates",
     )
     windows = stored(candidate_windows(candidates, width), "substring-windows")
-    repeated = windows.groupBy("window").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("window")
-    own = stored(
-        windows.join(repeated, "window").groupBy("row").agg(F.collect_set("window").alias("repeated")), "substring-own"
-    )
-    doc_type = docs.schema["doc_id"].dataType.simpleString()
-    hit = candidates.drop("shared").join(own, "row")
-    changed = cut(hit, width, doc_type)
-    same = whole.join(own.select("row"), "row", "left_anti").select(
-        "doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), F.col("whole_sha256").alias("kept_sha256"),
-        F.lit(None).cast("string").alias("kept_text"),
+    repeated = windows.groupBy("window").agg(F.sum("copies").alias("n")).where("n > 1").select("window")
+    own = windows.join(repeated, "window").groupBy("content").agg(F.collect_set("window").alias("repeated"))
+    changed = cut(candidates.select("content", "text").join(own, "content"), width)
+    return whole.join(changed, "content", "left").select(
+        "doc_id", "n_words", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce("kept_sha256", "whole_sha256").alias("kept_sha256"), "kept_text",
     )
-    return same.unionByName(changed)
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
