@@ -27,7 +27,7 @@ from storefront_etl.sources.parquet import scratch_path
 WORD = r"[^\x20\x09-\x0D]+"
 
 # Text bytes handled at once by numpy code: its temporaries take some 40 times that.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 _SEPARATOR = np.zeros(256, dtype=bool)
 _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
