@@ -11,7 +11,8 @@ one size band: bands step by 1.34, so linked sets are at most one band apart,
 and each set stands in the tiles of its own band and the next.  The order is
 by hash, with the elements that a bounded sample shows to be frequent last:
 they are then rarely tile keys.  The sample steers only how much work there
-is; every order gives the same links.
+is; every order gives the same links.  Tiles with the same smallest node are
+merged, since near copies share very many elements.
 
 *Bitmaps.*  Each set has a bitmap of 2 to 4 bits per element (its hashes'
 low bits).  Bits of A that B lacks are elements of A that B lacks, so
@@ -21,10 +22,12 @@ from above, and most pairs end there.  The rest meet their sorted arrays.
 *Large groups.*  Round one compares every set of a tile to the tile's
 smallest node only (a number of pairs in proportion to the tile), and links
 become components.  Round two compares, in each tile that still holds several
-components, the pairs from different ones, in blocks of at most ``BLOCK``
-sets.  A pair is left out only if both sets are in one component already, so
-components are exact, and a group of near copies costs its size, not its
-square.
+components, the pairs from different ones, in chunks of about ``BLOCK`` sets
+(the tile's largest component against the others only), slice by slice
+(``SLICES``): first every set's likeliest partner, then the next ones, with
+the components renewed in between, until nothing is untested.  A pair is left
+out only if both sets are in one component already, so components are exact,
+and a group of near copies costs its size, not its square.
 
 Defined results: null, empty and wordless texts have an empty set, link with
 nothing and are their own component; rows that repeat (equal text) are one
@@ -60,6 +63,8 @@ WIDTH = 5
 SIMILARITY = 75  # percent
 BAND_STEP = 1.34
 BLOCK = 512
+# Round two tests a set's pairs in slices, the likeliest first: later slices find most of their pairs in one component.
+SLICES = (0, 1, 8, 64)
 # Sample that finds frequent shingles: about this many documents; frequent from this many of them on; at most so many kept.
 SAMPLE_DOCS = 4000
 FREQUENT_IN = 8
@@ -109,14 +114,17 @@ def folded(bits: np.ndarray, size: int) -> np.ndarray:
     return bits
 
 
-def may_link(n: np.ndarray, m: np.ndarray, a: np.ndarray, b: np.ndarray, similarity: int = SIMILARITY) -> np.ndarray:
-    """From sizes and bitmaps (last axis): can the sets overlap enough?"""
-    size = min(a.shape[-1], b.shape[-1])
-    a, b = folded(a, size), folded(b, size)
-    most = np.minimum(
+def overlap_bound(n: np.ndarray, m: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """From sizes and bitmaps (last axis): the most elements that the sets can share."""
+    return np.minimum(
         n - np.bitwise_count(a & ~b).sum(axis=-1, dtype=np.int64), m - np.bitwise_count(b & ~a).sum(axis=-1, dtype=np.int64)
     )
-    return links(n, m, most, similarity)
+
+
+def may_link(n: np.ndarray, m: np.ndarray, a: np.ndarray, b: np.ndarray, similarity: int = SIMILARITY) -> np.ndarray:
+    """Can the sets overlap enough?"""
+    size = min(a.shape[-1], b.shape[-1])
+    return links(n, m, overlap_bound(n, m, folded(a, size), folded(b, size)), similarity)
 
 
 def links(n, m, overlap, similarity: int = SIMILARITY):
@@ -244,71 +252,97 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, similarity: in
                 keep[i] = links(len(a), len(b), int((both[1:] == both[:-1]).sum()), similarity)
             yield part.select(["a", "b"]).filter(pa.array(keep))
 
-    return sides.select("a", "b", "set_a", "set_b").mapInArrow(test, "a long, b long")
+    return stored(sides.select("a", "b", "set_a", "set_b").mapInArrow(test, "a long, b long"), "jaccard-verified")
 
 
-def block_pairs(rows: DataFrame, similarity: int) -> DataFrame:
-    """Rows (tile, i, j, side, node, root, n, bits), sorted by (tile, i, j) in each partition -> possible (a, b) links.
+def block_pairs(rows: DataFrame, first: int, last: int | None, similarity: int) -> DataFrame:
+    """Rows (block, side, node, start, root, n, bits), sorted by block in each partition -> possible (a, b) links.
 
-    A group is one block (i = j) or two of a tile, so its size is bounded.
+    A block's rows are one chunk of a tile against itself, or two chunks
+    (sides 0 and 1), so their number is bounded.  Every pair with different
+    ``start`` components belongs to its smaller set; of a set's pairs that the
+    bitmaps allow, sorted by falling bound, those from ``first`` to before
+    ``last`` are given out if their components (``root``) still differ.  Rows
+    with a ``block`` name the blocks where such pairs are left after ``last``.
     """
 
-    def compare(group: dict[str, np.ndarray]) -> tuple[list, list]:
-        out_a, out_b = [], []
-        order = np.argsort(group["n"], kind="stable")
-        node, root, n, bits, side = (group[c][order] for c in ("node", "root", "n", "bits", "side"))
-        one_block = bool((side == 0).all())
+    def compare(group: dict[str, np.ndarray]) -> tuple[list, list, bool]:
+        out_a, out_b, more = [], [], False
+        order = np.lexsort((group["node"], group["n"]))
+        node, start, root, n, bits, side = (group[c][order] for c in ("node", "start", "root", "n", "bits", "side"))
+        one_chunk = bool((side == 0).all())
         lengths = np.array([len(x) for x in bits])
+        maps = {}  # by size: places and bitmaps
         for size in np.unique(lengths):
             mine = np.flatnonzero(lengths == size)
-            a = np.stack([np.frombuffer(bits[k], np.uint64) for k in mine])
-            for other in (size, 2 * size):
-                theirs = np.flatnonzero(lengths == other)
-                if not len(theirs):
-                    continue
-                b = folded(np.stack([np.frombuffer(bits[k], np.uint64) for k in theirs]), size // 8)
-                for p, k in enumerate(mine):
-                    # Sizes rise along both, so a run of partners can link at all.
-                    lo = np.searchsorted(n[theirs], -(-similarity * n[k] // 100))
+            maps[int(size)] = mine, np.stack([np.frombuffer(bits[k], np.uint64) for k in mine])
+        for size, (mine, a) in maps.items():
+            for p, k in enumerate(mine):
+                runs, bounds = [], []
+                for other in (size, 2 * size):
+                    if other not in maps:
+                        continue
+                    theirs, b = maps[other]
+                    # Sizes rise, so the partners that can link at all are a run.
                     hi = np.searchsorted(n[theirs], n[k] * 100 // similarity, side="right")
+                    lo = np.searchsorted(theirs, k, side="right")
+                    if lo >= hi:
+                        continue
                     run = theirs[lo:hi]
-                    fit = (root[run] != root[k]) & (run > k if other == size else True)
-                    if not one_block:
+                    fit = start[run] != start[k]
+                    if not one_chunk:
                         fit &= side[run] != side[k]
-                    at = np.flatnonzero(fit)
-                    if len(at):
-                        good = may_link(n[k], n[run[at]], a[p], b[lo + at], similarity)
-                        out_a.extend([node[k]] * int(good.sum()))
-                        out_b.extend(node[run[at[good]]])
-        return out_a, out_b
-
-    columns = ["tile", "i", "j", "side", "node", "root", "n", "bits"]
+                    if fit.any():
+                        run, part = run[fit], folded(b[lo:hi][fit], size // 8)
+                        runs.append(run)
+                        bounds.append(overlap_bound(n[k], n[run], a[p], part))
+                if not runs:
+                    continue
+                run, bound = np.concatenate(runs), np.concatenate(bounds)
+                if (root[run] == root[k]).all():
+                    continue
+                may = links(n[k], n[run], bound, similarity)
+                run, bound = run[may], bound[may]
+                run = run[np.lexsort((node[run], -bound / (n[k] + n[run])))]
+                cross = root[run] != root[k]
+                take = run[first:last][cross[first:last]]
+                out_a.extend([node[k]] * len(take))
+                out_b.extend(node[take])
+                more = more or (last is not None and bool(cross[last:].any()))
+        return out_a, out_b, more
+
+    columns = ["block", "side", "node", "start", "root", "n", "bits"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: dict[str, np.ndarray] | None = None
 
-        def groups(batch: dict[str, np.ndarray], last: bool) -> Iterator[dict[str, np.ndarray]]:
+        def groups(batch: dict[str, np.ndarray], final: bool) -> Iterator[dict[str, np.ndarray]]:
             nonlocal rest
             if rest is not None:
                 batch = {c: np.concatenate([rest[c], batch[c]]) for c in columns}
-            change = np.flatnonzero(
-                (batch["tile"][1:] != batch["tile"][:-1]) | (batch["i"][1:] != batch["i"][:-1]) | (batch["j"][1:] != batch["j"][:-1])
-            ) + 1
-            edges = [0, *change.tolist(), len(batch["tile"])]
-            for lo, hi in zip(edges[:-1], edges[1:] if last else edges[1:-1], strict=False):
+            change = np.flatnonzero(batch["block"][1:] != batch["block"][:-1]) + 1
+            edges = [0, *change.tolist(), len(batch["block"])]
+            for lo, hi in zip(edges[:-1], edges[1:] if final else edges[1:-1], strict=False):
                 yield {c: batch[c][lo:hi] for c in columns}
-            rest = None if last else {c: batch[c][edges[-2] :] for c in columns}
+            rest = None if final else {c: batch[c][edges[-2] :] for c in columns}
 
         def answer(parts: Iterator[dict[str, np.ndarray]]) -> pa.RecordBatch:
-            a, b = [], []
+            a, b, blocks = [], [], set()
             for g in parts:
-                if len(g["node"]) > 1:
-                    x, y = compare(g)
+                if len(g["node"]) > 1 and (g["root"] != g["root"][0]).any():
+                    x, y, more = compare(g)
                     a += x
                     b += y
+                    if more:
+                        blocks.add(int(g["block"][0]))
             a, b = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
             pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["a", "b"])
+            none = [None] * len(blocks)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([*pairs[:, 0].tolist(), *none], pa.int64()), pa.array([*pairs[:, 1].tolist(), *none], pa.int64()),
+                 pa.array([*[None] * len(pairs), *sorted(blocks)], pa.int64())],
+                ["a", "b", "block"],
+            )
 
         empty = {c: np.zeros(0, object if c == "bits" else np.int64) for c in columns}
         for part in batches:
@@ -316,7 +350,7 @@ def block_pairs(rows: DataFrame, similarity: int) -> DataFrame:
             yield answer(groups(got, False))
         yield answer(groups(empty, True) if rest is not None else iter(()))
 
-    return rows.select(*columns).mapInArrow(run, "a long, b long")
+    return rows.select(*columns).mapInArrow(run, "a long, b long, block long")
 
 
 def set_links(docs: DataFrame, sets: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
@@ -338,34 +372,59 @@ def set_links(docs: DataFrame, sets: DataFrame, similarity: int = SIMILARITY) ->
         .select("key", F.explode(F.array(band, band + 1)).alias("band"), "node"),
         "jaccard-tiles",
     )
-    # Tiles with the same members are one tile: count and sum of hashes tell them apart.
-    members = tiled.groupBy("key", "band").agg(
-        F.count(F.lit(1)).alias("members"), F.min("node").alias("leader"),
-        F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("mark"),
-    ).where("members > 1")
-    alike = members.groupBy("members", "leader", "mark", "band").agg(F.min("key").alias("key"))
-    tiles = stored(tiled.join(alike.select("key", "band", "members", "leader"), ["key", "band"]), "jaccard-members")
+    # Tiles are merged by their smallest node: near copies share many keys, and mostly that node.
+    leaders = tiled.groupBy("key", "band").agg(F.count(F.lit(1)).alias("members"), F.min("node").alias("leader")).where("members > 1")
+    tiles = stored(
+        tiled.join(leaders, ["key", "band"]).select("leader", "band", "node").distinct().withColumn("tile", F.xxhash64("leader", "band")),
+        "jaccard-members",
+    )
     star = tiles.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    first = stored(verified(star, docs, nodes, similarity), "jaccard-links")
-    roots = stored(components(first), "jaccard-roots")
+    found = verified(star, docs, nodes, similarity)
+    roots = stored(components(found), "jaccard-roots")
     # Round two: tiles that still hold several components.
-    rooted = tiles.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    open_tiles = rooted.groupBy("key", "band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key", "band")
-    left = rooted.join(open_tiles, ["key", "band"]).join(nodes.select("node", "n", "bits"), "node")
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    block = F.pmod(F.xxhash64("node", "key"), blocks).cast("int")
-    placed = left.withColumn("tile", F.xxhash64("key", "band")).withColumn("blocks", blocks).withColumn("block", block)
-    # A block meets itself and every other one: block b is the first side of (b, j >= b), the second of (i < b, b).
-    paired = placed.select(
-        "*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    ).select(
-        "tile", F.least("block", "other").cast("long").alias("i"), F.greatest("block", "other").cast("long").alias("j"),
-        F.when(F.col("block") <= F.col("other"), 0).otherwise(1).cast("long").alias("side"), "node", "root", "n", "bits",
-    )
+    rows = stored(tile_blocks(tiles.join(roots, "node", "left").withColumn("start", F.coalesce("root", "node")).drop("root"), nodes), "jaccard-rows")
     n_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sorted_rows = paired.repartition(n_parts, "tile", "i", "j").sortWithinPartitions("tile", "i", "j")
-    second = verified(block_pairs(sorted_rows, similarity).distinct(), docs, nodes, similarity)
-    return stored(first.unionByName(second), "jaccard-all-links")
+    for first, last in zip(SLICES, [*SLICES[1:], None], strict=True):
+        now = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        sorted_rows = now.repartition(n_parts, "block").sortWithinPartitions("block")
+        compared = stored(block_pairs(sorted_rows, first, last, similarity), "jaccard-blocks")
+        pairs = compared.where("a is not null").select("a", "b").distinct()
+        if not pairs.isEmpty():
+            found = stored(found.unionByName(verified(pairs, docs, nodes, similarity)), "jaccard-links")
+        open_blocks = compared.where("block is not null").select("block").distinct()
+        if open_blocks.isEmpty():
+            break
+        roots = stored(components(found), "jaccard-roots")
+        rows = rows.join(open_blocks, "block")
+    return found
+
+
+def tile_blocks(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(tile, node, start) -> rows (block, side, node, start, n, bits) of the pairs of chunks to compare.
+
+    Only tiles with several components count.  A tile's largest component
+    needs no comparison with itself: its chunks meet only those of the other
+    components, which meet all.
+    """
+    sizes = members.groupBy("tile", "start").agg(F.count(F.lit(1)).alias("size"))
+    mixed_tiles = sizes.groupBy("tile").agg(
+        F.max(F.struct("size", "start")).alias("bulk"), F.sum("size").alias("all"), F.count(F.lit(1)).alias("parts")
+    ).where("parts > 1").select(
+        "tile", F.col("bulk.start").alias("bulk"),
+        F.ceil((F.col("all") - F.col("bulk.size")) / BLOCK).alias("others"), F.ceil(F.col("bulk.size") / BLOCK).alias("bulks"),
+    )
+    chunk = F.xxhash64("node", "tile")
+    is_bulk = F.col("start") == F.col("bulk")
+    placed = members.join(mixed_tiles, "tile").withColumn(
+        "chunk", F.when(is_bulk, F.col("others") + F.pmod(chunk, "bulks")).otherwise(F.pmod(chunk, "others"))
+    )
+    # Chunk c meets chunk m as first side if c <= m, as second else.
+    meets = F.sequence(F.lit(0).cast("long"), F.when(is_bulk, F.col("others") - 1).otherwise(F.col("others") + F.col("bulks") - 1))
+    paired = placed.select("*", F.explode(meets).alias("meets"))
+    return paired.select(
+        F.xxhash64("tile", F.least("chunk", "meets"), F.greatest("chunk", "meets")).alias("block"),
+        F.when(F.col("chunk") <= F.col("meets"), 0).otherwise(1).cast("long").alias("side"), "node", "start",
+    ).join(nodes.select("node", "n", "bits"), "node")
 
 
 def jaccard_components(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
