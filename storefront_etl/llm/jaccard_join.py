@@ -29,6 +29,13 @@ the components renewed in between, until nothing is untested.  A pair is left
 out only if both sets are in one component already, so components are exact,
 and a group of near copies costs its size, not its square.
 
+*Link counts.*  The links of round one and two are enough for components
+(:func:`keep_one` needs no more), but not all links.  :func:`link_counts` finds
+all: every link lies inside one component, so the sets of each component meet
+each other once, in blocks of two bounded chunks (only those of the same or the
+next size band can link).  A block's overlaps are one matrix product, and only
+a count per set leaves it, no pairs.
+
 Defined results: null, empty and wordless texts have an empty set, link with
 nothing and are their own component; rows that repeat (equal text) are one
 class; a null doc_id never is the smallest unless all are null; an empty table
@@ -73,6 +80,11 @@ FREQUENT_KEPT = 1 << 16
 BROADCAST_IDS = 4_000_000
 SALTS = 64
 KEY_BITS = 48
+# Link counts: a component of more sets or elements than one chunk has is cut, at first into PARTS chunks of CHUNK sets or more.
+CHUNK, CHUNK_MOST, PARTS = 128, 1024, 16
+CHUNK_ELEMENTS = 1 << 20
+# Shingles that are columns of one matrix product.
+COLUMNS = 2048
 
 
 def shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
@@ -132,7 +144,7 @@ def links(n, m, overlap, similarity: int = SIMILARITY):
 
 
 def document_sets(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, n, node, bits) of every document; ``row`` is equal for equal (doc_id, text)."""
+    """(row, doc_id, n, node, bits, content) of every document; ``row`` is equal for equal (doc_id, text), ``content`` for equal texts."""
 
     def sets(part: pa.RecordBatch) -> pa.RecordBatch:
         sizes, nodes, bits = [], [], []
@@ -141,12 +153,14 @@ def document_sets(docs: DataFrame) -> DataFrame:
             nodes.append(node_of(found) if len(found) else 0)
             bits.append(bitmap(found) if len(found) else None)
         return pa.RecordBatch.from_arrays(
-            [part.column("row"), part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(bits, pa.binary())],
-            ["row", "doc_id", "n", "node", "bits"],
+            [part.column("row"), part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(bits, pa.binary()),
+             part.column("content")],
+            ["row", "doc_id", "n", "node", "bits", "content"],
         )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return per_batch(docs.select(row_key().alias("row"), "doc_id", "text"), "text", sets, f"row long, doc_id {kind}, n long, node long, bits binary")
+    read = docs.select(row_key().alias("row"), "doc_id", "text", F.xxhash64("text").alias("content"))
+    return per_batch(read, "text", sets, f"row long, doc_id {kind}, n long, node long, bits binary, content long")
 
 
 def row_key() -> Column:
@@ -427,34 +441,138 @@ def tile_blocks(members: DataFrame, nodes: DataFrame) -> DataFrame:
     ).join(nodes.select("node", "n", "bits"), "node")
 
 
-def jaccard_components(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
-    """(row, doc_id, n_shingles, node, component_id, links): one row per document.
-
-    ``links`` counts the links found to other sets: those that made the
-    component, not every pair inside it.
+def overlaps(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Shared elements of every set in ``left`` (indices) with every one in ``right``, by products of 0/1 matrices."""
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, column, copies = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    # An element of one set only is in no overlap.
+    shared = copies[column] > 1
+    owner, column = owner[shared], (np.cumsum(copies > 1) - 1)[column[shared]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    out = np.zeros((len(left), len(right)), dtype=np.int64)
+    for lo in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        a, b = np.searchsorted(column, [lo, lo + COLUMNS])
+        part = np.zeros((len(sets), COLUMNS), dtype=np.float32)
+        part[owner[a:b], column[a:b] - lo] = 1
+        out += (part[left] @ part[right].T).astype(np.int64)  # at most COLUMNS, so exact
+    return out
+
+
+def block_counts(sets: list[np.ndarray], texts: np.ndarray, side: np.ndarray, alone: bool, similarity: int) -> np.ndarray:
+    """Per set of a block, the texts of the sets that it links with: all others (``alone``), or those of the other side."""
+    left = np.arange(len(sets)) if alone else np.flatnonzero(side == 0)
+    right = left if alone else np.flatnonzero(side == 1)
+    counts = np.zeros(len(sets), dtype=np.int64)
+    if not len(left) or not len(right):
+        return counts
+    n = np.array([len(x) for x in sets], dtype=np.int64)
+    linked = links(n[left][:, None], n[right][None, :], overlaps(sets, left, right), similarity)
+    if alone:
+        np.fill_diagonal(linked, False)
+        return linked @ texts
+    counts[left], counts[right] = linked @ texts[right], linked.T @ texts[left]
+    return counts
+
+
+def link_blocks(members: DataFrame) -> DataFrame:
+    """(root, node, n, ...) -> the rows once for each ``block`` they are compared in, with ``side`` and ``alone``.
+
+    A component that fits in one chunk is one block.  A larger one is cut by
+    size band and hash: a chunk meets itself, the others of its band and those
+    of the next one, each pair of chunks in one block.
     """
-    sets = stored(document_sets(docs), "jaccard-sets")
-    found = set_links(docs, sets, similarity)
-    roots = components(found)
-    degree = found.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("links"))
-    smallest = sets.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
-    classes = stored(
-        smallest.join(roots, "node", "left").join(degree, "node", "left")
-        .select("node", F.coalesce("root", "node").alias("root"), "least", F.coalesce("links", F.lit(0)).alias("links")),
-        "jaccard-classes",
+    size = [F.count(F.lit(1)).alias("sets"), F.sum("n").alias("elements")]
+    large = members.groupBy("root").agg(*size).where((F.col("sets") > CHUNK) | (F.col("elements") > CHUNK_ELEMENTS)).select("root")
+    # Each large component has over CHUNK sets or CHUNK_ELEMENTS elements, so there are few of them.
+    large = stored(large, "jaccard-large")
+    few = large.count() <= BROADCAST_IDS
+    # The band of a size: a link's larger set has at most 4/3 of the smaller one's elements, and is at most one band up.
+    banded = members.withColumn("band", F.floor(F.log("n") / F.lit(float(np.log(BAND_STEP)))).cast("int"))
+    bands = banded.join(F.broadcast(large) if few else large, "root").groupBy("root", "band").agg(*size).select(
+        "root", "band",
+        F.greatest(
+            F.ceil(F.col("sets") / CHUNK_MOST), F.least(F.lit(PARTS), F.ceil(F.col("sets") / CHUNK)), F.ceil(F.col("elements") / CHUNK_ELEMENTS)
+        ).cast("long").alias("chunks"),
+    )
+    cuts = stored(bands.groupBy("root").agg(F.map_from_entries(F.collect_list(F.struct("band", "chunks"))).alias("cuts")), "jaccard-cuts")
+    placed = banded.join(F.broadcast(cuts) if few else cuts, "root", "left")
+
+    def chunks(step: int) -> Column:
+        return F.coalesce(F.try_element_at("cuts", F.col("band") + step), F.lit(0).cast("long"))
+
+    def upto(n: Column) -> Column:
+        return F.when(n > 0, F.sequence(F.lit(0).cast("long"), F.greatest(n, F.lit(1)) - 1)).otherwise(F.array().cast("array<bigint>"))
+
+    def block(band: Column, kind: int, a: Column, b: Column, side: Column, alone: Column) -> Column:
+        return F.struct(
+            F.xxhash64("root", band, F.lit(kind), a, b).alias("block"), side.cast("int").alias("side"), alone.alias("alone")
+        )
+
+    placed = placed.withColumn("chunk", F.pmod(F.xxhash64("node", "root"), F.greatest(chunks(0), F.lit(1).cast("long"))))
+    chunk, band, no = F.col("chunk"), F.col("band"), F.lit(False)
+    zero = F.lit(0).cast("long")
+    whole = F.array(block(F.lit(0), 0, zero, zero, zero, F.lit(True)))
+    same = F.transform(upto(chunks(0)), lambda m: block(band, 1, F.least(chunk, m), F.greatest(chunk, m), F.when(chunk > m, 1).otherwise(0), chunk == m))
+    up = F.transform(upto(chunks(1)), lambda m: block(band, 2, chunk, m, F.lit(0), no))
+    down = F.transform(upto(chunks(-1)), lambda m: block(band - 1, 2, m, chunk, F.lit(1), no))
+    meets = F.when(F.col("cuts").isNull(), whole).otherwise(F.concat(same, up, down))
+    return placed.select(*members.columns, F.explode(meets).alias("meets")).select(*members.columns, "meets.*")
+
+
+def link_counts(docs: DataFrame, sets: DataFrame, roots: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
+    """(node, links): how many texts of other sets each node links with, for every node in a component of several (exact)."""
+    wanted = stored(
+        sets.where("n > 0").groupBy("node").agg(F.max("n").alias("n"), F.min("row").alias("row")).join(roots, "node"), "jaccard-linked"
     )
+    texts = sets.where("n > 0").select("node", "content").distinct().groupBy("node").agg(F.count(F.lit(1)).alias("texts"))
+    members = wanted.select("node", "root", "n").join(texts, "node").join(sorted_arrays(docs, wanted.select("node", "row")), "node")
+    blocks = link_blocks(stored(members.select("root", "node", "n", "texts", "shingles"), "jaccard-members-sets"))
+
+    def count(group: pa.Table) -> pa.Table:
+        found = [np.frombuffer(x.as_buffer(), np.uint64) for x in group.column("shingles")]
+        texts, side = group.column("texts").to_numpy(), group.column("side").to_numpy()
+        counts = block_counts(found, texts, side, group.column("alone")[0].as_py(), similarity)
+        return pa.table({"node": group.column("node"), "links": pa.array(counts)})
+
+    counted = blocks.select("block", "side", "alone", "node", "texts", "shingles").groupBy("block").applyInArrow(count, "node long, links long")
+    return counted.groupBy("node").agg(F.sum("links").alias("links"))
+
+
+def component_rows(sets: DataFrame, roots: DataFrame) -> DataFrame:
+    """(row, doc_id, n_shingles, node, root, component_id): one row per document."""
+    smallest = sets.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
+    classes = stored(smallest.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "least"), "jaccard-classes")
     named = classes.join(classes.groupBy("root").agg(F.min("least").alias("component_id")), "root").drop("least")
-    return sets.drop("bits").join(named, "node", "left").select(
+    return sets.drop("bits", "content").join(named, "node", "left").select(
         "row", "doc_id", F.col("n").alias("n_shingles"), "node", F.coalesce("root", F.lit(0)).alias("root"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-        F.coalesce("links", F.lit(0)).cast("long").alias("links"),
     )
 
 
+def jaccard_components(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
+    """(row, doc_id, n_shingles, node, root, component_id, links): one row per document.
+
+    ``links`` is the number of other different texts that the document's text
+    links with, equal sets included (0 without words).
+    """
+    sets = stored(document_sets(docs), "jaccard-sets")
+    roots = stored(components(set_links(docs, sets, similarity)), "jaccard-components")
+    others = link_counts(docs, sets, roots, similarity)
+    own = sets.where("n > 0").select("node", "content").distinct().groupBy("node").agg((F.count(F.lit(1)) - 1).alias("own"))
+    degree = stored(
+        own.join(others, "node", "left").select("node", (F.col("own") + F.coalesce("links", F.lit(0))).alias("links")).where("links > 0"),
+        "jaccard-degree",
+    )
+    rows = component_rows(sets, roots)
+    return rows.join(degree, "node", "left").select(*rows.columns, F.coalesce("links", F.lit(0)).cast("long").alias("links"))
+
+
 def keep_one(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     """``docs`` with one document of each component: the smallest doc_id; documents without words all stay."""
     row, place = fresh_name(docs.columns, "jaccard_row"), fresh_name(docs.columns, "jaccard_place")
-    found = stored(jaccard_components(docs, similarity), "jaccard-documents")
+    sets = stored(document_sets(docs), "jaccard-sets")
+    found = stored(component_rows(sets, components(set_links(docs, sets, similarity))), "jaccard-documents")
     filled = found.where("n_shingles > 0")
     best = filled.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("best"))
     stay = best.select(F.col("best.row").alias(row), F.lit(True).alias(place)).unionByName(

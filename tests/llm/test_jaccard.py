@@ -126,3 +126,29 @@ def test_components_of_chains_and_stars(spark):
     assert {got[k] for k in range(51)} == {0}
     assert {got[100 + k] for k in range(40)} == {100}
     assert {got[k] for k in (200, 250, 300)} == {200}
+
+
+def brute_links(texts):
+    """Per text, the other different texts that it links with."""
+    sets = {t: shingles(t) for t in texts}
+    out = {}
+    for t, a in sets.items():
+        out[t] = sum(
+            1 for u, b in sets.items() if u != t and a and b and 100 * len(a & b) >= 75 * (len(a) + len(b) - len(a & b))
+        )
+    return out
+
+
+@pytest.mark.parametrize("chunk", [128, 4])
+def test_links_are_all_pairs(spark, near_copies, monkeypatch, chunk):
+    """Every link counts, also inside one component; copies and equal sets of other texts too."""
+    texts = [*near_copies, *near_copies[:5], *[t.upper() for t in near_copies[:9]], "one", "ONE", "", "  ", None]
+    if chunk < 128:  # large components in several chunks and bands
+        monkeypatch.setattr(J, "CHUNK", chunk)
+        monkeypatch.setattr(J, "CHUNK_MOST", 2 * chunk)
+        monkeypatch.setattr(J, "PARTS", 3)
+        monkeypatch.setattr(J, "COLUMNS", 50)
+    want = brute_links([t or "" for t in texts])
+    got = {r["doc_id"]: r["links"] for r in J.jaccard_components(frame(spark, texts)).select("doc_id", "links").collect()}
+    assert got == {k: want[t or ""] for k, t in enumerate(texts)}
+    assert max(got.values()) > 30
