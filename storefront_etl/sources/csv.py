@@ -19,6 +19,10 @@ from pyspark.sql import functions as F
 # Largest free-text file that one task should read.
 MAX_TEXT_FILE_BYTES = 1 << 30
 
+# Text that a written free-text file should hold, and the least number of such files.
+TEXT_FILE_BYTES = 128 << 20
+MIN_TEXT_FILES = 8
+
 # RFC-4180 quoting (a quote inside a quoted field is doubled).
 QUOTE = '"'
 ESCAPE = '"'
@@ -95,6 +99,11 @@ def read_category_dictionary(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def text_files(text_bytes: int) -> int:
+    """Files to write so many bytes of free text to, for one reading task each (``df.repartition(n, ...)`` before :func:`write_csv`)."""
+    return max(MIN_TEXT_FILES, -(-int(text_bytes) // TEXT_FILE_BYTES))
+
+
 def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite") -> None:
     """Write a header CSV directory that :func:`read_reviews` reads back exactly.
 

@@ -1,5 +1,7 @@
 import pytest
 
+import storefront_etl.sources.csv as csv
+from storefront_etl.plans.queries import QUERIES
 from storefront_etl.sources.csv import read_csv_strings, read_reviews, write_csv
 
 REVIEWS = (
@@ -76,3 +78,15 @@ def test_a_free_text_file_too_large_for_one_task_is_refused(spark, tmp_path):
     with pytest.raises(ValueError, match="split it"):
         read_reviews(spark, str(path), max_file_bytes=10)
     assert read_reviews(spark, str(path), max_file_bytes=None).count() == 2
+
+
+def test_the_round_trip_writes_more_files_for_more_text(spark, monkeypatch):
+    """A file's size stays bounded as the documents grow (30 GB in eight files would be refused)."""
+    assert csv.text_files(0) == 8
+    assert csv.text_files(30 << 30) == 240
+    monkeypatch.setattr(csv, "TEXT_FILE_BYTES", 4096)
+    sf = "/root/testdata/sf0.001"
+    files = QUERIES["csv_roundtrip_text"](spark, sf).inputFiles()
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    text = docs.selectExpr("sum(octet_length(text)) AS n").first()["n"]
+    assert 8 < len(files) <= -(-text // 4096)
