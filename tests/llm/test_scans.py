@@ -199,6 +199,19 @@ def test_quality_rules(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == [k for k in range(len(texts)) if got[k]["kept"]]
 
 
+def test_quality_rejects_word_stutter(spark):
+    """Words that repeat the one before, within every other limit and without a repeated 8-word window."""
+    rng, words = random.Random(4), vocabulary(n=900)
+    bad = [" ".join(" ".join([w] * rng.choice([2, 3, 4])) for w in rng.sample(words, 40)) for _ in range(12)]
+    docs = frame(spark, [prose(rng, words, rng.randint(40, 120)) for _ in range(200)] + bad)
+    labels = spark.createDataFrame([(k, int(k < 200), 0) for k in range(206)], "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r for r in Q.quality_rules(docs, Q.fit(docs, labels)).collect()}
+    assert not any(got[k]["base_failed"] for k in range(212))
+    # The last six are not in the labelled sample.
+    assert [k for k in range(212) if not got[k]["kept"]] == list(range(200, 212))
+    assert Q.stutter(pa.array(["a a b", "b", "", None, "b b"])).tolist() == [0.5, 0, 0, 0, 1]
+
+
 def test_quality_without_labels(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     docs = odd_frame(spark)
