@@ -50,7 +50,7 @@ def test_limit_preview_is_top_n(spark):
 
 SHUFFLE_FREE = [
     "postcode_expand", "lookup_no_fallback", "lookup_fallback_raw", "lookup_fallback_lower", "region_label",
-    "sql_view", "category_group", "unit_convert", "day_name", "month_name", "hour_of_day", "cast_money",
+    "category_group", "unit_convert", "day_name", "month_name", "hour_of_day", "cast_money",
     "cast_coordinates", "cast_int_lenient", "like_prefix",
 ]
 
@@ -63,6 +63,13 @@ def test_projection_and_lookup_queries_do_not_shuffle(spark, name):
         assert shuffle not in plan, (name, shuffle)
 
 
+def test_sql_view_is_one_exchange_on_its_group(spark):
+    plan = _plan(entry.queries()["sql_view"](spark, SF))
+    assert plan.count("Exchange hashpartitioning") == 1 and "Exchange hashpartitioning(payment_type" in plan
+    assert plan.count("Exchange SinglePartition") <= 1  # the share over the few groups
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("payments_")]
+
+
 def test_csv_reader_prunes_columns(spark, tmp_path):
     from storefront_etl.sources.csv import read_csv_strings
 
