@@ -9,6 +9,7 @@ from storefront_etl.llm import (
     language_id,
     license_scan,
     line_templates,
+    merkle_manifest,
     mixing,
     quality,
     sharding,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_quality_rules": quality.op9_quality_rules,
     "op10_language_id": language_id.op10_language_id,
+    "op12_merkle_manifest": merkle_manifest.op12_merkle_manifest,
 }
 
 # Not SQL, tested against brute force, a round trip or held-out rows: the seeded shuffle (4), components (2),
@@ -35,4 +37,5 @@ ORACLE_SQL = {
     "op5_substring_dedup": substring_dedup.SQL,
     "op6_line_dedup": line_templates.SQL,
     "op8_exact_dedup": exact_dedup.SQL,
+    "op12_merkle_manifest": merkle_manifest.SQL,
 }
