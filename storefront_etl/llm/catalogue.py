@@ -13,6 +13,7 @@ from storefront_etl.llm import (
     mixing,
     quality,
     sharding,
+    spelling,
     substring_dedup,
 )
 
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_quality_rules": quality.op9_quality_rules,
     "op10_language_id": language_id.op10_language_id,
+    "op11_spelling_variants": spelling.op11_spelling_variants,
     "op12_merkle_manifest": merkle_manifest.op12_merkle_manifest,
 }
 
@@ -37,5 +39,6 @@ ORACLE_SQL = {
     "op5_substring_dedup": substring_dedup.SQL,
     "op6_line_dedup": line_templates.SQL,
     "op8_exact_dedup": exact_dedup.SQL,
+    "op11_spelling_variants": spelling.SQL,
     "op12_merkle_manifest": merkle_manifest.SQL,
 }
