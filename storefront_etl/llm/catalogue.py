@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from storefront_etl.llm import (
     byte_bpe,
+    discriminant,
     exact_dedup,
     jaccard_join,
     language_id,
@@ -30,10 +31,12 @@ QUERIES = {
     "op10_language_id": language_id.op10_language_id,
     "op11_spelling_variants": spelling.op11_spelling_variants,
     "op12_merkle_manifest": merkle_manifest.op12_merkle_manifest,
+    "op13_quality_classifier": discriminant.op13_quality_classifier,
 }
 
 # Not SQL, tested against brute force, a round trip or held-out rows: the seeded shuffle (4), components (2),
-# bounded-error matching (3), byte-pair merges (7), the forest (9) and the rank profiles (10).
+# bounded-error matching (3), byte-pair merges (7), the forest (9),
+# the rank profiles (10) and the discriminant (13).
 ORACLE_SQL = {
     "op1_mix_sources": mixing.SQL,
     "op5_substring_dedup": substring_dedup.SQL,

@@ -1,0 +1,142 @@
+"""The quality classifier: statistics and scores against plain Python, accuracy on held-out rows."""
+
+from __future__ import annotations
+
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from storefront_etl.llm import discriminant as D
+from storefront_etl.llm.common import table
+from tests.llm.data import empty_frame, frame, odd_frame, odd_texts, prose, vocabulary
+from tests.llm.test_scans import brute_statistics
+
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def brute_features(text):
+    raw = (text or "").encode()
+    words = re.findall(rb"[^\x20\x09-\x0D]+", raw)
+    n, some, size = len(words), max(len(words), 1), max(len(raw), 1)
+    lengths = [len(w) for w in words]
+    mean = sum(lengths) / some
+    spread = math.sqrt(max(0.0, sum(x * x for x in lengths) / some - mean**2))
+    same = sum(a == b for a, b in zip(words, words[1:], strict=False))
+    stats = brute_statistics(text)
+    counted = [
+        sum(48 <= c <= 57 for c in raw), sum(65 <= c <= 90 for c in raw), sum(c in b"#*$%&|<>" for c in raw), sum(c in b".,;:!?" for c in raw),
+        raw.count(b"\n"), sum(c in b"()[]{}/\\\"'@=+_-~^`" for c in raw), sum(c >= 128 for c in raw),
+    ]
+    shares = [stats[3] / (raw.count(b"\n") + 1), stats[4] / some, same / max(n - 1, 1), len(set(words)) / some]
+    growth = math.log1p(len(set(words))) / math.log(some + 1)
+    return [math.log1p(n), math.log1p(mean), math.log1p(spread), *map(math.sqrt, shares), growth, *[math.sqrt(c / size) for c in counted]]
+
+
+def test_statistics():
+    texts = odd_texts()
+    got = D.document_features(pa.array(texts))
+    assert got.shape == (len(texts), len(D.FEATURES))
+    assert np.allclose(got, [brute_features(t) for t in texts], atol=1e-9)
+
+
+def plain_model(x, good, pooled, diagonal):
+    """The log odds function, from rows of numbers."""
+    own = [np.cov(x[good == c].T, bias=True) for c in (0, 1)]
+    n = [(good == c).sum() for c in (0, 1)]
+    together = (n[0] * own[0] + n[1] * own[1]) / len(x)
+
+    def log_odds(y):
+        out = []
+        for c in (0, 1):
+            cov = (1 - diagonal) * ((1 - pooled) * own[c] + pooled * together) + diagonal * np.diag(np.diag(together)) + D.FLOOR * np.eye(x.shape[1])
+            off = y - x[good == c].mean(axis=0)
+            mahalanobis = np.einsum("ij,jk,ik->i", off, np.linalg.inv(cov), off)
+            out.append(math.log(n[c] / len(x)) - 0.5 * (np.linalg.slogdet(cov)[1] + mahalanobis))
+        return out[1] - out[0]
+
+    return log_odds
+
+
+def mixed_documents(seed=3, n=300):
+    rng, words = random.Random(seed), vocabulary(n=900)
+    texts, quality = [], []
+    for k in range(n):
+        good = k % 4 != 0
+        text = prose(rng, words, rng.randint(30, 160))
+        if not good:
+            text = [text.upper(), " ".join(w + rng.choice("#$%") for w in text.split()), " ".join([w + " " + w for w in text.split()])][k % 3]
+        texts.append(text)
+        quality.append(int(good))
+    return texts, quality
+
+
+def test_scores_and_cross_validation(spark):
+    texts, quality = mixed_documents()
+    docs = frame(spark, texts)
+    labels = spark.createDataFrame([(k, q, 0) for k, q in enumerate(quality)] + [(0, 1, 0), (None, 1, 0), (5, None, 1), (9999, 1, 0)], LABELS)
+    stats = D.featured(docs)
+    taught = D.labelled(stats, labels).collect()
+    ids = [k for k in range(len(texts)) if zlib.crc32(str(k).encode()) % 3 != 1]
+    assert len(taught) == len(ids)
+    x, good, fold = np.array([r["x"] for r in taught]) / D.SCALE, np.array([r["good"] for r in taught]), np.array([r["fold"] for r in taught])
+    # The grid's best entry, by the plain formula.
+    loss = []
+    for pooled, diagonal, temperature in D.GRID:
+        total = 0
+        for f in range(D.FOLDS):
+            odds = plain_model(x[fold != f], good[fold != f], pooled, diagonal)(x[fold == f]) / temperature
+            total += np.rint(np.logaddexp(0, np.where(good[fold == f] == 1, -odds, odds)) * 1000).sum()
+        loss.append(total)
+    pooled, diagonal, temperature = D.GRID[int(np.argmin(loss))]
+    model = D.fit(stats, labels)
+    assert model.temperature == temperature
+    got = {r["doc_id"]: r for r in D.quality_scores(docs, labels).collect()}
+    every = np.rint(D.document_features(pa.array(texts)) * D.SCALE) / D.SCALE
+    odds = plain_model(x, good, pooled, diagonal)(every) / temperature
+    assert [got[k]["score"] for k in range(len(texts))] == pytest.approx(list(1 / (1 + np.exp(-odds))), abs=1e-6)
+    assert all(r["predicted"] == (r["score"] >= 0.5) and r["held_out"] == (zlib.crc32(str(k).encode()) % 3 == 1) for k, r in got.items())
+    held = [k for k in range(len(texts)) if got[k]["held_out"]]
+    assert np.mean([got[k]["predicted"] == quality[k] for k in held]) > 0.95
+    # Reruns agree to the last digit, in any order of rows.
+    again = {r["doc_id"]: r["score"] for r in D.quality_scores(docs.repartition(7), labels.repartition(3)).collect()}
+    assert again == {k: r["score"] for k, r in got.items()}
+
+
+def test_labels_of_held_out_rows_do_not_matter(spark):
+    texts, quality = mixed_documents(n=120)
+    docs = frame(spark, texts)
+    flip = [(k, 1 - q if zlib.crc32(str(k).encode()) % 3 == 1 else q, 0) for k, q in enumerate(quality)]
+    scores = [
+        {r["doc_id"]: r["score"] for r in D.quality_scores(docs, spark.createDataFrame(some, LABELS)).collect()}
+        for some in ([(k, q, 0) for k, q in enumerate(quality)], flip)
+    ]
+    assert scores[0] == scores[1]
+
+
+def test_odd_rows_and_missing_classes(spark):
+    docs = odd_frame(spark)
+    none = spark.createDataFrame([], LABELS)
+    assert {(r["score"], r["predicted"]) for r in D.quality_scores(docs, none).collect()} == {(0.5, 1)}
+    only_bad = spark.createDataFrame([(k, 0, 0) for k in range(20)], LABELS)
+    assert {(r["score"], r["predicted"]) for r in D.quality_scores(docs, only_bad).collect()} == {(0.0, 0)}
+    # One good row: every fold has to do, with the last entry of the grid.
+    ids = [k for k in range(60) if zlib.crc32(str(k).encode()) % 3 != 1 and k not in (5, 8)]
+    few = spark.createDataFrame([(ids[0], 1, 0), (ids[1], 0, 0), (ids[2], 0, 0)], LABELS)
+    rows = D.quality_scores(docs, few).collect()
+    assert len(rows) == docs.count() and all(0 <= r["score"] <= 1 for r in rows)
+    assert D.quality_scores(empty_frame(spark), few).collect() == []
+
+
+def test_held_out_accuracy(spark):
+    sf = "/root/testdata/sf0.01"
+    quality = {r["doc_id"]: r["quality"] for r in table(spark, sf, "labels").collect()}
+    held = [r for r in D.op13_quality_classifier(spark, sf).collect() if r["held_out"] and r["doc_id"] in quality]
+    assert np.mean([r["predicted"] == quality[r["doc_id"]] for r in held]) > 0.97
+    good = [r["score"] for r in held if quality[r["doc_id"]]]
+    bad = [r["score"] for r in held if not quality[r["doc_id"]]]
+    assert np.mean([g > b for g in good for b in bad]) > 0.98

@@ -51,7 +51,7 @@ def test_query_matches_sql(spark, name):
 
 def test_registered():
     names = entry.queries()
-    assert {f"op{k}_" for k in range(1, 11)} == {re.match(r"op\d+_", n)[0] for n in names if re.match(r"op\d+_", n)}
+    assert {f"op{k}_" for k in range(1, 14)} == {re.match(r"op\d+_", n)[0] for n in names if re.match(r"op\d+_", n)}
     assert names["pipeline"] is corpus_pipeline.run
     assert importlib.util.find_spec("storefront_etl.llm") is not None
 
