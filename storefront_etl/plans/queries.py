@@ -80,7 +80,7 @@ from storefront_etl.plans.tables import (
     transform_products,
     transform_sellers,
 )
-from storefront_etl.sources.csv import read_category_dictionary, read_csv_strings, read_reviews, text_files, write_csv
+from storefront_etl.sources.csv import read_category_dictionary, read_csv_strings, read_reviews, write_csv
 from storefront_etl.sources.parquet import register_views, scratch_path, write_tables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -351,11 +351,10 @@ def q_order_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register("csv_roundtrip_text", "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text FROM documents")
 def q_csv_roundtrip_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Free text with quotes, commas and line breaks survives CSV write + read."""
+    """Free text with quotes, commas and line breaks survives CSV write + read by file splits."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = scratch_path(spark, "csv-roundtrip-text")
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    write_csv(docs.repartition(text_files(size), "doc_id"), path)  # a file is one task
+    write_csv(docs, path)
     return read_reviews(spark, path, columns=("doc_id", "text"))
 
 

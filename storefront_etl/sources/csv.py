@@ -3,10 +3,8 @@
 Readers never infer types: every column is text and typing is done later
 by explicit lenient casts.  Plain extracts are splittable and read in
 parallel by byte range.  Free-text extracts (reviews) need RFC-4180 reading
-(doubled quotes inside quoted fields, line breaks inside fields), which
-requires ``multiLine`` and makes each *file* one task; large inputs should
-therefore arrive as a directory of many files, which is what
-:func:`write_csv` produces (one file per partition).
+(doubled quotes inside quoted fields, line breaks inside fields); they are
+read by byte range as well, see :mod:`storefront_etl.sources.quoted_csv`.
 """
 
 from __future__ import annotations
@@ -14,14 +12,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-# Largest free-text file that one task should read.
-MAX_TEXT_FILE_BYTES = 1 << 30
-
-# Text that a written free-text file should hold, and the least number of such files.
-TEXT_FILE_BYTES = 128 << 20
-MIN_TEXT_FILES = 8
+from storefront_etl.sources.quoted_csv import read_quoted_csv
 
 # RFC-4180 quoting (a quote inside a quoted field is doubled).
 QUOTE = '"'
@@ -68,13 +60,13 @@ def read_reviews(
     path: str | Sequence[str],
     columns: Sequence[str] | None = None,
     raw: bool = False,
-    max_file_bytes: int | None = MAX_TEXT_FILE_BYTES,
+    split: bool = True,
 ) -> DataFrame:
     """Free-text extract (e.g. order reviews) read as RFC-4180 CSV.
 
-    Such files cannot be split, so each is one task: a file of more than
-    ``max_file_bytes`` is refused (None: any size is read), to be delivered
-    in parts instead.
+    Files of any size are read by their splits (:mod:`.quoted_csv`).
+    ``split=False`` uses Spark's ``multiLine`` reader instead, which takes a
+    whole file in one task but lets a quote stand inside an unquoted field.
 
     ``raw=True`` reproduces the original default-option read, in which a
     doubled quote or a line break inside a message shifts columns.
@@ -82,13 +74,8 @@ def read_reviews(
     if raw:
         df = spark.read.csv(path if isinstance(path, str) else list(path), header=True)
         return df.select(*columns) if columns is not None else df
-    if max_file_bytes is not None:
-        large = (
-            spark.read.format("binaryFile").load(path if isinstance(path, str) else list(path))
-            .where(F.col("length") > max_file_bytes).select("path", "length").limit(1).collect()
-        )
-        if large:
-            raise ValueError(f"{large[0]['path']} has {large[0]['length']} bytes and would be one task; split it, or pass max_file_bytes=None")
+    if split:
+        return read_quoted_csv(spark, path, columns=columns)
     return read_csv_strings(spark, path, columns=columns, multi_line=True)
 
 
@@ -99,11 +86,6 @@ def read_category_dictionary(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def text_files(text_bytes: int) -> int:
-    """Files to write so many bytes of free text to, for one reading task each (``df.repartition(n, ...)`` before :func:`write_csv`)."""
-    return max(MIN_TEXT_FILES, -(-int(text_bytes) // TEXT_FILE_BYTES))
-
-
 def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite") -> None:
     """Write a header CSV directory that :func:`read_reviews` reads back exactly.
 

@@ -1,8 +1,10 @@
+import random
+
 import pytest
 
-import storefront_etl.sources.csv as csv
-from storefront_etl.plans.queries import QUERIES
+from storefront_etl.sources import quoted_csv
 from storefront_etl.sources.csv import read_csv_strings, read_reviews, write_csv
+from storefront_etl.sources.quoted_csv import scanned_lines
 
 REVIEWS = (
     'review_id,review_score,review_comment_title,review_comment_message,review_creation_date\n'
@@ -72,21 +74,80 @@ def test_backslash_is_an_ordinary_character(spark, tmp_path):
     assert rows == {"1": "x\\", "2": "c:\\d", "3": 'say "hi"'}
 
 
-def test_a_free_text_file_too_large_for_one_task_is_refused(spark, tmp_path):
+@pytest.fixture
+def small_splits(spark):
+    """Files are read in splits of 300 bytes."""
+    was = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 300)
+    spark.conf.set("spark.sql.files.openCostInBytes", 1)
+    yield
+    for k, v in was.items():
+        spark.conf.set(k, v)
+
+
+def quoted(field):
+    return '"' + field.replace('"', '""') + '"'
+
+
+def odd_fields(seed, n):
+    rng = random.Random(seed)
+    parts = ['"', ",", "\n", "\r\n", "\r", " ", "ab", "é", "\\", '","', '"\n"', "\n\n", "x" * 40]
+    return [(str(k), "".join(rng.choice(parts) for _ in range(rng.choice([0, 1, 3, 9, 80]))), rng.choice(["plain", "", "z z"])) for k in range(n)]
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_a_free_text_file_is_read_by_splits(spark, tmp_path, small_splits, end):
+    """Many tasks for one file, and the rows of Spark's whole-file reader (but that line breaks in fields stay as they are)."""
+    for name, seed in (("1.csv", 1), ("2.csv", 2)):
+        lines = [f"{k},{quoted(t)},{p}" for k, t, p in odd_fields(seed, 90)]
+        lines[7] = "7,only two"
+        lines[9] = '"9","long ' + "y\n" * 900 + '",q'  # covers several splits as a whole
+        text = "id,text,note" + end + end.join(lines) + (end if seed == 1 else "")
+        (tmp_path / name).write_bytes(("\ufeff" if seed == 2 else "").encode() + text.encode())
+    df = read_reviews(spark, str(tmp_path))
+    whole = read_reviews(spark, str(tmp_path), split=False)
+    assert df.columns == whole.columns == ["id", "text", "note"]
+    same = lambda r: (r["id"], None if r["text"] is None else r["text"].replace("\r", "") if end == "\r\n" else r["text"], r["note"])
+    got, want = (sorted(map(same, x.collect()), key=str) for x in (df, whole))
+    assert got == want and len(got) == 180
+    assert scanned_lines(spark, str(tmp_path)).rdd.getNumPartitions() > 20
+    if end == "\n":
+        narrow = read_reviews(spark, str(tmp_path), columns=["note", "id"])
+        assert narrow.columns == ["note", "id"] and sorted(map(str, narrow.collect())) == sorted(map(str, whole.select("note", "id").collect()))
+
+
+def test_more_splits_than_are_broadcast(spark, tmp_path, small_splits, monkeypatch):
+    (tmp_path / "x.csv").write_text("id,text,note\n" + "\n".join(f"{k},{quoted(t)},{p}" for k, t, p in odd_fields(3, 60)), newline="")
+    monkeypatch.setattr(quoted_csv, "BROADCAST_SPLITS", 0)
+    got = sorted(map(str, read_reviews(spark, str(tmp_path)).collect()))
+    assert got == sorted(map(str, read_reviews(spark, str(tmp_path), split=False).collect()))
+
+
+@pytest.mark.parametrize("text, message", [
+    ('a,b\n1,5" pipe\n2,7" pipe\n', "inside an unquoted field"),
+    ('a,b\n1,"x" y\n', "inside an unquoted field"),
+    ('a,b\n1,"never closed\n2,x\n', "ends inside a quoted field"),
+])
+def test_text_that_is_not_rfc4180_is_an_error(spark, tmp_path, text, message):
+    path = tmp_path / "x.csv"
+    path.write_text(text, newline="")
+    with pytest.raises(Exception, match=message):
+        read_reviews(spark, str(path)).collect()
+    read_reviews(spark, str(path), split=False).collect()
+
+
+def test_free_text_files_with_other_headers_are_refused(spark, tmp_path):
+    (tmp_path / "1.csv").write_text('"a",b\n1,"2\n"\n')
+    (tmp_path / "2.csv").write_text("a,b\n3,4\n")
+    assert sorted(map(tuple, read_reviews(spark, str(tmp_path)).collect())) == [("1", "2\n"), ("3", "4")]
+    (tmp_path / "3.csv").write_text("b,a\n3,4\n")
+    with pytest.raises(Exception, match="CSV header differs"):
+        read_reviews(spark, str(tmp_path)).collect()
+
+
+def test_the_text_is_not_shuffled(spark, tmp_path):
     path = tmp_path / "reviews.csv"
     path.write_text(REVIEWS, encoding="utf-8")
-    with pytest.raises(ValueError, match="split it"):
-        read_reviews(spark, str(path), max_file_bytes=10)
-    assert read_reviews(spark, str(path), max_file_bytes=None).count() == 2
-
-
-def test_the_round_trip_writes_more_files_for_more_text(spark, monkeypatch):
-    """A file's size stays bounded as the documents grow (30 GB in eight files would be refused)."""
-    assert csv.text_files(0) == 8
-    assert csv.text_files(30 << 30) == 240
-    monkeypatch.setattr(csv, "TEXT_FILE_BYTES", 4096)
-    sf = "/root/testdata/sf0.001"
-    files = QUERIES["csv_roundtrip_text"](spark, sf).inputFiles()
-    docs = spark.read.parquet(f"{sf}/documents.parquet")
-    text = docs.selectExpr("sum(octet_length(text)) AS n").first()["n"]
-    assert 8 < len(files) <= -(-text // 4096)
+    plan = read_reviews(spark, str(path))._jdf.queryExecution().executedPlan().toString()
+    scan = plan[: plan.index("Union") + 1] + plan[plan.index("Union"):].split("MapInArrow")[1]
+    assert "Exchange hashpartitioning" not in scan and "BroadcastHashJoin" in scan
