@@ -37,6 +37,7 @@ from storefront_etl.operators.lookup import (
     prepare_lookup,
 )
 from storefront_etl.operators.postcode import expand_postcode_ranges
+from storefront_etl.operators.prefix_cover import lookup_range, prefix_cover
 from storefront_etl.operators.profile import (
     distinct_values,
     null_profile,
@@ -59,9 +60,11 @@ __all__ = [
     "lenient_cast",
     "lenient_int",
     "lookup_dimension",
+    "lookup_range",
     "map_labels",
     "month_name",
     "null_profile",
+    "prefix_cover",
     "prepare_lookup",
     "preview",
     "profile_columns",

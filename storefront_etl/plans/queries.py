@@ -25,12 +25,15 @@ from storefront_etl.operators.lookup import (
     lookup_dimension,
 )
 from storefront_etl.operators.postcode import expand_postcode_ranges
+from storefront_etl.operators.prefix_cover import lookup_range, prefix_cover
 from storefront_etl.operators.profile import distinct_values, null_profile, preview, profile_columns
 from storefront_etl.plans.features import add_category_group, add_order_calendar, add_region, create_new_features
 from storefront_etl.plans.jobs import PipelinePaths, prepare_postcodes, run_pipeline
 from storefront_etl.plans.standins import (
     CATEGORIES,
     SQL_CUSTOMERS_RAW,
+    SQL_FULL_CODE_CUSTOMERS,
+    SQL_FULL_CODE_RANGES,
     SQL_GEO_JOINED,
     SQL_ORDER_FEATURES,
     SQL_ORDER_ITEMS_RAW,
@@ -45,6 +48,8 @@ from storefront_etl.plans.standins import (
     as_text,
     category_dictionary_raw,
     customers_raw,
+    full_code_customers,
+    full_code_ranges,
     geo_select,
     geolocation_raw,
     order_items_raw,
@@ -562,4 +567,24 @@ def q_create_new_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts).groupBy("table_name", "feature", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
+@_register("range_full_code", f"""
+SELECT customer_id, customer_zip_code, lower(coalesce(locality, c.customer_city)) AS customer_city
+FROM ({SQL_FULL_CODE_CUSTOMERS}) c LEFT JOIN ({SQL_FULL_CODE_RANGES}) r
+  ON TRY_CAST(replace(customer_zip_code, '-', '') AS BIGINT) BETWEEN lo AND hi""")
+def q_range_full_code(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """City by the ranges of full postcodes that hold the customer's (overlaps repeat it), without expanding them."""
+    customers = full_code_customers(table(spark, sf_dir, "customer"))
+    ranges = full_code_ranges(table(spark, sf_dir, "supplier"))
+    city = lookup_range(customers, ranges, key="customer_zip_code", out="customer_city", fallback=F.col("customer_city"))
+    return city.withColumn("customer_city", F.lower("customer_city"))
+
+
+@_register("range_cover", f"""
+SELECT locality, CAST(sum(codes) AS BIGINT) AS codes FROM (SELECT locality, hi - lo + 1 AS codes FROM ({SQL_FULL_CODE_RANGES}) r) GROUP BY locality""")
+def q_range_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The decimal blocks of every supplier's range: together they hold as many codes as the range."""
+    cover = prefix_cover(full_code_ranges(table(spark, sf_dir, "supplier")))
+    return cover.groupBy(F.col("value").alias("locality")).agg(F.sum(F.pow(F.lit(10), "level").cast("long")).alias("codes"))
+
+
 FLAGSHIP = "order_features"

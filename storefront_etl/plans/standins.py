@@ -211,6 +211,52 @@ def repeated_postcodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL_REPEATED_CEPS = f"SELECT locality, cep_prefix FROM ({SQL_CEPS}) c UNION ALL SELECT s_name, '2007' FROM supplier"
 
 
+def code8(c: Column) -> Column:
+    """A full postcode 'NNNNN-NNN' of a number."""
+    digits = F.lpad(as_text(c), 8, "0")
+    return F.concat(F.left(digits, F.lit(5)), F.lit("-"), F.right(digits, F.lit(3)))
+
+
+def sql_code8(e: str) -> str:
+    digits = f"lpad(CAST({e} AS VARCHAR), 8, '0')"
+    return f"left({digits}, 5) || '-' || right({digits}, 3)"
+
+
+def full_code_customers(customer: DataFrame) -> DataFrame:
+    """Customers with full postcodes, a third of them with the same one, some with junk."""
+    k = F.col("c_custkey")
+    code = (
+        F.when(F.pmod(k, F.lit(97)) == 0, F.lit("abc")).when(F.pmod(k, F.lit(3)) == 0, F.lit("00123456"))
+        .otherwise(code8(F.pmod(k * 7919, F.lit(30_000_000))))
+    )
+    return customer.select(as_text(k).alias("customer_id"), code.alias("customer_zip_code"), F.col("c_name").alias("customer_city"))
+
+
+SQL_FULL_CODE_CUSTOMERS = f"""
+SELECT CAST(c_custkey AS VARCHAR) AS customer_id,
+       CASE WHEN c_custkey % 97 = 0 THEN 'abc' WHEN c_custkey % 3 = 0 THEN '00123456'
+            ELSE {sql_code8('(c_custkey * 7919) % 30000000')} END AS customer_zip_code, c_name AS customer_city
+FROM customer"""
+
+
+def full_code_ranges(supplier: DataFrame) -> DataFrame:
+    """A range of full postcodes per supplier: widths up to 2.3 million, overlapping, some NULL, junk or reversed."""
+    k = F.col("s_suppkey")
+    lo = F.pmod(k * 104_729, F.lit(30_000_000))
+    hi = lo + F.pmod(k * k * 31, F.lit(2_300_000))
+    rng = (
+        F.when(F.pmod(k, F.lit(17)) == 0, F.lit(None).cast("string")).when(F.pmod(k, F.lit(19)) == 0, F.lit("x a y"))
+        .when(F.pmod(k, F.lit(13)) == 0, F.concat(code8(hi + 1), F.lit(" a "), code8(lo))).otherwise(F.concat(code8(lo), F.lit(" a "), code8(hi)))
+    )
+    return supplier.select(F.col("s_name").alias("locality"), rng.alias("postcode_range"))
+
+
+# The well-formed ranges, as numbers.
+SQL_FULL_CODE_RANGES = """
+SELECT s_name AS locality, (s_suppkey * 104729) % 30000000 AS lo, (s_suppkey * 104729) % 30000000 + (s_suppkey * s_suppkey * 31) % 2300000 AS hi
+FROM supplier WHERE s_suppkey % 17 <> 0 AND s_suppkey % 19 <> 0 AND s_suppkey % 13 <> 0"""
+
+
 def geolocation_raw(customer: DataFrame) -> DataFrame:
     k = F.col("c_custkey")
     zip_code = F.when(
