@@ -7,14 +7,20 @@ repeated windows).  For the others an isolation forest tells how odd a
 document is: trees split a random feature at a random value, and odd rows are
 alone after few splits.  The score is ``2 ** -(mean path / expected path)``.
 
-The forest is grown on a bounded sample of labelled rows (``SAMPLE`` rows, the
-first ones by a hash of the id), and its threshold is calibrated on the same
-rows: of all scores, the one that rejects bad rows (quality 0) best against
+The forest sees the statistics themselves (``FEATURES``), each as its distance
+from where the good documents of the sample lie: their ``TAIL`` and ``1 -
+TAIL`` quantiles, in units of the space between.  No limit is set by hand;
+some good documents are outside in something, and the forest weighs how far
+and in how much.  It is grown on good rows only, with splits anywhere in the
+first unit outside, so that a crowd of equally bad rows can't hide itself.  A bounded sample of labelled rows (``SAMPLE`` rows, the
+first ones by a hash of the id) teaches it: the quantiles and the trees come
+from one half, and the threshold from the other, which the trees have not
+seen: of all scores, the one that rejects bad rows (quality 0) best against
 good ones (quality 1), with at most ``GOOD_LOST`` of the good rows lost.
-Without labels of both kinds, or if no threshold beats keeping all, the
-forest rejects nothing.  Sample, trees and threshold are of fixed size; the
-statistics and the verdict are made in one pass over the whole texts, which
-never move.
+Without labels of both kinds in both halves, or if no threshold beats keeping
+all, the forest rejects nothing.  Sample, trees and threshold are of fixed
+size; the statistics and the verdict are made in one pass over the whole
+texts, which never move.
 
 Defined results: a null, empty or wordless text has zero statistics and fails
 the base rules; a null label and labels without a document are ignored; of
@@ -43,11 +49,15 @@ TREES = 128
 TREE_ROWS = 256
 SEED = 9
 GOOD_LOST = 0.005
-# Limits of the rules that the forest's features measure from.
-SYMBOLS_PER_WORD, DUPLICATE_LINES, LONG_WORDS, SHORT_WORDS, STUTTER = 0.1, 0.3, 10.0, 3.0, 0.3
+TAIL = 0.02
+# Least space between a statistic's two quantiles.
+LEAST_SPACE = 1e-3
+FEATURES = ("log_words", "word_length", "symbols", "duplicate_lines", "repeated_words", "stutter", "vocabulary_growth", "capitals")
 
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[list(SYMBOLS)] = True
+_CAPITAL = np.zeros(256, dtype=bool)
+_CAPITAL[65:91] = True
 STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -107,25 +117,20 @@ def stutter(texts: pa.Array) -> np.ndarray:
 
 
 def features(texts: pa.Array, stats: np.ndarray) -> np.ndarray:
-    """What the forest sees: by how much each rule's limit is passed (0 within it).
+    """What the forest learns from (columns ``FEATURES``): lengths, shares and the growth of the vocabulary."""
+    words = Words(texts)
+    raw, offsets, first, hashes = words.raw, words.offsets, words.first, words.hashes()
 
-    The limits are those of common web-text rules; ordinary documents are then
-    one point, and a forest's random splits fall on what sets others apart.
-    """
-    raw, offsets = text_buffers(texts)
-    lines = np.concatenate([[0], np.cumsum(raw == 10)])
-    n_lines = lines[offsets[1:]] - lines[offsets[:-1]] + 1
-    n_words = np.maximum(stats[:, 0], 1)
-    per_word = stats[:, 1] / n_words
-
-    def above(value: np.ndarray, limit: float) -> np.ndarray:
-        return np.maximum(value - limit, 0.0)
-
-    return np.column_stack(
-        [above(stats[:, 2] / n_words, SYMBOLS_PER_WORD), above(stats[:, 3] / n_lines, DUPLICATE_LINES),
-         above(per_word, LONG_WORDS), above(-per_word, -SHORT_WORDS), above(stats[:, 4] / n_words, MAX_REPEAT_PERCENT / 100),
-         above(stutter(texts), STUTTER)]
-    )
+    def per_text(chosen: np.ndarray) -> np.ndarray:
+        total = np.concatenate([[0], np.cumsum(chosen)])
+        return total[offsets[1:]] - total[offsets[:-1]]
+
+    n = np.maximum(stats[:, 0], 1)
+    distinct = np.array([len(np.unique(hashes[lo:hi])) for lo, hi in zip(first[:-1], first[1:], strict=True)])
+    return np.column_stack([
+        np.log1p(stats[:, 0]), stats[:, 1] / n, stats[:, 2] / n, stats[:, 3] / (per_text(raw == 10) + 1), stats[:, 4] / n, stutter(texts),
+        np.log1p(distinct) / np.log1p(n), per_text(_CAPITAL[raw]) / np.maximum(np.diff(offsets), 1),
+    ])
 
 
 def base_failed(stats: np.ndarray) -> np.ndarray:
@@ -148,6 +153,13 @@ class Forest:
     roots: np.ndarray
     norm: float
     threshold: float = np.inf
+    # Where good documents lie, by feature.
+    low: np.ndarray | None = None
+    high: np.ndarray | None = None
+
+    def judge(self, x: np.ndarray) -> np.ndarray:
+        """Anomaly scores of rows of ``FEATURES``."""
+        return self.scores(outside(x, self.low, self.high))
 
     def scores(self, x: np.ndarray) -> np.ndarray:
         depth, rows = np.zeros(len(x)), np.arange(len(x))
@@ -164,7 +176,18 @@ class Forest:
         return np.exp2(-depth / max(1, len(self.roots)) / self.norm)
 
 
-def grow_forest(x: np.ndarray, trees: int = TREES, tree_rows: int = TREE_ROWS, seed: int = SEED) -> Forest:
+def outside(x: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """How far each value is below ``low`` or above ``high``, in units of the space between (0 inside)."""
+    return np.maximum(np.maximum(x - high, low - x), 0.0) / np.maximum(high - low, LEAST_SPACE)
+
+
+def grow_forest(x: np.ndarray, trees: int = TREES, tree_rows: int = TREE_ROWS, seed: int = SEED, space: float | None = None) -> Forest:
+    """Trees over random subsets of rows.
+
+    With ``space`` every split falls between 0 and that value (or the largest
+    one, if larger), although all rows may lie at 0: what the rows have not
+    shown is then isolated as well, the sooner the further out it is.
+    """
     rng = np.random.Generator(np.random.PCG64(seed))
     nodes: list[list[float]] = []
     roots = []
@@ -176,7 +199,9 @@ def grow_forest(x: np.ndarray, trees: int = TREES, tree_rows: int = TREE_ROWS, s
         open_nodes = [(roots[-1], x[rng.choice(len(x), size, replace=False)], 0)]
         while open_nodes:
             at, rows, depth = open_nodes.pop()
-            low, high = rows.min(axis=0), rows.max(axis=0)
+            low, high = (rows.min(axis=0), rows.max(axis=0)) if len(rows) else np.zeros((2, x.shape[1]))
+            if space is not None and len(rows):
+                low, high = np.zeros(x.shape[1]), np.maximum(high, space)
             can = np.flatnonzero(high > low)
             if depth >= limit or not len(can):
                 nodes[at] = [-1, 0.0, 0, depth + expected_path(len(rows))]
@@ -184,7 +209,7 @@ def grow_forest(x: np.ndarray, trees: int = TREES, tree_rows: int = TREE_ROWS, s
             f = int(rng.choice(can))
             split = rng.uniform(low[f], high[f])
             right = rows[:, f] >= split
-            if right.all():  # the split fell on the smallest value
+            if right.all() and space is None:  # the split fell on the smallest value
                 right = rows[:, f] > low[f]
                 split = rows[right, f].min()
             nodes[at] = [f, split, len(nodes), 0.0]
@@ -205,7 +230,10 @@ def calibrated(scores: np.ndarray, good: np.ndarray, good_lost: float = GOOD_LOS
     last = np.append(scores[order][1:] != scores[order][:-1], True)  # no threshold between equal scores
     gain = np.where(last & (lost <= good_lost * good.sum()), caught / (~good).sum() - lost / good.sum(), 0.0)
     best = int(gain.argmax())
-    return float(scores[order][best]) if gain[best] > 0 else float("inf")
+    if gain[best] <= 0:
+        return float("inf")
+    # Halfway to the first row that stays.
+    return float(scores[order][best : best + 2].mean())
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
@@ -220,7 +248,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int) -> DataFram
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Forest | None:
     """A forest with a calibrated threshold; None if there is nothing to learn from."""
-    width = len(features(pa.array([""]), statistics(pa.array([""])))[0])
+    width = len(FEATURES)
 
     def rows(part: pa.RecordBatch) -> pa.RecordBatch:
         stats = statistics(part.column("text"))
@@ -234,12 +262,20 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Forest | No
     # Repeated documents of one id: each counts, up to the bound.
     found = per_batch(labelled_sample(docs, labels, sample), "text", rows, schema)
     taken = found.orderBy(F.xxhash64("doc_id"), "doc_id", *[f"x{k}" for k in range(width)]).limit(sample).collect()
-    taken = [r for r in taken if not r["base"]]
-    if not taken:
+    x = np.array([[r[f"x{k}"] for k in range(width)] for r in taken]).reshape(-1, width)
+    return learned(x, np.array([r["good"] for r in taken], dtype=bool), ~np.array([r["base"] for r in taken], dtype=bool))
+
+
+def learned(x: np.ndarray, good: np.ndarray, judged_rows: np.ndarray) -> Forest | None:
+    """A forest from labelled rows: every second row that it will judge teaches, the others calibrate."""
+    x, good = x[judged_rows], good[judged_rows]
+    teach, other = slice(0, None, 2), slice(1, None, 2)
+    if not all(g.any() and not g.all() for g in (good[teach], good[other])):
         return None
-    x = np.array([[r[f"x{k}"] for k in range(width)] for r in taken])
-    forest = grow_forest(x)
-    forest.threshold = calibrated(forest.scores(x), np.array([r["good"] for r in taken]))
+    low, high = np.quantile(x[teach][good[teach]], [TAIL, 1 - TAIL], axis=0)
+    forest = grow_forest(outside(x[teach][good[teach]], low, high), space=1.0)
+    forest.low, forest.high = low, high
+    forest.threshold = calibrated(forest.judge(x[other]), good[other])
     return forest
 
 
@@ -250,7 +286,7 @@ def judged(texts: pa.Array, forest: Forest | None) -> tuple[np.ndarray, np.ndarr
     if forest is None:
         scores = np.zeros(len(stats))
         return stats, failed, scores, ~failed
-    scores = forest.scores(features(texts, stats))
+    scores = forest.judge(features(texts, stats))
     return stats, failed, scores, ~failed & (scores < forest.threshold)
 
 

@@ -212,6 +212,34 @@ def test_quality_rejects_word_stutter(spark):
     assert Q.stutter(pa.array(["a a b", "b", "", None, "b b"])).tolist() == [0.5, 0, 0, 0, 1]
 
 
+def test_the_forest_decides_not_the_limits():
+    """Good rows outside of the learned space in one thing stay; rows far outside, or in several things, go."""
+    rng = np.random.default_rng(5)
+    good = rng.normal(size=(4000, len(Q.FEATURES)))
+    bad = rng.normal(size=(400, len(Q.FEATURES)))
+    bad[np.arange(400), rng.integers(0, 8, 400)] += rng.choice([-1, 1], 400) * rng.uniform(8, 60, 400)
+    x, label = np.vstack([good, bad]), np.arange(4400) < 4000
+    mixed = rng.permutation(4400)
+    forest = Q.learned(x[mixed], label[mixed], np.ones(4400, dtype=bool))
+    fresh = rng.normal(size=(3000, len(Q.FEATURES)))
+    out = (Q.outside(fresh, forest.low, forest.high) > 0).any(axis=1)
+    rejected = forest.judge(fresh) >= forest.threshold
+    assert out.sum() > 20 and (out & ~rejected).sum() > 0.5 * out.sum()
+    assert rejected.mean() < 0.01
+    assert (forest.judge(x[~label]) >= forest.threshold).mean() > 0.9
+
+
+def test_quality_features_are_the_statistics():
+    texts = ["One two two THREE", "a\na\n#b", "", None]
+    got = Q.features(pa.array(texts), Q.statistics(pa.array(texts)))
+    want = [
+        [np.log1p(4), 14 / 4, 0, 0, 0, 1 / 3, np.log1p(4 - 1) / np.log1p(4), 6 / 17],
+        [np.log1p(3), 4 / 3, 1 / 3, 1 / 3, 0, 1 / 2, np.log1p(2) / np.log1p(3), 0],
+        [0.0] * 8, [0.0] * 8,
+    ]
+    assert np.allclose(got, want)
+
+
 def test_quality_without_labels(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     docs = odd_frame(spark)
