@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import importlib.util
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -23,6 +24,7 @@ from storefront_etl.llm import mixing
 from storefront_etl.llm import quality as Q
 from storefront_etl.llm.common import table
 from tests.llm import test_jaccard, test_mixing, test_scans
+from tests.llm.data import frame, prose, vocabulary
 
 SF = "/root/testdata/sf0.001"
 
@@ -107,31 +109,79 @@ def test_op9(spark, texts):
 
 def brute_templates(docs):
     """Text by row after dropping recurring lines, in plain Python."""
-    leaves = defaultdict(list)
+    lines, total = [], Counter()
     for k, text in enumerate(docs):
         for place, line in enumerate((text or "").split("\n")):
-            words = [T.VARIABLE if regex.search("[0-9]", w) else w for w in re.findall(r"[^\x20\x09-\x0D]+", line)]
-            if len(words) >= T.MIN_WORDS:
-                leaves[len(words), *words[: T.DEPTH]].append((k, place, tuple(words)))
+            words = tuple(T.VARIABLE if regex.search("[0-9]", w) else w for w in re.findall(r"[^\x20\x09-\x0D]+", line))
+            if words:
+                lines.append((k, place, (len(words), *words[: T.DEPTH]), words))
+    for text, place, n in {(docs[k], place, len(w)) for k, place, _, w in lines}:
+        total[text] += n
+    having, texts = defaultdict(set), defaultdict(set)
+    for k, _, leaf, words in lines:
+        texts[words].add(docs[k])
+        for at, word in enumerate(words):
+            having[leaf, at, word].add(docs[k])
+    templates = {}
+    for leaf, words in {(leaf, w) for _, _, leaf, w in lines}:
+        n = {at: len(having[leaf, at, w]) for at, w in enumerate(words) if w != T.VARIABLE and len(having[leaf, at, w]) >= T.MIN_DOCS}
+        found = {frozenset((at, words[at]) for at in n if n[at] >= least) for least in set(n.values())}
+        templates[words] = {(leaf, f) for f in found if len(f) >= T.CONSTANT_SHARE * len(words)}
+
+    def recurring(without):
+        having = defaultdict(set)
+        for words, some in templates.items():
+            for t in some:
+                having[t] |= texts[words] - without
+        return {w for w, some in templates.items() if any(len(having[t]) >= T.MIN_DOCS for t in some)}
+
+    first, covered = recurring(set()), Counter()
+    for text, _, n in {(docs[k], place, len(w)) for k, place, _, w in lines if w in first}:
+        covered[text] += n
+    last = recurring({t for t in covered if covered[t] >= T.COPY_SHARE * total[t]})
     gone = defaultdict(set)
-    for leaf, lines in leaves.items():
-        if len({docs[k] for k, _, _ in lines}) < T.MIN_DOCS:
-            continue
-        variants = {(docs[k], w) for k, _, w in lines}
-        constant = {}
-        for at in range(leaf[0]):
-            word, n = Counter(w[at] for _, w in variants).most_common(1)[0]
-            if 2 * n > len(variants) and word != T.VARIABLE:
-                constant[at] = word
-        fits = {w: len(constant) >= T.CONSTANT_SHARE * leaf[0] and all(w[a] == c for a, c in constant.items()) for _, w in variants}
-        general = len({t for t, w in variants if fits[w]}) >= T.MIN_DOCS
-        exact = {w for w in fits if len({t for t, x in variants if x == w}) >= T.MIN_DOCS}
-        for k, place, w in lines:
-            if general and fits[w] or w in exact:
-                gone[k].add(place)
+    for k, place, _, words in lines:
+        if words in last:
+            gone[k].add(place)
     return [None if t is None else "\n".join(x for p, x in enumerate(t.split("\n")) if p not in gone[k]) for k, t in enumerate(docs)]
 
 
+def test_brute_templates_on_the_cases(spark):
+    """What recurs and what does not, by the plain version and the operator."""
+    rng, words = random.Random(8), vocabulary(n=900)
+    written = [f"The article was written by {rng.choice(words)} {a}" for a in rng.sample(words, 12)]
+    sent = [f"The article was sent in {rng.choice(words)} {a}" for a in rng.sample(words, 12)]
+    others = [f"The article was {prose(rng, words, 3)} {rng.choice(words)}" for _ in range(200)]
+    texts = [f"{prose(rng, words, 30)}\n{line}" for line in written + sent]
+    texts += [f"{prose(rng, words, 30)}\n{line}" for line in others]
+    texts += [f"{prose(rng, words, 20)}\nAll rights reserved.\nMenu\nPage {k} of\n{k} {k}" for k in range(12)]
+    texts += [f"{prose(rng, words, 20)}\nOnly nine have this line" for _ in range(9)]
+    shared = [prose(rng, words, 12) for _ in range(6)]
+    copies = ["\n".join([*shared, prose(rng, words, 12)]) for _ in range(12)]
+    texts += copies
+    got = {r["doc_id"]: r["text"] for r in T.drop_recurring_lines(frame(spark, texts)).collect()}
+    out = [got[k] for k in range(len(texts))]
+    assert out == brute_templates(texts)
+    # Two templates with variable words in one leaf, among many other lines of it, and short lines.
+    assert all(t.count("\n") == 0 for t in out[:24]) and out[24:224] == texts[24:224]
+    assert [t.split("\n")[1:] for t in out[224:236]] == [[f"{k} {k}"] for k in range(12)]
+    assert out[236:245] == texts[236:245]
+    # Near copies keep their lines.
+    assert out[245:] == copies
+
+
+def test_one_of_many_near_copies_survives_whole(spark):
+    rng, words = random.Random(6), vocabulary(n=900)
+    body = [prose(rng, words, 30) for _ in range(8)]
+    copies = ["\n".join([*body, prose(rng, words, 10)]) for _ in range(12)]
+    docs = frame(spark, copies + [prose(rng, words, 60) + "\nAll rights reserved." for _ in range(12)])
+    stages = dict(corpus_pipeline.STAGES)
+    cut = stages["line_dedup"](spark, docs, SF)
+    kept = {r["doc_id"]: r["text"] for r in stages["near_dedup"](spark, cut, SF).collect()}
+    assert [k for k in kept if k < 12] == [0] and kept[0] == copies[0]
+    assert sum("reserved" in t for t in kept.values()) == 0 and len(kept) == 13
+
+
 def test_pipeline_stage_by_stage(spark, encoding):
     docs = table(spark, SF, "documents")
     columns = docs.columns
