@@ -2,7 +2,9 @@
 
 Texts are lower-cased (A-Z) and reduced to words of letters, digits and
 non-ASCII characters, joined by one space.  Each notice may occur with up to
-``errors`` edits.  Cut into ``errors + 1`` pieces, one piece of it must occur
+``errors`` edits, of which a word of the notice takes at most one for every
+``LETTERS_AN_EDIT`` letters: one edit makes another word of a short one ("mit"
+and "kit", "bsd" and "bad"), so short words must stand as they are.  Cut into ``errors + 1`` pieces, one piece of it must occur
 unchanged (pigeonhole), so exact searches for the pieces find all places where
 a match can lie; there the regex library's bounded-error matching decides and
 gives the span and the number of edits.  A match begins and ends with words.
@@ -17,6 +19,8 @@ columns are ignored.  Texts are scanned in place, one pass, no shuffle.
 
 from __future__ import annotations
 
+import re
+from bisect import bisect_left
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -36,16 +40,19 @@ BASE_PHRASES = (
 NOTICES = (
     ("gnu general public license", "gpl", 3),
     ("gnu lesser general public license", "lgpl", 3),
+    ("under the terms of the gnu general public license as published by the free software foundation", "gpl", 6),
     ("apache license", "apache", 2),
+    ("licensed under the apache license version 2 0", "apache", 3),
     ("mit license", "mit", 1),
+    ("permission is hereby granted free of charge to any person obtaining a copy", "mit", 5),
     ("bsd license", "bsd", 1),
+    ("redistribution and use in source and binary forms with or without modification are permitted", "bsd", 6),
     ("mozilla public license", "mpl", 2),
     ("creative commons attribution", "cc-by", 3),
-    ("permission is hereby granted free of charge", "mit", 4),
-    ("redistribution and use in source and binary forms", "bsd", 4),
-    ("all rights reserved", "proprietary", 2),
 )
+LETTERS_AN_EDIT = 5
 
+_BLANK = re.compile(b" ")
 _TO_SPACE = bytes(
     c + 32 if 65 <= c <= 90 else 32 if c <= 0x2F or 0x3A <= c <= 0x60 or 0x7B <= c <= 0x7F else c for c in range(256)
 )
@@ -83,7 +90,9 @@ class Notice:
 
     def __post_init__(self) -> None:
         self.seeds = pieces(self.text, self.errors)
-        self.pattern = regex.compile(rf"(?e)(?<![^ ])(?:{regex.escape(self.text)}){{e<={self.errors}}}(?![^ ])")
+        words = [(regex.escape(w), len(w) // LETTERS_AN_EDIT) for w in self.text.split()]
+        parts = [f"(?:{w}){{e<={most}:[^ ]}}" if most else w for w, most in words]
+        self.pattern = regex.compile(rf"(?e)(?<![^ ]){' '.join(parts)}(?![^ ])")
 
     def windows(self, words: bytes) -> list[tuple[int, int]]:
         """Byte ranges, widened to whole words, that hold every possible match."""
@@ -106,34 +115,39 @@ class Notice:
                 merged.append((lo, hi))
         return merged
 
-    def matches(self, words: bytes) -> list[tuple[int, int, int]]:
-        """(first word, number of words, edits) of every match."""
+    def matches(self, words: bytes, blanks: list[int]) -> list[tuple[int, int, int]]:
+        """(first word, number of words, edits) of every match (``blanks``: the places between words)."""
         found = []
         for lo, hi in self.windows(words):
             part = words[lo:hi].decode("utf-8", "replace")
-            before = words.count(b" ", 0, lo)
-            for m in self.pattern.finditer(part):
-                found.append((before + part.count(" ", 0, m.start()), m.group().count(" ") + 1, sum(m.fuzzy_counts)))
+            before, at, seen = bisect_left(blanks, lo), 0, 0
+            for m in self.pattern.finditer(part, overlapped=True):
+                edits = sum(m.fuzzy_counts)
+                seen += part.count(" ", at, m.start())
+                at = m.start()
+                if edits <= self.errors:
+                    found.append((before + seen, m.group().count(" ") + 1, edits))
         return found
 
 
 def scan(text: str | None, notices: list[Notice]) -> tuple:
     """n_words, n_base, first_word, last_word, base_labels, labels, score, spans."""
     words = normalised(text)
+    blanks = [m.start() for m in _BLANK.finditer(words)]
     starts, base, labels, spans = [], set(), set(), []
     for phrase, label in BASE_PHRASES:
         at = places(words, phrase.encode())
         if at:
             base.add(label)
-            starts += [words.count(b" ", 0, p) for p in at]
+            starts += [bisect_left(blanks, p) for p in at]
     score = 1.0 if base else 0.0
     for notice in notices:
-        for first, n, edits in notice.matches(words):
+        for first, n, edits in notice.matches(words, blanks):
             labels.add(notice.label)
             spans.append({"label": notice.label, "first_word": first, "n_words": n, "edits": edits})
             score = max(score, 1.0 - edits / len(notice.text))
     return (
-        words.count(b" ") + 1 if words else 0, len(starts), min(starts, default=None), max(starts, default=None),
+        len(blanks) + 1 if words else 0, len(starts), min(starts, default=None), max(starts, default=None),
         ",".join(sorted(base)), ",".join(sorted(base | labels)), score, sorted(spans, key=lambda s: (s["first_word"], s["label"], s["n_words"])),
     )
 
