@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import regex
+from pyspark.sql import functions as F
 
 from storefront_etl.llm import language_id as L
 from storefront_etl.llm import license_scan as N
@@ -144,6 +145,27 @@ def test_shards(spark, bucket_bytes):
         assert [d for _, d, _ in order if d is not None] != sorted(d for _, d, _ in order if d is not None)
 
 
+@pytest.mark.parametrize("bucket_bytes", [1 << 23, 2000])
+def test_shards_keep_all_columns(spark, bucket_bytes):
+    """Extra columns come through, also on shuffled input with overfilled buckets of equal rows."""
+    df = odd_frame(spark).withColumns({c: F.lit(f"my {c}") for c in ("bucket", "piece", "pieces", "BEFORE")})
+    df = df.unionByName(df.where("doc_id = 9").crossJoin(spark.range(60).select(F.col("id").alias("again"))).drop("again")).repartition(5)
+    out = H.external_shuffle(df, bucket_bytes=bucket_bytes)
+    extra = [c for c in df.columns if c not in H.ADDED]
+    assert out.columns == [*extra, "size", "text_crc32", "shard", "slot"]
+    names = [f"`{c}`" for c in extra]
+    got, want = out.select(*names).collect(), df.select(*names).collect()
+    assert Counter(map(str, got)) == Counter(map(str, want))
+    positions([r.asDict() for r in out.select("doc_id", "text", "size", "text_crc32", "shard", "slot").collect()])
+
+
+def test_fisher_yates_is_uniform():
+    rng = np.random.Generator(np.random.PCG64(1))
+    orders = Counter(tuple(H.fisher_yates(3, rng)) for _ in range(6000))
+    assert len(orders) == 6 and max(orders.values()) < 1150 and min(orders.values()) > 850
+    assert H.fisher_yates(0, rng) == [] and H.fisher_yates(1, rng) == [0]
+
+
 def test_shard_files(spark, tmp_path):
     df = odd_frame(spark)
     H.write_shards(H.external_shuffle(df), str(tmp_path / "shards"))
