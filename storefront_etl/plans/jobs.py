@@ -17,11 +17,12 @@ from __future__ import annotations
 
 import logging
 import sys
+import uuid
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor, as_completed
 from dataclasses import dataclass, fields
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from storefront_etl.operators.lookup import EXPAND, PreparedLookup
 from storefront_etl.operators.postcode import SKIP, expand_postcode_ranges, malformed_range
@@ -45,6 +46,8 @@ from storefront_etl.plans.tables import (
 )
 from storefront_etl.sources.csv import read_category_dictionary, read_csv_strings, read_reviews
 from storefront_etl.sources.parquet import write_parquet
+from storefront_etl.sources.publish import _describe as _describe_jobs  # noqa: F401
+from storefront_etl.sources.publish import publish_tables, replace_tables
 from storefront_etl.sources.schemas import RAW_COLUMNS
 
 log = logging.getLogger(__name__)
@@ -62,17 +65,25 @@ def postcode_table(spark: SparkSession, ranges_csv: str, on_invalid: str = SKIP)
 
 
 def prepare_postcodes(spark: SparkSession, ranges_csv: str, out_path: str, on_invalid: str = SKIP) -> str:
-    """Write the prefixes; ranges that are skipped as NULL or malformed are counted and logged."""
-    write_parquet(postcode_table(spark, ranges_csv, on_invalid), out_path)
-    rejected = rejected_ranges(spark, ranges_csv)
-    if rejected:
-        log.warning("%d postcode ranges of %s are NULL or malformed and gave no rows", rejected, ranges_csv)
-    log.info("postcode prefixes written to %s", out_path)
+    """Write the prefixes; ranges that are skipped as NULL or malformed are counted by the same scan and logged."""
+    counts = write_postcodes(spark, ranges_csv, out_path, on_invalid)
+    if counts["rejected"]:
+        log.warning("%d postcode ranges of %s are NULL or malformed and gave no rows", counts["rejected"], ranges_csv)
+    log.info("%d postcode ranges read, prefixes written to %s", counts["ranges"], out_path)
     return out_path
 
 
+def write_postcodes(spark: SparkSession, ranges_csv: str, out_path: str, on_invalid: str = SKIP) -> dict[str, int]:
+    """Write the prefixes; how many ``ranges`` were read and ``rejected`` (left out by ``on_invalid='skip'``), counted on the way."""
+    found = Observation(f"postcodes-{uuid.uuid4().hex}")
+    rejected = F.count(F.when(malformed_range("postcode_range"), F.lit(1)))
+    ranges = postcode_ranges(spark, ranges_csv).observe(found, F.count(F.lit(1)).alias("ranges"), rejected.alias("rejected"))
+    write_parquet(expand_postcode_ranges(ranges, on_invalid=on_invalid), out_path)
+    return dict(found.get)
+
+
 def rejected_ranges(spark: SparkSession, ranges_csv: str) -> int:
-    """Ranges that ``on_invalid='skip'`` leaves out."""
+    """Ranges that ``on_invalid='skip'`` leaves out, without writing any (one scan of the extract)."""
     return postcode_ranges(spark, ranges_csv).where(malformed_range("postcode_range")).count()
 
 
@@ -135,14 +146,6 @@ def build_tables(
     return {name: build() for name, build in table_builders(spark, paths, on_multiple, raw_reviews).items()}
 
 
-def _describe_jobs(spark: SparkSession, text: str) -> None:
-    """Label this thread's Spark jobs (a thread-local property, not config)."""
-    try:
-        spark.sparkContext.setJobDescription(text)
-    except Exception:  # Spark Connect has no SparkContext
-        pass
-
-
 def run_pipeline(
     spark: SparkSession,
     paths: PipelinePaths,
@@ -150,38 +153,25 @@ def run_pipeline(
     on_multiple: str = EXPAND,
     raw_reviews: bool = False,
     max_concurrent: int = DEFAULT_CONCURRENT_TABLES,
+    versioned: bool = False,
 ) -> dict[str, str]:
-    """Build and write the nine tables under ``output_dir`` (overwrite).
+    """Build and write the nine tables under ``output_dir``; their paths.
 
     The tables are independent, so up to ``max_concurrent`` of them are
     built and written at once from driver threads; Spark interleaves their
     tasks, which keeps executors busy while one table's job is in its tail.
-    Each table is still a single pass; a failure is raised after the other
-    writes have finished.
+    Each table is still a single pass.  A failure is raised after the other
+    writes have finished, and leaves the tables of the last run as they were:
+    all nine are written aside first, then renamed to
+    ``<output_dir>/<name>.parquet``, or with ``versioned`` published as one
+    set that readers find by its manifest (:mod:`storefront_etl.sources.publish`).
     """
     builders = table_builders(spark, paths, on_multiple, raw_reviews)
-    out = output_dir.rstrip("/")
-
-    def build_and_write(name: str) -> str:
-        path = f"{out}/{name}.parquet"
-        _describe_jobs(spark, f"storefront-etl: table {name}")
-        write_parquet(builders[name](), path)
-        log.info("table %s written to %s", name, path)
-        return path
-
-    written: dict[str, str] = {}
-    with ThreadPoolExecutor(max_workers=max(1, max_concurrent)) as pool:
-        futures = {pool.submit(build_and_write, name): name for name in builders}
-        errors = []
-        for future in as_completed(futures):
-            try:
-                written[futures[future]] = future.result()
-            except Exception as exc:  # noqa: BLE001 - re-raised below
-                errors.append(exc)
-    if errors:
-        raise errors[0]
-    log.info("wrote %d tables under %s", len(written), out)
-    return {name: written[name] for name in builders}
+    write = publish_tables if versioned else replace_tables
+    written = write(spark, builders, output_dir, max_concurrent)
+    for name, counts in written.metrics.items():
+        log.info("table %s: %d rows, missing values %s", name, counts["rows"], counts["missing"])
+    return written.paths
 
 
 def main(argv: list[str] | None = None) -> int:

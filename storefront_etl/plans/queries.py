@@ -27,8 +27,9 @@ from storefront_etl.operators.lookup import (
 from storefront_etl.operators.postcode import expand_postcode_ranges
 from storefront_etl.operators.prefix_cover import lookup_range, prefix_cover
 from storefront_etl.operators.profile import distinct_values, null_profile, preview, profile_columns
+from storefront_etl.operators.sketches import append_profile, distinct_error, read_profile
 from storefront_etl.plans.features import add_category_group, add_order_calendar, add_region, create_new_features
-from storefront_etl.plans.jobs import PipelinePaths, prepare_postcodes, run_pipeline
+from storefront_etl.plans.jobs import PipelinePaths, prepare_postcodes, run_pipeline, write_postcodes
 from storefront_etl.plans.standins import (
     CATEGORIES,
     SQL_CUSTOMERS_RAW,
@@ -72,6 +73,7 @@ from storefront_etl.plans.standins import (
     sql_payments_raw,
     sql_pick,
     sql_region,
+    sql_strict_int,
     supplier_ranges,
     table,
     write_standin_extracts,
@@ -87,6 +89,7 @@ from storefront_etl.plans.tables import (
 )
 from storefront_etl.sources.csv import read_category_dictionary, read_csv_strings, read_reviews, write_csv
 from storefront_etl.sources.parquet import register_views, scratch_path, write_tables
+from storefront_etl.sources.publish import publish_tables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -587,4 +590,59 @@ def q_range_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cover.groupBy(F.col("value").alias("locality")).agg(F.sum(F.pow(F.lit(10), "level").cast("long")).alias("codes"))
 
 
+_PUBLISHED = ("customers", "order_payments", "products")
+
+
+@_register("publish_metrics", "\nUNION ALL\n".join(
+    f"""SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS null_count
+FROM ({ORACLE_SQL[_JOB_SQL[t]]}) q"""
+    for t in _PUBLISHED for c in _JOB_COLUMNS[t].split()))
+def q_publish_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three tables published twice as one set; what the newest manifest says of their rows and missing values."""
+    tables = {
+        "customers": lambda: add_region(q_lookup_no_fallback(spark, sf_dir), "customer_state", "customer_region"),
+        "order_payments": lambda: q_cast_int_lenient(spark, sf_dir),
+        "products": lambda: q_unit_convert(spark, sf_dir),
+    }
+    chosen = {t: (lambda t=t: tables[t]().select(*_JOB_COLUMNS[t].split())) for t in _PUBLISHED}
+    root = scratch_path(spark, "published")
+    for _ in range(2):
+        newest = publish_tables(spark, chosen, root)
+    rows = [(t, c, m["rows"], n) for t, m in newest.metrics.items() for c, n in m["missing"].items()]
+    return spark.createDataFrame(rows, "table_name string, column_name string, row_count long, null_count long")
+
+
+@_register("postcode_rejects", f"""
+SELECT count(*) AS ranges, count(CASE WHEN lo IS NULL OR hi IS NULL THEN 1 END) AS rejected
+FROM (SELECT {sql_strict_int("split_part(split_part(postcode_range, ' a ', 1), '-', 1)")} AS lo,
+             {sql_strict_int("split_part(split_part(postcode_range, ' a ', 2), '-', 1)")} AS hi FROM ({SQL_SUPPLIER_RANGES}) r) b""")
+def q_postcode_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranges read and left out by the postcode job, counted by the scan that writes its table."""
+    base = scratch_path(spark, "postcode-rejects")
+    write_csv(supplier_ranges(table(spark, sf_dir, "supplier")), f"{base}/ranges.csv")
+    counts = write_postcodes(spark, f"{base}/ranges.csv", f"{base}/prefixes.parquet")
+    return spark.createDataFrame([(counts["ranges"], counts["rejected"])], "ranges long, rejected long")
+
+
+_PAYMENT_TYPES = (("order_id", "string"), ("payment_sequential", "int"), ("payment_type", "string"), ("payment_installments", "int"), ("payment_value", "float"))
+
+
+@_register("profile_merged", "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS column_name, '{t}' AS data_type, CAST(2 AS BIGINT) AS loads, count(*) AS row_count, count(*) - count({c}) AS null_count,
+       {f'CAST(min({c}) AS DOUBLE)' if t != 'string' else 'CAST(NULL AS DOUBLE)'} AS smallest,
+       {f'CAST(max({c}) AS DOUBLE)' if t != 'string' else 'CAST(NULL AS DOUBLE)'} AS largest, TRUE AS distinct_within_error
+FROM ({ORACLE_SQL['cast_int_lenient']}) p""" for c, t in _PAYMENT_TYPES))
+def q_profile_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The payments table in two loads: their states merged, and the sketched distinct counts held against exact ones."""
+    payments = q_cast_int_lenient(spark, sf_dir)
+    path = scratch_path(spark, "profile-states")
+    half = F.pmod(F.xxhash64("order_id"), F.lit(2))
+    for load in (0, 1):
+        append_profile(payments.where(half == load), path, f"load {load}")
+    exact = profile_columns(payments).select("column_name", F.col("distinct_count").alias("exact"))
+    within = F.abs(F.col("distinct_count") - F.col("exact")) <= distinct_error() * F.col("exact")
+    merged = read_profile(spark, path).join(exact, "column_name").withColumn("distinct_within_error", within)
+    return merged.select("column_name", "data_type", "loads", "row_count", "null_count", "smallest", "largest", "distinct_within_error")
+
+
 FLAGSHIP = "order_features"
