@@ -238,6 +238,7 @@ def text_owners(docs: DataFrame, largest: bool = True, trie_bytes: int = TRIE_BY
     if len(done) > 1:
         # A text may be settled in one round and, met after its subtree had left, again in another.
         owners = owners.groupBy("digest").agg((F.max if largest else F.min)("owner").alias("owner"), F.sum("rows").alias("rows"))
+        owners = stored(owners, "trie-owners")  # else a join with it could not split a text that very many rows have
     return owners.select("digest", F.col("owner").alias("keep_id"), F.col("rows").alias("group_size"))
 
 

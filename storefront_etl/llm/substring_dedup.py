@@ -177,7 +177,8 @@ def dedup_substrings(docs: DataFrame, width: int = WIDTH) -> DataFrame:
         "substring-candidates",
     )
     windows = stored(candidate_windows(candidates, width), "substring-windows")
-    repeated = windows.groupBy("window").agg(F.sum("copies").alias("n")).where("n > 1").select("window")
+    # Stored, so that both sides of the join are shuffled and Spark may split a window that very many texts have.
+    repeated = stored(windows.groupBy("window").agg(F.sum("copies").alias("n")).where("n > 1").select("window"), "substring-repeated")
     own = windows.join(repeated, "window").groupBy("content").agg(F.collect_set("window").alias("repeated"))
     changed = cut(candidates.select("content", "text").join(own, "content"), width)
     return whole.join(changed, "content", "left").select(
