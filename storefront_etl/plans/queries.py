@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from storefront_etl.functions.calendar import LAST, with_day_diff, with_day_of_week, with_hour, with_month
 from storefront_etl.functions.casts import lenient_cast, lenient_int
+from storefront_etl.functions.sql import register_functions
 from storefront_etl.functions.units import PRODUCT_UNITS, convert_units
 from storefront_etl.operators.fill import fill_missing_by_union
 from storefront_etl.operators.lookup import (
@@ -27,6 +28,7 @@ from storefront_etl.operators.lookup import (
 from storefront_etl.operators.postcode import expand_postcode_ranges
 from storefront_etl.operators.prefix_cover import lookup_range, prefix_cover
 from storefront_etl.operators.profile import distinct_values, null_profile, preview, profile_columns
+from storefront_etl.operators.rejects import read_csv_checked, typed_and_rejected
 from storefront_etl.operators.sketches import append_profile, distinct_error, read_profile
 from storefront_etl.plans.features import add_category_group, add_order_calendar, add_region, create_new_features
 from storefront_etl.plans.jobs import PipelinePaths, prepare_postcodes, run_pipeline, write_postcodes
@@ -53,6 +55,7 @@ from storefront_etl.plans.standins import (
     full_code_ranges,
     geo_select,
     geolocation_raw,
+    nation_ranges,
     order_items_raw,
     orders_raw,
     orders_with_ship,
@@ -645,4 +648,57 @@ def q_profile_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged.select("column_name", "data_type", "loads", "row_count", "null_count", "smallest", "largest", "distinct_within_error")
 
 
+# Payment lines as text: every 29th order has a field too many, every 31st one too few.
+_PAYMENT_COLUMNS = tuple(c for c, _ in _PAYMENT_TYPES)
+_PAYMENT_CASTS = {"payment_sequential": "int", "payment_installments": "int", "payment_value": "float"}
+_SQL_REASON = "concat_ws(',', " + ", ".join(
+    f"CASE WHEN trim({c}) <> '' AND {sql_lenient_int(c) if t == 'int' else f'TRY_CAST({c} AS FLOAT)'} IS NULL THEN '{c}' END"
+    for c, t in _PAYMENT_CASTS.items()) + ")"
+
+
+@_register("reject_channel", f"""
+SELECT reason, count(*) AS n, CAST(sum(CASE WHEN reason = 'typed' THEN coalesce({sql_lenient_int('payment_installments')}, 0) ELSE 0 END) AS BIGINT) AS installments
+FROM (SELECT *, CASE WHEN CAST(order_id AS BIGINT) % 29 = 0 OR CAST(order_id AS BIGINT) % 31 = 0 THEN 'fields'
+                     ELSE coalesce(nullif({_SQL_REASON}, ''), 'typed') END AS reason FROM ({sql_payments_raw()}) r) q
+GROUP BY reason""")
+def q_reject_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payment lines typed or rejected by reason; lines with a wrong number of fields among them."""
+    raw = payments_raw(table(spark, sf_dir, "orders"))
+    order = F.col("order_id").cast("bigint")
+    fields = [F.coalesce(F.col(c), F.lit("")) for c in _PAYMENT_COLUMNS]
+    line = (
+        F.when(order % 29 == 0, F.concat_ws(",", *fields, F.lit("extra"))).when(order % 31 == 0, F.concat_ws(",", *fields[:-1])).otherwise(F.concat_ws(",", *fields))
+    )
+    path = scratch_path(spark, "payment-lines")
+    raw.select(line.alias("value")).write.text(path)
+    typed, rejected = typed_and_rejected(read_csv_checked(spark, path, _PAYMENT_COLUMNS, header=False), _PAYMENT_CASTS)
+    counts = typed.select(F.lit("typed").alias("reason"), F.coalesce("payment_installments", F.lit(0)).alias("installments"))
+    return counts.unionByName(rejected.select("reason", F.lit(0).alias("installments"))).groupBy("reason").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("installments").alias("installments"))
+
+
+@_register("sql_functions", f"""
+SELECT c.customer_id, {sql_region('c.customer_state')} AS customer_region, {sql_lenient_int('c.customer_zip_code_prefix')} AS zip, p.localities
+FROM (SELECT * FROM ({SQL_CUSTOMERS_RAW}) r) c
+LEFT JOIN (SELECT CAST(cep_prefix AS INTEGER) AS prefix, count(*) AS localities FROM ({SQL_CEPS}) e GROUP BY 1) p
+  ON p.prefix = {sql_lenient_int('c.customer_zip_code_prefix')}""")
+def q_sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """In SQL text only: lenient keys, region labels and range expansion by the library's SQL functions."""
+    mark = f"etl_{uuid.uuid4().hex}_"
+    views = {f"{mark}customers": customers_raw(table(spark, sf_dir, "customer")), f"{mark}ranges": nation_ranges(table(spark, sf_dir, "nation"))}
+    register_views(spark, views)
+    functions = register_functions(spark, mark)
+    try:
+        return spark.sql(f"""
+            SELECT c.customer_id, {mark}region_of_state(c.customer_state) AS customer_region, {mark}lenient_int(c.customer_zip_code_prefix) AS zip, p.localities
+            FROM {mark}customers c LEFT JOIN (
+              SELECT e.cep_prefix, count(*) AS localities FROM {mark}ranges r, LATERAL {mark}postcode_prefixes(r.postcode_range) e GROUP BY e.cep_prefix) p
+            ON p.cep_prefix = {mark}lenient_int(c.customer_zip_code_prefix)""")
+    finally:
+        for view in views:
+            spark.catalog.dropTempView(view)
+        for name in functions:
+            spark.sql(f"DROP TEMPORARY FUNCTION {name}")
+
+
 FLAGSHIP = "order_features"
