@@ -198,7 +198,9 @@ def read_quoted_csv(spark: SparkSession, path: str | Sequence[str], columns: Seq
     fragments_path = scratch_path(spark, "csv-fragments")
     split_pieces(placed, sep, fragments=True).write.parquet(fragments_path)
     fragments = spark.read.schema("file string, block long, kind int, first boolean, text string").parquet(fragments_path)
-    records = split_pieces(placed, sep, fragments=False).select("file", "first", "text").unionByName(joined_fragments(fragments, sep))
+    records = split_pieces(placed, sep, fragments=False).select("file", "first", "text")
+    if not fragments.isEmpty():  # no record crosses a boundary: no shuffle at all
+        records = records.unionByName(joined_fragments(fragments, sep))
     schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
     options = {"sep": sep, "quote": QUOTE, "escape": QUOTE, "multiLine": "true"}
     parsed = records.where("first OR text <> ''").select("file", "first", F.from_csv("text", schema, options).alias("record"))
