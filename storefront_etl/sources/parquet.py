@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,16 +47,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def drop_scratch(spark: SparkSession) -> int:
-    """Delete what this process has put under its scratch paths; how many there were.
+def given_scratch() -> list[str]:
+    """The scratch paths that this process has been given and not dropped."""
+    return list(_given)
 
-    For the end of an application: DataFrames that still read scratch tables
-    fail afterwards.  Goes through Spark's file systems, so it works for any
+
+def drop_scratch(spark: SparkSession, only: Collection[str] | None = None) -> int:
+    """Delete what this process has put under its scratch paths (or those in ``only``); how many there were.
+
+    For the end of an application, or of a step of it whose result is written:
+    DataFrames that still read scratch tables fail afterwards.  Goes through Spark's file systems, so it works for any
     shared folder.
     """
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     root, dropped = scratch_root(spark) + "/", 0
     for name in [n for n in _given if n.startswith(root)]:
+        if only is not None and name not in only:
+            continue
         _given.remove(name)
         path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
         dropped += bool(path.getFileSystem(conf).delete(path, True))

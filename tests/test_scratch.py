@@ -61,3 +61,18 @@ def test_drop_scratch_deletes_what_was_written(spark):
     assert spark.read.parquet(other).count() == 3
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         spark.read.parquet(path)
+
+
+def test_scratch_of_one_step_is_dropped(spark):
+    from storefront_etl.sources.parquet import given_scratch
+
+    first = scratch_path(spark, "first")
+    spark.range(3).write.parquet(first)
+    before = set(given_scratch())
+    second = scratch_path(spark, "second")
+    spark.range(5).write.parquet(second)
+    assert drop_scratch(spark, [p for p in given_scratch() if p not in before]) == 1
+    assert first in given_scratch() and second not in given_scratch()
+    assert spark.read.parquet(first).count() == 3
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(second).count()
