@@ -176,7 +176,7 @@ def test_one_of_many_near_copies_survives_whole(spark):
     copies = ["\n".join([*body, prose(rng, words, 10)]) for _ in range(12)]
     docs = frame(spark, copies + [prose(rng, words, 60) + "\nAll rights reserved." for _ in range(12)])
     stages = dict(corpus_pipeline.STAGES)
-    cut = stages["line_dedup"](spark, docs, SF)
+    cut = spark.createDataFrame(stages["line_dedup"](spark, docs, SF).collect(), docs.schema)
     kept = {r["doc_id"]: r["text"] for r in stages["near_dedup"](spark, cut, SF).collect()}
     assert [k for k in kept if k < 12] == [0] and kept[0] == copies[0]
     assert sum("reserved" in t for t in kept.values()) == 0 and len(kept) == 13
