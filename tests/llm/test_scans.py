@@ -294,6 +294,29 @@ def test_the_forest_decides_not_the_limits():
     assert (forest.judge(x[~label]) >= forest.threshold).mean() > 0.9
 
 
+def test_every_labelled_document_teaches(spark):
+    """Quantiles, leaf counts and threshold against one in-memory fit of all labelled rows, repeats included."""
+    rng, words = random.Random(8), vocabulary(n=300)
+    texts = [prose(rng, words, rng.randint(15, 90)) for _ in range(400)]
+    texts += [" ".join(f"{w} #$ {w}" for w in prose(rng, words, 30).split()[: rng.randint(5, 30)]) for _ in range(60)]
+    docs = frame(spark, texts)
+    docs = docs.unionByName(docs.where("doc_id < 9"))
+    labels = spark.createDataFrame([(k, int(k < 405), 0) for k in range(450)] + [(5, 0, 0)], "doc_id long, quality int, toxic int")
+    forest = Q.fit(docs, labels)
+    taken = docs.where("doc_id < 450").select("doc_id", "text", (F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0).alias("teach")).collect()
+    column = pa.array([r["text"] for r in taken])
+    stats = Q.statistics(column)
+    good = np.array([r["doc_id"] < 405 and r["doc_id"] != 5 for r in taken])
+    want = Q.learned(Q.features(column, stats), good, ~Q.base_failed(stats), np.array([r["teach"] for r in taken]))
+    assert np.allclose(forest.low, want.low) and np.allclose(forest.high, want.high)
+    assert (forest.feature == want.feature).all() and np.allclose(forest.path, want.path)
+    assert np.isfinite(want.threshold) and np.isclose(forest.threshold, want.threshold)
+    # Every good row that teaches is counted in every tree.
+    roots = Q.grow_forest(np.zeros((7, 8)), least=1.0)
+    assert np.isclose(roots.norm, Q.expected_path(7))
+    assert not hasattr(Q, "SAMPLE")
+
+
 def test_quality_features_are_the_statistics():
     texts = ["One two two THREE", "a\na\n#b", "", None]
     got = Q.features(pa.array(texts), Q.statistics(pa.array(texts)))
