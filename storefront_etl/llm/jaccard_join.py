@@ -21,8 +21,9 @@ from above, and most pairs end there.  The rest meet their sorted arrays.
 
 *Large groups.*  Round one compares every set of a tile to the tile's
 smallest node only (a number of pairs in proportion to the tile), and links
-become components.  Round two compares, in each tile that still holds several
-components, the pairs from different ones, in chunks of about ``BLOCK`` sets
+become components.  Round two compares, in each tile whose other sets (the
+smallest node has met them all) are still in several components, the pairs from
+different ones, in chunks of about ``BLOCK`` sets
 (the tile's largest component against the others only), slice by slice
 (``SLICES``): first every set's likeliest partner, then the next ones, with
 the components renewed in between, until nothing is untested.  A pair is left
@@ -395,16 +396,20 @@ def set_links(docs: DataFrame, sets: DataFrame, similarity: int = SIMILARITY) ->
     star = tiles.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
     found = verified(star, docs, nodes, similarity)
     roots = stored(components(found), "jaccard-roots")
-    # Round two: tiles that still hold several components.
-    rows = stored(tile_blocks(tiles.join(roots, "node", "left").withColumn("start", F.coalesce("root", "node")).drop("root"), nodes), "jaccard-rows")
+    # Round two: tiles that still hold several components.  Their leaders have met every set of the tile.
+    rows = stored(tile_blocks(tiles.where("node <> leader").join(roots, "node", "left").withColumn("start", F.coalesce("root", "node")).drop("root"), nodes), "jaccard-rows")
     n_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     for first, last in zip(SLICES, [*SLICES[1:], None], strict=True):
         now = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         sorted_rows = now.repartition(n_parts, "block").sortWithinPartitions("block")
         compared = stored(block_pairs(sorted_rows, first, last, similarity), "jaccard-blocks")
-        pairs = compared.where("a is not null").select("a", "b").distinct()
-        if not pairs.isEmpty():
-            found = stored(found.unionByName(verified(pairs, docs, nodes, similarity)), "jaccard-links")
+        pairs = stored(compared.where("a is not null").select("a", "b").distinct(), "jaccard-pairs")
+        n_pairs = pairs.count()
+        if n_pairs:
+            # Mostly few: then only their nodes' bitmaps are shuffled.
+            ids = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+            met = nodes.join(F.broadcast(ids), "node", "left_semi") if 2 * n_pairs <= BROADCAST_IDS else nodes
+            found = stored(found.unionByName(verified(pairs, docs, met, similarity)), "jaccard-links")
         open_blocks = compared.where("block is not null").select("block").distinct()
         if open_blocks.isEmpty():
             break

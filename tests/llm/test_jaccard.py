@@ -152,3 +152,19 @@ def test_links_are_all_pairs(spark, near_copies, monkeypatch, chunk):
     got = {r["doc_id"]: r["links"] for r in J.jaccard_components(frame(spark, texts)).select("doc_id", "links").collect()}
     assert got == {k: want[t or ""] for k, t in enumerate(texts)}
     assert max(got.values()) > 30
+
+
+def test_round_two_leaves_out_what_round_one_has_tested(spark):
+    """Pairs that share some shingles but don't link: the tiles hold two sets, whose only pair is known."""
+    from storefront_etl.sources.parquet import given_scratch
+
+    texts = []
+    for k in range(20):
+        words = [f"p{k}w{i}" for i in range(54)]
+        texts += [" ".join(words[:40]), " ".join([*words[:26], *words[40:]])]
+    before = set(given_scratch())
+    got = {r["doc_id"]: (r["component_id"], r["links"]) for r in J.jaccard_components(frame(spark, texts)).collect()}
+    assert got == {k: (k, 0) for k in range(40)}
+    made = {p.rsplit("/", 1)[1].rsplit("-", 1)[0]: p for p in set(given_scratch()) - before}
+    assert spark.read.parquet(made["jaccard-members"]).count() > 20
+    assert spark.read.parquet(made["jaccard-rows"]).count() == 0
