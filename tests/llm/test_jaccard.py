@@ -8,6 +8,7 @@ import re
 import numpy as np
 import pytest
 
+from storefront_etl.llm import graph
 from storefront_etl.llm import jaccard_join as J
 from storefront_etl.llm.graph import components
 from tests.llm.data import empty_frame, frame, odd_frame, prose, vocabulary
@@ -168,3 +169,13 @@ def test_round_two_leaves_out_what_round_one_has_tested(spark):
     made = {p.rsplit("/", 1)[1].rsplit("-", 1)[0]: p for p in set(given_scratch()) - before}
     assert spark.read.parquet(made["jaccard-members"]).count() > 20
     assert spark.read.parquet(made["jaccard-rows"]).count() == 0
+
+
+def test_components_stop_at_stars(spark, monkeypatch):
+    """Stars need no round more to show that nothing changes."""
+    rounds = []
+    monkeypatch.setattr("storefront_etl.llm.graph.stored", lambda df, name, f=graph.stored: rounds.append(name) or f(df, name))
+    star = spark.createDataFrame([(k, 1) for k in range(2, 40)], "a long, b long")
+    got = {r["node"]: r["root"] for r in graph.components(star).collect()}
+    assert got == dict.fromkeys(range(1, 40), 1)
+    assert len(rounds) == 1
