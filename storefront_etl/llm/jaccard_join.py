@@ -8,7 +8,8 @@ fewer words, the whole sequence is the one element.  Two documents link when
 *Tiles.*  Sorted by any common order, two sets that link share one of their
 first ``n - ceil(0.75 n) + 1`` elements.  A tile is one such shared element and
 one size band: bands step by 1.34, so linked sets are at most one band apart,
-and each set stands in the tiles of its own band and the next.  The order is
+and each set stands in the tiles of its own band and, by those elements that can
+be the first one shared with a set of that size (:func:`partner_caps`), of the next.  The order is
 by hash, with the elements that a bounded sample shows to be frequent last:
 they are then rarely tile keys.  The sample steers only how much work there
 is; every order gives the same links.  Tiles with the same smallest node are
@@ -19,11 +20,12 @@ low bits).  Bits of A that B lacks are elements of A that B lacks, so
 ``min(|A| - |bitsA \\ bitsB|, |B| - |bitsB \\ bitsA|)`` bounds the overlap
 from above, and most pairs end there.  The rest meet their sorted arrays.
 
-*Large groups.*  Round one compares every set of a tile to the tile's
-smallest node only (a number of pairs in proportion to the tile), and links
-become components.  Round two compares, in each tile whose other sets (the
-smallest node has met them all) are still in several components, the pairs from
-different ones, in chunks of about ``BLOCK`` sets
+*Large groups.*  Round one compares the sets of a tile to the tile's
+smallest node only (a number of pairs in proportion to the tile), if an element
+of the tile can be the first one that the two share, and links
+become components.  Round two compares, in each tile whose other sets are still
+in several components, the pairs from different ones (a link of the smallest node
+that round one left out is between other sets of the tile of its first shared element), in chunks of about ``BLOCK`` sets
 (the tile's largest component against the others only), slice by slice
 (``SLICES``): first every set's likeliest partner, then the next ones, with
 the components renewed in between, until nothing is untested.  A pair is left
@@ -119,6 +121,14 @@ def prefix_length(n: int, similarity: int = SIMILARITY) -> int:
     return n - -(-similarity * n // 100) + 1
 
 
+def partner_caps(n: int, length: int, similarity: int = SIMILARITY) -> np.ndarray:
+    """For each of a set's first ``length`` elements: the largest set that it can link with if that element is the first they share.
+
+    Behind place i are ``n - i`` elements, so a link needs ``(100 + similarity) * (n - i) >= similarity * (n + m)``.
+    """
+    return (100 + similarity) * (n - np.arange(length, dtype=np.int64)) // similarity - n
+
+
 def folded(bits: np.ndarray, size: int) -> np.ndarray:
     """Bitmaps (rows of 64-bit words) brought to ``size`` words: hashes keep their low bits."""
     while bits.shape[-1] > size:
@@ -184,11 +194,15 @@ def frequent_shingles(docs: DataFrame, n_docs: int) -> np.ndarray:
 
 
 def postings(docs: DataFrame, frequent: np.ndarray, similarity: int) -> DataFrame:
-    """(key, salt, node): the first elements of every set in the common order, each set once per task."""
+    """(key, salt, node, size): the first elements of every set in the common order, each set once per task.
+
+    ``size`` holds the set's size and, from bit 32 on, the element's :func:`partner_caps`.
+    """
     seen: set[int] = set()
 
     def post(part: pa.RecordBatch) -> pa.RecordBatch:
         keys, salts, nodes = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        sizes = [np.zeros(0, np.int64)]
         for found in shingle_sets(part.column("text")):
             if not len(found):
                 continue
@@ -206,11 +220,10 @@ def postings(docs: DataFrame, frequent: np.ndarray, similarity: int) -> DataFram
             keys.append((chosen >> np.uint64(64 - KEY_BITS)).astype(np.int64))
             salts.append(salt)
             nodes.append(np.full(length, node, dtype=np.int64))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(keys)), pa.array(np.concatenate(salts)), pa.array(np.concatenate(nodes))], ["key", "salt", "node"]
-        )
+            sizes.append(partner_caps(len(found), length, similarity) << 32 | len(found))
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, salts, nodes, sizes)], ["key", "salt", "node", "size"])
 
-    return per_batch(docs.select("text"), "text", post, "key long, salt int, node long")
+    return per_batch(docs.select("text"), "text", post, "key long, salt int, node long, size long")
 
 
 def attach_bits(pairs: DataFrame, nodes: DataFrame, side: str) -> DataFrame:
@@ -249,8 +262,7 @@ def sorted_arrays(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, similarity: int) -> DataFrame:
-    """The (a, b) pairs that link, by exact intersection of their sorted arrays."""
-    pairs = stored(bounded(pairs, nodes, similarity), "jaccard-bounded")
+    """The stored (a, b) pairs that link, by exact intersection of their sorted arrays."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     found = stored(sorted_arrays(docs, stored(nodes.select("node", "row").join(ids, "node"), "jaccard-wanted")), "jaccard-arrays")
     # b first: a set is b in few pairs, but may be a in very many.
@@ -370,33 +382,50 @@ def block_pairs(rows: DataFrame, first: int, last: int | None, similarity: int)
 
 def set_links(docs: DataFrame, sets: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     """(a, b): links between nodes that join all that belong together."""
+    return set_roots(docs, sets, similarity)[0]
+
+
+def set_roots(docs: DataFrame, sets: DataFrame, similarity: int = SIMILARITY) -> tuple[DataFrame, DataFrame]:
+    """:func:`set_links`, and their components as (node, root)."""
     filled = sets.where("n > 0")
     nodes = stored(
         filled.groupBy("node").agg(F.max("n").alias("n"), F.min("row").alias("row"), F.max("bits").alias("bits")), "jaccard-nodes"
     )
     frequent = frequent_shingles(docs, nodes.count())
     posts = postings(docs, frequent, similarity)
-    tile_part = Window.partitionBy("key", "salt")
+    part, tile = Window.partitionBy("key", "salt"), Window.partitionBy("key", "salt", "band")
     shared = (
-        posts.withColumn("lo", F.min("node").over(tile_part)).withColumn("hi", F.max("node").over(tile_part))
-        .where("lo < hi or salt > 0").select("key", "node").distinct()
+        posts.withColumn("lo", F.min("node").over(part)).withColumn("hi", F.max("node").over(part))
+        .where("lo < hi or salt > 0").select("key", "salt", "node", "size").distinct()
     )
-    band = F.floor(F.log("n") / F.lit(float(np.log(BAND_STEP)))).cast("int")
+    # In the next band's tiles an element counts only if it can be the first one shared with a set of that band.
+    own, most = band_of(set_size("size")), band_of(partner_cap("size"))
+    banded = shared.select("*", F.explode(F.when(most > own, F.array(own, own + 1)).otherwise(F.array(own))).alias("band"))
+    # All of a key that is not salted is in one task already, so its tiles need no further shuffle.
     tiled = stored(
-        shared.join(nodes.select("node", "n"), "node")
-        .select("key", F.explode(F.array(band, band + 1)).alias("band"), "node"),
+        banded.withColumn("lead", F.min(F.struct("node", "size")).over(tile)).withColumn("hi", F.max("node").over(tile))
+        .where("lead.node < hi or salt > 0")
+        .select(F.when(F.col("salt") > 0, F.col("key")).alias("key"), "band", "node", "size", F.col("lead.node").alias("leader"), F.col("lead.size").alias("lead_size")),
         "jaccard-tiles",
     )
+    salted = tiled.where("key is not null").select("key", "band", "node", "size")
+    leaders = salted.groupBy("key", "band").agg(F.min(F.struct("node", "size")).alias("lead"), F.max("node").alias("hi")).where("lead.node < hi").select(
+        "key", "band", F.col("lead.node").alias("leader"), F.col("lead.size").alias("lead_size")
+    )
+    near = (set_size("size") <= partner_cap("lead_size")) & (set_size("lead_size") <= partner_cap("size"))
+    columns = ["leader", "band", "node", near.alias("near")]
     # Tiles are merged by their smallest node: near copies share many keys, and mostly that node.
-    leaders = tiled.groupBy("key", "band").agg(F.count(F.lit(1)).alias("members"), F.min("node").alias("leader")).where("members > 1")
     tiles = stored(
-        tiled.join(leaders, ["key", "band"]).select("leader", "band", "node").distinct().withColumn("tile", F.xxhash64("leader", "band")),
+        tiled.where("key is null").select(*columns).unionByName(salted.join(leaders, ["key", "band"]).select(*columns))
+        .groupBy("leader", "band", "node").agg(F.max("near").alias("near")).withColumn("tile", F.xxhash64("leader", "band")),
         "jaccard-members",
     )
-    star = tiles.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    found = verified(star, docs, nodes, similarity)
+    # A leader meets the sets that a tile's element can be the first one shared with: any other link of it has an
+    # earlier element, whose tile has this leader too, or a smaller one, and then round two compares the pair.
+    star = tiles.where("node <> leader and near").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+    found = verified(stored(bounded(star, nodes, similarity), "jaccard-bounded"), docs, nodes, similarity)
     roots = stored(components(found), "jaccard-roots")
-    # Round two: tiles that still hold several components.  Their leaders have met every set of the tile.
+    # Round two: tiles that still hold several components.  Their leaders need not be met again.
     rows = stored(tile_blocks(tiles.where("node <> leader").join(roots, "node", "left").withColumn("start", F.coalesce("root", "node")).drop("root"), nodes), "jaccard-rows")
     n_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     for first, last in zip(SLICES, [*SLICES[1:], None], strict=True):
@@ -409,13 +438,28 @@ def set_links(docs: DataFrame, sets: DataFrame, similarity: int = SIMILARITY) ->
             # Mostly few: then only their nodes' bitmaps are shuffled.
             ids = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
             met = nodes.join(F.broadcast(ids), "node", "left_semi") if 2 * n_pairs <= BROADCAST_IDS else nodes
-            found = stored(found.unionByName(verified(pairs, docs, met, similarity)), "jaccard-links")
+            new = verified(pairs, docs, met, similarity)
+            if not new.isEmpty():
+                found = stored(found.unionByName(new), "jaccard-links")
+                roots = stored(components(found), "jaccard-roots")
         open_blocks = compared.where("block is not null").select("block").distinct()
         if open_blocks.isEmpty():
             break
-        roots = stored(components(found), "jaccard-roots")
         rows = rows.join(open_blocks, "block")
-    return found
+    return found, roots
+
+
+def set_size(size: str) -> Column:
+    return F.col(size).bitwiseAND(F.lit(0xFFFFFFFF))
+
+
+def partner_cap(size: str) -> Column:
+    return F.shiftright(size, 32)
+
+
+def band_of(n: Column) -> Column:
+    """Size band: bands step by ``BAND_STEP``."""
+    return F.floor(F.log(F.greatest(n, F.lit(1))) / F.lit(float(np.log(BAND_STEP)))).cast("int")
 
 
 def tile_blocks(members: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -493,7 +537,7 @@ def link_blocks(members: DataFrame) -> DataFrame:
     large = stored(large, "jaccard-large")
     few = large.count() <= BROADCAST_IDS
     # The band of a size: a link's larger set has at most 4/3 of the smaller one's elements, and is at most one band up.
-    banded = members.withColumn("band", F.floor(F.log("n") / F.lit(float(np.log(BAND_STEP)))).cast("int"))
+    banded = members.withColumn("band", band_of(F.col("n")))
     bands = banded.join(F.broadcast(large) if few else large, "root").groupBy("root", "band").agg(*size).select(
         "root", "band",
         F.greatest(
@@ -562,7 +606,7 @@ def jaccard_components(docs: DataFrame, similarity: int = SIMILARITY) -> DataFra
     links with, equal sets included (0 without words).
     """
     sets = stored(document_sets(docs), "jaccard-sets")
-    roots = stored(components(set_links(docs, sets, similarity)), "jaccard-components")
+    roots = set_roots(docs, sets, similarity)[1]
     others = link_counts(docs, sets, roots, similarity)
     own = sets.where("n > 0").select("node", "content").distinct().groupBy("node").agg((F.count(F.lit(1)) - 1).alias("own"))
     degree = stored(
@@ -577,7 +621,7 @@ def keep_one(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     """``docs`` with one document of each component: the smallest doc_id; documents without words all stay."""
     row, place = fresh_name(docs.columns, "jaccard_row"), fresh_name(docs.columns, "jaccard_place")
     sets = stored(document_sets(docs), "jaccard-sets")
-    found = stored(component_rows(sets, components(set_links(docs, sets, similarity))), "jaccard-documents")
+    found = stored(component_rows(sets, set_roots(docs, sets, similarity)[1]), "jaccard-documents")
     filled = found.where("n_shingles > 0")
     best = filled.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("best"))
     stay = best.select(F.col("best.row").alias(row), F.lit(True).alias(place)).unionByName(

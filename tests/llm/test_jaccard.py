@@ -171,6 +171,16 @@ def test_round_two_leaves_out_what_round_one_has_tested(spark):
     assert spark.read.parquet(made["jaccard-rows"]).count() == 0
 
 
+def test_partner_caps_keep_every_link():
+    """A cap is the largest partner size whose link the elements from that place on still allow."""
+    for n in (1, 2, 4, 7, 30, 101):
+        length = J.prefix_length(n)
+        for i, cap in enumerate(J.partner_caps(n, length).tolist()):
+            allowed = [m for m in range(1, 2 * n + 2) if J.links(n, m, min(n - i, m))]
+            assert cap >= max(allowed, default=0)
+            assert not J.links(n, cap + 1, n - i)
+
+
 def test_components_stop_at_stars(spark, monkeypatch):
     """Stars need no round more to show that nothing changes."""
     rounds = []
@@ -179,3 +189,16 @@ def test_components_stop_at_stars(spark, monkeypatch):
     got = {r["node"]: r["root"] for r in graph.components(star).collect()}
     assert got == dict.fromkeys(range(1, 40), 1)
     assert len(rounds) == 1
+
+
+def test_leaders_meet_only_sets_whose_first_shared_element_allows_a_link(spark, monkeypatch):
+    """Pairs of texts with a common passage, the longer one with as many words as a link just allows: few are pairs of round one."""
+    texts = []
+    for k in range(30):
+        passage = " ".join(f"p{k}x{i}" for i in range(20))
+        texts += [" ".join([passage, *(f"{side}{k}x{i}" for i in range(size))]) for side, size in (("a", 80), ("b", 110))]
+    tested = []
+    monkeypatch.setattr(J, "bounded", lambda pairs, nodes, s, f=J.bounded: tested.append(pairs.count()) or f(pairs, nodes, s))
+    df = frame(spark, texts)
+    assert J.set_links(df, J.document_sets(df)).count() == 0
+    assert len(tested) == 1 and tested[0] < 15, tested
