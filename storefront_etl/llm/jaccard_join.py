@@ -25,12 +25,12 @@ smallest node only (a number of pairs in proportion to the tile), if an element
 of the tile can be the first one that the two share, and links
 become components.  Round two compares, in each tile whose other sets are still
 in several components, the pairs from different ones (a link of the smallest node
-that round one left out is between other sets of the tile of its first shared element), in chunks of about ``BLOCK`` sets
-(the tile's largest component against the others only), slice by slice
-(``SLICES``): first every set's likeliest partner, then the next ones, with
-the components renewed in between, until nothing is untested.  A pair is left
-out only if both sets are in one component already, so components are exact,
-and a group of near copies costs its size, not its square.
+that round one left out is between other sets of the tile of its first shared element), in blocks of
+two chunks of at most about ``BLOCK`` sets (the tile's largest component against the others only).
+Bitmaps first name the sets of a block that may link with another component at all;
+only those meet again, with their arrays, and all possible pairs are tested where the block is,
+the likeliest first.  A pair is left out only if both sets are in one component already, so components are exact,
+and a group of near copies costs its size, not its square.  No pairs are shuffled, and the number of steps is fixed.
 
 *Link counts.*  The links of round one and two are enough for components
 (:func:`keep_one` needs no more), but not all links.  :func:`link_counts` finds
@@ -48,7 +48,7 @@ gives no rows; extra columns are ignored by the join and kept by
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -72,9 +72,8 @@ from storefront_etl.llm.graph import components
 WIDTH = 5
 SIMILARITY = 75  # percent
 BAND_STEP = 1.34
-BLOCK = 512
-# Round two tests a set's pairs in slices, the likeliest first: later slices find most of their pairs in one component.
-SLICES = (0, 1, 8, 64)
+# Sets of a chunk in round two, and elements, but for a few sets.
+BLOCK, BLOCK_ELEMENTS, BLOCK_LEAST = 512, 1 << 20, 8
 # Sample that finds frequent shingles: about this many documents; frequent from this many of them on; at most so many kept.
 SAMPLE_DOCS = 4000
 FREQUENT_IN = 8
@@ -261,10 +260,20 @@ def sorted_arrays(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return per_batch(texts, "text", arrays, "node long, shingles binary").dropDuplicates(["node"])
 
 
+def arrays_of(ids: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """:func:`sorted_arrays` of these nodes, stored."""
+    return stored(sorted_arrays(docs, stored(nodes.select("node", "row").join(ids.distinct(), "node"), "jaccard-wanted")), "jaccard-arrays")
+
+
+def shared(a: np.ndarray, b: np.ndarray) -> int:
+    """How many elements two sorted arrays have in common."""
+    both = np.sort(np.concatenate([a, b]), kind="stable")
+    return int((both[1:] == both[:-1]).sum())
+
+
 def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, similarity: int) -> DataFrame:
     """The stored (a, b) pairs that link, by exact intersection of their sorted arrays."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    found = stored(sorted_arrays(docs, stored(nodes.select("node", "row").join(ids, "node"), "jaccard-wanted")), "jaccard-arrays")
+    found = arrays_of(pairs.select(F.explode(F.array("a", "b")).alias("node")), docs, nodes)
     # b first: a set is b in few pairs, but may be a in very many.
     sides = pairs.join(found.select(F.col("node").alias("b"), F.col("shingles").alias("set_b")), "b").join(
         found.select(F.col("node").alias("a"), F.col("shingles").alias("set_a")), "a"
@@ -275,109 +284,118 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, similarity: in
             keep = np.zeros(part.num_rows, dtype=bool)
             for i, (x, y) in enumerate(zip(part.column("set_a"), part.column("set_b"), strict=True)):
                 a, b = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = np.sort(np.concatenate([a, b]), kind="stable")
-                keep[i] = links(len(a), len(b), int((both[1:] == both[:-1]).sum()), similarity)
+                keep[i] = links(len(a), len(b), shared(a, b), similarity)
             yield part.select(["a", "b"]).filter(pa.array(keep))
 
     return stored(sides.select("a", "b", "set_a", "set_b").mapInArrow(test, "a long, b long"), "jaccard-verified")
 
 
-def block_pairs(rows: DataFrame, first: int, last: int | None, similarity: int) -> DataFrame:
-    """Rows (block, side, node, start, root, n, bits), sorted by block in each partition -> possible (a, b) links.
+def same_block(group: dict[str, np.ndarray], similarity: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each place of a block's rows, which rise by (n, node): the places behind it of the sets that it may link with, and how near they seem.
 
     A block's rows are one chunk of a tile against itself, or two chunks
-    (sides 0 and 1), so their number is bounded.  Every pair with different
-    ``start`` components belongs to its smaller set; of a set's pairs that the
-    bitmaps allow, sorted by falling bound, those from ``first`` to before
-    ``last`` are given out if their components (``root``) still differ.  Rows
-    with a ``block`` name the blocks where such pairs are left after ``last``.
+    (sides 0 and 1).  Only sets of different ``start`` components are paired.
     """
-
-    def compare(group: dict[str, np.ndarray]) -> tuple[list, list, bool]:
-        out_a, out_b, more = [], [], False
-        order = np.lexsort((group["node"], group["n"]))
-        node, start, root, n, bits, side = (group[c][order] for c in ("node", "start", "root", "n", "bits", "side"))
-        one_chunk = bool((side == 0).all())
-        lengths = np.array([len(x) for x in bits])
-        maps = {}  # by size: places and bitmaps
-        for size in np.unique(lengths):
-            mine = np.flatnonzero(lengths == size)
-            maps[int(size)] = mine, np.stack([np.frombuffer(bits[k], np.uint64) for k in mine])
-        for size, (mine, a) in maps.items():
-            for p, k in enumerate(mine):
-                runs, bounds = [], []
-                for other in (size, 2 * size):
-                    if other not in maps:
-                        continue
-                    theirs, b = maps[other]
-                    # Sizes rise, so the partners that can link at all are a run.
-                    hi = np.searchsorted(n[theirs], n[k] * 100 // similarity, side="right")
-                    lo = np.searchsorted(theirs, k, side="right")
-                    if lo >= hi:
-                        continue
-                    run = theirs[lo:hi]
-                    fit = start[run] != start[k]
-                    if not one_chunk:
-                        fit &= side[run] != side[k]
-                    if fit.any():
-                        run, part = run[fit], folded(b[lo:hi][fit], size // 8)
-                        runs.append(run)
-                        bounds.append(overlap_bound(n[k], n[run], a[p], part))
-                if not runs:
+    start, n, bits, side = (group[c] for c in ("start", "n", "bits", "side"))
+    one_chunk = bool((side == 0).all())
+    lengths = np.array([len(x) for x in bits])
+    maps = {}  # by size: places and bitmaps
+    for size in np.unique(lengths):
+        mine = np.flatnonzero(lengths == size)
+        maps[int(size)] = mine, np.stack([np.frombuffer(bits[k], np.uint64) for k in mine])
+    for size, (mine, a) in maps.items():
+        for p, k in enumerate(mine):
+            for other in (size, 2 * size):
+                if other not in maps:
                     continue
-                run, bound = np.concatenate(runs), np.concatenate(bounds)
-                if (root[run] == root[k]).all():
+                theirs, b = maps[other]
+                # Sizes rise, so the partners that can link at all are a run.
+                hi = np.searchsorted(n[theirs], n[k] * 100 // similarity, side="right")
+                lo = np.searchsorted(theirs, k, side="right")
+                if lo >= hi:
                     continue
+                run = theirs[lo:hi]
+                fit = start[run] != start[k]
+                if not one_chunk:
+                    fit &= side[run] != side[k]
+                if not fit.any():
+                    continue
+                run = run[fit]
+                bound = overlap_bound(n[k], n[run], a[p], folded(b[lo:hi][fit], size // 8))
                 may = links(n[k], n[run], bound, similarity)
-                run, bound = run[may], bound[may]
-                run = run[np.lexsort((node[run], -bound / (n[k] + n[run])))]
-                cross = root[run] != root[k]
-                take = run[first:last][cross[first:last]]
-                out_a.extend([node[k]] * len(take))
-                out_b.extend(node[take])
-                more = more or (last is not None and bool(cross[last:].any()))
-        return out_a, out_b, more
+                if may.any():
+                    yield k, run[may], (bound / (n[k] + n[run]))[may]
+
 
-    columns = ["block", "side", "node", "start", "root", "n", "bits"]
+def per_block(rows: DataFrame, columns: list[str], f: Callable[[dict[str, np.ndarray]], dict[str, np.ndarray]], schema: str) -> DataFrame:
+    """``f`` over each block of several components; rows are sorted by block in each partition, and within a block by (n, node) here."""
+    binary = {c for c in columns if rows.schema[c].dataType.typeName() == "binary"}
+    names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: dict[str, np.ndarray] | None = None
+        rest = {c: np.zeros(0, object if c in binary else np.int64) for c in columns}
 
         def groups(batch: dict[str, np.ndarray], final: bool) -> Iterator[dict[str, np.ndarray]]:
             nonlocal rest
-            if rest is not None:
-                batch = {c: np.concatenate([rest[c], batch[c]]) for c in columns}
+            batch = {c: np.concatenate([rest[c], batch[c]]) for c in columns}
             change = np.flatnonzero(batch["block"][1:] != batch["block"][:-1]) + 1
             edges = [0, *change.tolist(), len(batch["block"])]
+            rest = {c: batch[c][len(batch["block"]) if final else edges[-2] :] for c in columns}
             for lo, hi in zip(edges[:-1], edges[1:] if final else edges[1:-1], strict=False):
-                yield {c: batch[c][lo:hi] for c in columns}
-            rest = None if final else {c: batch[c][edges[-2] :] for c in columns}
-
-        def answer(parts: Iterator[dict[str, np.ndarray]]) -> pa.RecordBatch:
-            a, b, blocks = [], [], set()
-            for g in parts:
-                if len(g["node"]) > 1 and (g["root"] != g["root"][0]).any():
-                    x, y, more = compare(g)
-                    a += x
-                    b += y
-                    if more:
-                        blocks.add(int(g["block"][0]))
-            a, b = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
-            pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
-            none = [None] * len(blocks)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([*pairs[:, 0].tolist(), *none], pa.int64()), pa.array([*pairs[:, 1].tolist(), *none], pa.int64()),
-                 pa.array([*[None] * len(pairs), *sorted(blocks)], pa.int64())],
-                ["a", "b", "block"],
-            )
-
-        empty = {c: np.zeros(0, object if c == "bits" else np.int64) for c in columns}
+                order = lo + np.lexsort((batch["node"][lo:hi], batch["n"][lo:hi]))
+                if (batch["start"][lo:hi] != batch["start"][lo]).any():
+                    yield {c: batch[c][order] for c in columns}
+
+        def answer(parts: Iterator[dict[str, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+            for out in map(f, parts):
+                yield pa.RecordBatch.from_arrays([pa.array(out[c], pa.binary() if c in binary else pa.int64()) for c in names], names)
+
         for part in batches:
-            got = {c: part.column(c).to_numpy(zero_copy_only=False) for c in columns}
-            yield answer(groups(got, False))
-        yield answer(groups(empty, True) if rest is not None else iter(()))
+            yield from answer(groups({c: part.column(c).to_numpy(zero_copy_only=False) for c in columns}, False))
+        if len(rest["block"]):
+            yield from answer(groups({c: rest[c][:0] for c in columns}, True))
+
+    return rows.select(*columns).mapInArrow(run, schema)
 
-    return rows.select(*columns).mapInArrow(run, "a long, b long, block long")
+
+def block_candidates(rows: DataFrame, similarity: int) -> DataFrame:
+    """Of the rows of :func:`tile_blocks`, sorted by block in each partition, those whose bitmaps allow a link with another component in their block."""
+
+    def candidates(group: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        keep = np.zeros(len(group["node"]), dtype=bool)
+        for k, run, _ in same_block(group, similarity):
+            keep[k] = keep[run] = True
+        return {c: v[keep] for c, v in group.items()}
+
+    columns = ["block", "side", "node", "start", "n", "bits"]
+    return per_block(rows, columns, candidates, "block long, side long, node long, start long, n long, bits binary")
+
+
+def block_links(rows: DataFrame, similarity: int) -> DataFrame:
+    """Rows of :func:`block_candidates` with ``shingles`` -> (a, b, start_a, start_b): links that join all components which a block's links join.
+
+    A pair is left out only if links of this block have joined its components
+    already; the likeliest pairs are tested first, so a block gives fewer
+    links than it has sets, and near copies cost few tests.
+    """
+
+    def joins(group: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        found = [(np.full(len(run), k), run, near) for k, run, near in same_block(group, similarity)]
+        out = []
+        if found:
+            left, right, near = (np.concatenate(x) for x in zip(*found, strict=True))
+            _, label = np.unique(group["start"], return_inverse=True)
+            sets = [np.frombuffer(x, np.uint64) for x in group["shingles"]]
+            for i in np.lexsort((right, left, -near)):
+                a, b = left[i], right[i]
+                if label[a] != label[b] and links(len(sets[a]), len(sets[b]), shared(sets[a], sets[b]), similarity):
+                    label[label == label[a]] = label[b]
+                    out.append((a, b))
+        a, b = np.array(out, dtype=np.int64).reshape(-1, 2).T
+        return {"a": group["node"][a], "b": group["node"][b], "start_a": group["start"][a], "start_b": group["start"][b]}
+
+    columns = ["block", "side", "node", "start", "n", "bits", "shingles"]
+    return per_block(rows, columns, joins, "a long, b long, start_a long, start_b long")
 
 
 def set_links(docs: DataFrame, sets: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
@@ -428,25 +446,22 @@ def set_roots(docs: DataFrame, sets: DataFrame, similarity: int = SIMILARITY) ->
     # Round two: tiles that still hold several components.  Their leaders need not be met again.
     rows = stored(tile_blocks(tiles.where("node <> leader").join(roots, "node", "left").withColumn("start", F.coalesce("root", "node")).drop("root"), nodes), "jaccard-rows")
     n_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    for first, last in zip(SLICES, [*SLICES[1:], None], strict=True):
-        now = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        sorted_rows = now.repartition(n_parts, "block").sortWithinPartitions("block")
-        compared = stored(block_pairs(sorted_rows, first, last, similarity), "jaccard-blocks")
-        pairs = stored(compared.where("a is not null").select("a", "b").distinct(), "jaccard-pairs")
-        n_pairs = pairs.count()
-        if n_pairs:
-            # Mostly few: then only their nodes' bitmaps are shuffled.
-            ids = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-            met = nodes.join(F.broadcast(ids), "node", "left_semi") if 2 * n_pairs <= BROADCAST_IDS else nodes
-            new = verified(pairs, docs, met, similarity)
-            if not new.isEmpty():
-                found = stored(found.unionByName(new), "jaccard-links")
-                roots = stored(components(found), "jaccard-roots")
-        open_blocks = compared.where("block is not null").select("block").distinct()
-        if open_blocks.isEmpty():
-            break
-        rows = rows.join(open_blocks, "block")
-    return found, roots
+
+    def by_block(df: DataFrame) -> DataFrame:
+        return df.repartition(n_parts, "block").sortWithinPartitions("block")
+
+    candidates = stored(block_candidates(by_block(rows), similarity), "jaccard-blocks")
+    if candidates.isEmpty():
+        return found, roots
+    arrays = arrays_of(candidates.select("node"), docs, nodes)
+    new = stored(block_links(by_block(candidates.join(arrays, "node")), similarity), "jaccard-links")
+    if new.isEmpty():
+        return found, roots
+    # The components of round one that round two joins; a root's row is in both tables, and then the same.
+    moved = stored(components(new.select(F.col("start_a").alias("a"), F.col("start_b").alias("b"))), "jaccard-moved")
+    last = moved.select(F.col("node").alias("root"), F.col("root").alias("last"))
+    roots = roots.join(last, "root", "left").select("node", F.coalesce("last", "root").alias("root")).unionByName(moved).distinct()
+    return found.unionByName(new.select("a", "b")), stored(roots, "jaccard-roots")
 
 
 def set_size(size: str) -> Column:
@@ -463,18 +478,20 @@ def band_of(n: Column) -> Column:
 
 
 def tile_blocks(members: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(tile, node, start) -> rows (block, side, node, start, n, bits) of the pairs of chunks to compare.
+    """(tile, band, node, start) -> rows (block, side, node, start, n, bits) of the pairs of chunks to compare.
 
     Only tiles with several components count.  A tile's largest component
     needs no comparison with itself: its chunks meet only those of the other
     components, which meet all.
     """
-    sizes = members.groupBy("tile", "start").agg(F.count(F.lit(1)).alias("size"))
-    mixed_tiles = sizes.groupBy("tile").agg(
+    sizes = members.groupBy("tile", "band", "start").agg(F.count(F.lit(1)).alias("size"))
+    # A tile's sets are of its band or the one below.
+    chunk_sets = F.least(F.lit(BLOCK), F.greatest(F.lit(BLOCK_LEAST), F.floor(BLOCK_ELEMENTS / F.pow(F.lit(BAND_STEP), F.col("band") + 1))))
+    mixed_tiles = sizes.groupBy("tile", "band").agg(
         F.max(F.struct("size", "start")).alias("bulk"), F.sum("size").alias("all"), F.count(F.lit(1)).alias("parts")
     ).where("parts > 1").select(
         "tile", F.col("bulk.start").alias("bulk"),
-        F.ceil((F.col("all") - F.col("bulk.size")) / BLOCK).alias("others"), F.ceil(F.col("bulk.size") / BLOCK).alias("bulks"),
+        F.ceil((F.col("all") - F.col("bulk.size")) / chunk_sets).alias("others"), F.ceil(F.col("bulk.size") / chunk_sets).alias("bulks"),
     )
     chunk = F.xxhash64("node", "tile")
     is_bulk = F.col("start") == F.col("bulk")

@@ -202,3 +202,37 @@ def test_leaders_meet_only_sets_whose_first_shared_element_allows_a_link(spark,
     df = frame(spark, texts)
     assert J.set_links(df, J.document_sets(df)).count() == 0
     assert len(tested) == 1 and tested[0] < 15, tested
+
+
+def test_round_two_has_a_fixed_number_of_steps(spark, monkeypatch):
+    """Sets with many possible partners that don't link, and a chain: one pass over the blocks, whatever they hold."""
+    rng, words = random.Random(5), vocabulary(n=700)
+    head = prose(rng, words, 70)
+    texts = [head + " " + prose(rng, words, 14) for _ in range(30)]
+    chain = prose(rng, words, 120)
+    for _ in range(12):
+        chain = " ".join(chain.split(" ")[9:]) + " " + prose(rng, words, 9)
+        texts.append(chain)
+    steps = []
+    monkeypatch.setattr(J, "stored", lambda df, name, f=J.stored: steps.append(name) or f(df, name))
+    df = frame(spark, texts)
+    assert found(df) == brute(list(enumerate(texts)))
+    assert steps.count("jaccard-blocks") == 1 and steps.count("jaccard-roots") <= 2, steps
+
+
+def test_chunks_of_large_sets_hold_few(spark, near_copies, monkeypatch):
+    """The same links if the chunks of round two are cut by their elements."""
+    monkeypatch.setattr(J, "BLOCK_ELEMENTS", 100)
+    monkeypatch.setattr(J, "BLOCK_LEAST", 2)
+    assert found(frame(spark, near_copies)) == brute(list(enumerate(near_copies)))
+
+
+def test_a_block_gives_fewer_links_than_sets(spark):
+    """Near copies that no link has joined yet: their block gives the links of one tree."""
+    base = np.arange(1, 101, dtype=np.uint64) << np.uint64(3)
+    sets = [np.sort(np.concatenate([base, np.array([(1 << 20) + k], dtype=np.uint64)])) for k in range(20)]
+    rows = [(7, 0, k, k, len(x), bytearray(J.bitmap(x)), bytearray(x.tobytes())) for k, x in enumerate(sets)]
+    df = spark.createDataFrame(rows, "block long, side long, node long, start long, n long, bits binary, shingles binary").coalesce(1)
+    got = J.block_links(df, J.SIMILARITY).collect()
+    assert len(got) == 19 and all(r["a"] == r["start_a"] and r["b"] == r["start_b"] for r in got)
+    assert J.block_candidates(df.drop("shingles"), J.SIMILARITY).count() == 20
