@@ -59,9 +59,10 @@ def transform_customers(
     raw: DataFrame, postcodes: DataFrame | PreparedLookup, on_multiple: str | None = None, **lookup_options
 ) -> DataFrame:
     """City from the postcode dimension (lowercased), no fallback: an
-    unmatched prefix gives a NULL city.  State lowercased."""
+    unmatched prefix gives a NULL city.  State lowercased, before the lookup
+    repeats rows."""
     looked_up = _city_lookup(
-        raw, postcodes, "customer_zip_code_prefix", "customer_city", None,
+        raw.withColumn("customer_state", F.lower("customer_state")), postcodes, "customer_zip_code_prefix", "customer_city", None,
         on_multiple, **lookup_options,
     )
     return looked_up.select(
@@ -69,7 +70,7 @@ def transform_customers(
         "customer_unique_id",
         "customer_zip_code_prefix",
         "customer_city",
-        F.lower("customer_state").alias("customer_state"),
+        "customer_state",
     )
 
 
